@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import mixing, packing
+from . import langid, mixing, packing, quality, recompression
 
 
 def queries() -> dict:
     return {
         "op1_mixing": mixing.op1_mixing,
+        "op5_language_id": langid.op5_language_id,
+        "op6_substring_dedup": recompression.op6_substring_dedup,
+        "op7_quality": quality.op7_quality,
         "op9_packing": packing.op9_packing,
     }
 

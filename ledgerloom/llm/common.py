@@ -117,10 +117,10 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, base: int)
 class Words:
     """Words of documents that lie one after another in a byte buffer: starts, ends, owning document, 64-bit hash."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray, lower: bool = False, hashed: bool = True):
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, lower: bool = False, gap: np.ndarray = IS_GAP):
         n = len(buf)
         word = np.zeros(n + 2, dtype=bool)
-        word[1:-1] = ~IS_GAP[buf]
+        word[1:-1] = ~gap[buf]
         edge = np.zeros(n + 2, dtype=bool)
         edge[offsets + 1] = True  # a document starts (or all end) here
         self.start = np.flatnonzero(word[1:-1] & (~word[:-2] | edge[1:-1]))
@@ -128,10 +128,9 @@ class Words:
         bound = np.searchsorted(self.start, offsets)
         self.first, self.count = bound[:-1], np.diff(bound)
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.count)
-        if hashed:
-            if lower:
-                buf = buf + ((buf >= 65) & (buf <= 90)).astype(np.uint8) * np.uint8(32)
-            self.hash = span_hash(prefix_hash(BYTE_CODES[buf], BASES[0]), self.start, self.end, BASES[0])
+        if lower:
+            buf = buf + ((buf >= 65) & (buf <= 90)).astype(np.uint8) * np.uint8(32)
+        self.hash = span_hash(prefix_hash(BYTE_CODES[buf], BASES[0]), self.start, self.end, BASES[0])
 
     def windows(self, size: int, at: np.ndarray | None = None, base: int = BASES[1]) -> np.ndarray:
         """Hashes of the windows of size words that start at the given words (default: all that fit the buffer)."""
