@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, packing, quality, recompression
+from . import langid, mixing, packing, quality, recompression, suffixes
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op6_substring_dedup": recompression.op6_substring_dedup,
         "op7_quality": quality.op7_quality,
         "op9_packing": packing.op9_packing,
+        "op10_suffix_dedup": suffixes.op10_suffix_dedup,
     }
 
 
