@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import mixing, packing
+from ledgerloom.llm import jaccard, langid, mixing, packing, suffixes
 from ledgerloom.llm.common import materialize
 
 STAGES = [
+    ("language_id", langid.language_stage),
+    ("jaccard_join", jaccard.near_duplicate_stage),
+    ("suffix_dedup", suffixes.suffix_stage),
     ("mixing", mixing.mix_stage),
     ("packing", packing.pack_stage),
 ]

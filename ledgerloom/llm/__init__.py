@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, packing, quality, recompression, suffixes
+from . import jaccard, langid, media, mixing, packing, quality, recompression, suffixes
 
 
 def queries() -> dict:
     return {
         "op1_mixing": mixing.op1_mixing,
+        "op3_media": media.op3_media,
+        "op4_jaccard_join": jaccard.op4_jaccard_join,
         "op5_language_id": langid.op5_language_id,
         "op6_substring_dedup": recompression.op6_substring_dedup,
         "op7_quality": quality.op7_quality,
