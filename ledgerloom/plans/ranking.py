@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .scratch import materialize
+
 
 def global_rank(df: DataFrame, order: list[Column], rank: str, partitions: int | None = None) -> DataFrame:
     """Rank from 1 in ``order``, over ranges that are sorted and numbered in parallel.
@@ -13,7 +15,8 @@ def global_rank(df: DataFrame, order: list[Column], rank: str, partitions: int |
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
+    # the ranges are drawn from a sample, so they are settled once before they are counted and numbered
+    dealt = materialize(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
     counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     upto = W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select(F.col("_part").alias("_p"), "_n").select("_p", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"))
