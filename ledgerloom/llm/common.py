@@ -2,45 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from ..plans.scratch import materialize, release, scratch_dir  # noqa: F401
+
 #: Columns of the documents table, in order.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; an own one where none is set (tests)."""
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def materialize(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage ends there and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/ledgerloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if keep is not None:
-        keep.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession, paths: list[str]) -> None:
-    """Delete scratch tables that no later plan reads."""
-    for path in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    paths.clear()
-
-
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound what one Arrow batch of documents can hold."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
