@@ -3,12 +3,12 @@
 Every document's word sequence is shortened in rounds that look only at neighbours: short runs of one symbol become a
 symbol, then pairs (a, b) with a in one half of the alphabet and b in the other. The name of a new symbol is the hash
 of what it stands for, so all executors give equal substrings the same interior symbols without a lookup. After the
-rounds, one exchange finds the top symbols that occur in two places of the corpus; only windows that hold such a
-symbol can be repeats. A second exchange compares these windows by 128-bit fingerprints of their words.
+rounds, one exchange finds the top symbols that occur in two places of the corpus.
 
-Why no repeat is missed: a run step can change what lies within RUN words of a window's edge, a pair step one symbol
-more. With one run step of RUN = 2 and three pair steps the two copies of a window agree but for 2 + 2 + 4 + 8 = 16
-words at each edge, so every window of 33 words or more has a common symbol inside.
+Each symbol also knows its reach: the stretch of words that settled it. A pair needs no neighbours; a symbol left alone
+depends on the one beside it. Two copies of a window share every symbol whose reach lies in it, so a window with a
+symbol of that kind that occurs once is no repeat. The rest are verified by a second exchange, of 128-bit fingerprints
+of their words. No repeat is missed whatever the rounds do; they decide how few other windows are left to verify.
 """
 
 from __future__ import annotations
@@ -26,39 +26,60 @@ from .common import BASES, Words, covered, materialize, mix
 WINDOW = 35
 RUN = 2
 PAIRS = 3
+FAR = 1 << 40
 SYMBOL = np.dtype([("key", "<u8"), ("many", "u1")])
 FINGER = np.dtype([("key", "<u8"), ("more", "<u8"), ("many", "u1")])
 
 
 def compress(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Top symbols of all documents: names, first word, word after the last."""
-    name, start, end, doc = words.hash, np.arange(len(words.start)), np.arange(len(words.start)) + 1, words.doc
-    if not len(name):
-        return name, start, end
+    """Top symbols of all documents: names, and their reach (first word and word after the last)."""
+    name, doc = words.hash, words.doc
+    n = len(name)
+    low, high = np.arange(n) - 1, np.arange(n) + 2  # not a run: one word on either side tells
+    if not n:
+        return name, low, high
     # run step: exactly RUN equal words become one symbol, longer runs stay
-    new = np.ones(len(name), bool)
+    new = np.ones(n, bool)
     new[1:] = (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])
     first = np.flatnonzero(new)
-    runs = np.diff(np.append(first, len(name)))
+    runs = np.diff(np.append(first, n))
+    of = np.repeat(np.arange(len(first)), runs)
+    long = np.flatnonzero(runs[of] > RUN)  # RUN + 1 equal words tell
+    place = long - first[of[long]]
+    low[long] = np.maximum(long - np.minimum(place, RUN), first[of[long]])
+    low[long] = np.minimum(low[long], first[of[long]] + runs[of[long]] - RUN - 1)
+    high[long] = low[long] + RUN + 1
     short = first[runs == RUN]
     name = name.copy()
     name[short] = mix(name[short] + np.uint64(0xA5A5))
-    end = end.copy()
-    end[short] += RUN - 1
-    stay = np.ones(len(name), bool)
-    stay[short + 1] = False
-    name, start, end, doc = name[stay], start[stay], end[stay], doc[stay]
+    high[short] = short + RUN + 1
+    stay = np.ones(n, bool)
+    for i in range(1, RUN):
+        stay[short + i] = False
+    name, low, high, doc = name[stay], low[stay], high[stay], doc[stay]
     for step in range(PAIRS):
         left = (mix(name ^ np.uint64(0xC0FFEE + step)) >> np.uint64(63)).astype(bool)
-        pair = np.flatnonzero(left[:-1] & ~left[1:] & (doc[:-1] == doc[1:]))
+        joined = np.flatnonzero(left[:-1] & ~left[1:] & (doc[:-1] == doc[1:]))
+        alone = np.ones(len(name), bool)
+        alone[joined] = alone[joined + 1] = False
+        to_right, to_left = np.flatnonzero(alone & left), np.flatnonzero(alone & ~left)
+        reach_low, reach_high = low.copy(), high.copy()
+        # beyond a document's edge lies what no window of it can hold
+        last = np.append(doc[1:] != doc[:-1], True)
+        head = np.append(True, doc[1:] != doc[:-1])
+        at = to_right[~last[to_right]]
+        reach_high[at], reach_low[at] = np.maximum(high[at], high[at + 1]), np.minimum(low[at], low[at + 1])
+        reach_high[to_right[last[to_right]]] = n + FAR
+        at = to_left[~head[to_left]]
+        reach_high[at], reach_low[at] = np.maximum(high[at], high[at - 1]), np.minimum(low[at], low[at - 1])
+        reach_low[to_left[head[to_left]]] = -FAR
+        reach_low[joined], reach_high[joined] = np.minimum(low[joined], low[joined + 1]), np.maximum(high[joined], high[joined + 1])
         name = name.copy()
-        name[pair] = mix(mix(name[pair]) * np.uint64(3) + name[pair + 1] + np.uint64(step))
-        end = end.copy()
-        end[pair] = end[pair + 1]
+        name[joined] = mix(mix(name[joined]) * np.uint64(3) + name[joined + 1] + np.uint64(step))
         stay = np.ones(len(name), bool)
-        stay[pair + 1] = False
-        name, start, end, doc = name[stay], start[stay], end[stay], doc[stay]
-    return name, start, end
+        stay[joined + 1] = False
+        name, low, high, doc = name[stay], reach_low[stay], reach_high[stay], doc[stay]
+    return name, low, high
 
 
 def _words(data: bytes, column: str) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, Words]:
@@ -67,14 +88,15 @@ def _words(data: bytes, column: str) -> tuple[pa.RecordBatch, np.ndarray, np.nda
     return batch, buf, offsets, Words(buf, offsets)
 
 
-def _candidates(words: Words, start: np.ndarray, end: np.ndarray, shared: np.ndarray, size: int) -> np.ndarray:
-    """Window starts whose window holds a shared symbol."""
-    marks = np.zeros(len(words.start) + 1, np.int32)
-    low, high = np.maximum(end[shared] - size, 0), start[shared]
-    ok = low <= high
-    np.add.at(marks, low[ok], 1)
-    np.add.at(marks, high[ok] + 1, -1)
-    return np.flatnonzero((np.cumsum(marks[:-1]) > 0) & words.fits(size))
+def _candidates(words: Words, low: np.ndarray, high: np.ndarray, shared: np.ndarray, size: int) -> np.ndarray:
+    """Window starts whose window holds no symbol's reach whose symbol occurs once."""
+    n = len(words.start)
+    marks = np.zeros(n + 1, np.int32)
+    first, last = np.maximum(high[~shared] - size, 0), np.minimum(low[~shared], n - 1)
+    ok = first <= last
+    np.add.at(marks, first[ok], 1)
+    np.add.at(marks, last[ok] + 1, -1)
+    return np.flatnonzero((np.cumsum(marks[:-1]) == 0) & words.fits(size))
 
 
 def _fingers(words: Words, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,17 +130,15 @@ def _same_fingers(parts: list[np.ndarray]) -> list[np.ndarray]:
 def repeated_words(docs: DataFrame, column: str = "text", size: int = WINDOW):
     """Blocks of docs with the replies of both exchanges, and a function for workers that gives, for such a row,
     (batch, words, covered): its documents, their words and which of them lie in a repeated window."""
-    if size <= 2 * (RUN + sum(RUN << i for i in range(PAIRS))):
-        raise ValueError("windows must be longer than both edges that recompression may change")
     blocks = to_blocks(docs, column)
     buckets = n_buckets(blocks)
 
     def symbols(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        name, start, end = compress(words)
+        name, low, high = compress(words)
         keys, which, times = np.unique(name, return_inverse=True, return_counts=True)
         rows = np.empty(len(keys), SYMBOL)
         rows["key"], rows["many"] = keys, times > 1
-        return keys, which, rows, start, end
+        return keys, which, rows, low, high
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -127,8 +147,8 @@ def repeated_words(docs: DataFrame, column: str = "text", size: int = WINDOW):
                 yield from send(block, keys, rows, buckets)
 
     def windows(words: Words, got: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keys, which, _, start, end = symbols(words)
-        at = _candidates(words, start, end, answers(keys, buckets, got)[which], size)
+        keys, which, _, low, high = symbols(words)
+        at = _candidates(words, low, high, answers(keys, buckets, got)[which], size)
         rows, which = _fingers(words, at, size)
         return at, rows, which
 
