@@ -32,8 +32,8 @@ base AS (
 #: Keys with a taxonomy code and level of their own making.
 CODED = """
 coded AS (
-  SELECT b.*, CAST(CASE WHEN length(coalesce(expense_type, '')) % 5 = 0 THEN 250000 + length(service_area) ELSE 100000 + 1000 * (length(coalesce(expense_type, '')) % 40) + length(service_area) END AS BIGINT) AS taxonomy_code,
-         CASE WHEN length(coalesce(expense_type, '')) % 5 = 0 THEN 'Housing Management' WHEN row_count % 3 = 0 THEN 'Consultancy' WHEN row_count % 4 = 1 THEN 'Financial Services'
+  SELECT b.*, CAST(CASE WHEN length(coalesce(expense_type, '')) % 7 = 0 THEN 250000 + length(service_area) ELSE 100000 + 1000 * (length(coalesce(expense_type, '')) % 40) + length(service_area) END AS BIGINT) AS taxonomy_code,
+         CASE WHEN length(coalesce(expense_type, '')) % 7 = 0 THEN 'Housing Management' WHEN row_count % 3 = 0 THEN 'Consultancy' WHEN row_count % 4 = 1 THEN 'Financial Services'
               WHEN row_count % 11 = 7 THEN NULL ELSE 'Works' END AS "Level 1"
   FROM base b)"""
 
