@@ -5,9 +5,10 @@ PartEnum splits the shingle domain into n1 parts; two sets within k differ by at
 Each part is split in n2, and every choice of n2 - k // n1 of these gives one signature: the hash of the set's shingles
 there. Sets within k share a signature for certain; a set signs for its own band and the next larger one.
 
-Sets that share signatures are gathered to candidate groups, never to pairs. A group is verified exactly by its sets in
-tiles: a 512-bit parity sketch bounds the difference of two sets from below, and pairs that are already linked over
-others are skipped, so a family of thousands of near copies costs about one exact test a member.
+With its signatures a set sends a parity sketch (512 bits, more for large sets), which bounds the difference of two sets from below. Of sets
+that share a signature only those are joined to a candidate group that the sketch lets be similar, over a spanning
+forest, never as all pairs. A group is verified exactly by its sets in tiles; pairs that are already linked over others
+are skipped, so a family of thousands of near copies costs about one exact test a member.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from .common import BASES, Words, materialize, mix, small_batches
 from .graph import connected_components
 
 N2, K2 = 3, 1
+#: Parts in which the signatures of a bucket are met, to bound memory.
+SLICES = 8
 #: Members of a tile, so many sets are in a task at once, or twice as many from two tiles.
-TILE = 1024
+TILE = 2048
 #: Bytes of text for each bucket of signatures.
-BUCKET_TEXT = 24 << 20
+BUCKET_TEXT = 80 << 20
 
 
 class Sets:
@@ -105,8 +108,8 @@ def signatures(s: Sets, use: np.ndarray, num: int, den: int) -> tuple[np.ndarray
 SIG = np.dtype([("low", "<u4"), ("high", "u1"), ("set", "<u2")])
 
 
-def _messages(keys: np.ndarray, docs: np.ndarray, ids: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """(bucket, block, data) rows; data has the ids of its sets first."""
+def _messages(keys: np.ndarray, docs: np.ndarray, s: Sets, buckets: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, block, data) rows; data has the ids, sizes and sketches of its sets first."""
     rows = np.empty(len(keys), SIG)
     rest = keys // np.uint64(buckets)
     rows["low"], rows["high"] = rest & np.uint64(0xFFFFFFFF), (rest >> np.uint64(32)) & np.uint64(0xFF)
@@ -114,90 +117,161 @@ def _messages(keys: np.ndarray, docs: np.ndarray, ids: np.ndarray, buckets: int)
     to = (keys % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(to, kind="stable")
     ends = np.searchsorted(to[order], np.arange(buckets + 1))
-    head = np.uint32(len(uses)).tobytes() + ids[uses].tobytes()
+    level = level_of(s.n[uses])
+    sketch = b"".join(x.tobytes() for x in _sketch([s.hash[s.first[i] : s.first[i] + s.n[i]] for i in uses], level))
+    head = np.uint32(len(uses)).tobytes() + s.id[uses].tobytes() + s.n[uses].astype(np.int64).tobytes() + sketch
     for b in np.flatnonzero(np.diff(ends)):
         yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([0], pa.int64()), pa.array([head + rows[order[ends[b] : ends[b + 1]]].tobytes()], pa.binary())], ["bucket", "block", "data"])
 
 
-def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (node, smallest node of its component) of a graph in memory."""
-    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
-    a, b = at[: len(u)], at[len(u) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    off = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[off], nodes[label[off]]
-
-
-def _meet(table: pa.Table) -> pa.Table:
-    """Sets that share a signature in this bucket, as edges to the smallest."""
-    keys, ids = [], []
+class Forest:
+    """Components of nodes 0..n-1 under links that a test allows."""
+
+    def __init__(self, n: int):
+        self.parent = list(range(n))
+
+    def root(self, x: int) -> int:
+        p = self.parent
+        while p[x] != x:
+            p[x] = p[p[x]]
+            x = p[x]
+        return x
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self.root(a), self.root(b)
+        self.parent[max(a, b)] = min(a, b)
+
+
+#: Largest sets of each sketch level; words of 64 bits that a sketch of the level has.
+LEVEL_SIZES, LEVEL_WORDS = np.array([640, 2600, 10_000]), np.array([8, 32, 128, 512])
+
+
+def level_of(n: np.ndarray) -> np.ndarray:
+    return np.searchsorted(LEVEL_SIZES, n)
+
+
+def _sketch(sets: list[np.ndarray], level: np.ndarray) -> list[np.ndarray]:
+    """Parity of how many shingles of a set hash to each bit. Two sets differ in at least as many shingles as their sketches in bits."""
+    out: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(sets)
+    for c in np.unique(level):
+        mine = np.flatnonzero(level == c)
+        size = int(LEVEL_WORDS[c]) * 64
+        for at in range(0, len(mine), 2048):
+            some = mine[at : at + 2048]
+            row = np.repeat(np.arange(len(some)), [len(sets[i]) for i in some])
+            bit = (np.concatenate([sets[i] for i in some]) >> np.uint64(11)) & np.uint64(size - 1)
+            odd = np.bincount(row * size + bit.astype(np.int64), minlength=size * len(some)) & 1
+            for i, x in zip(some, np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(len(some), -1)):
+                out[i] = x
+    return out
+
+
+class Sketches:
+    """Sketches of sets by level; those of larger sets are folded to lower levels, so any two can be compared."""
+
+    def __init__(self, n: np.ndarray, sketch: list[np.ndarray], num: int, den: int):
+        self.n, self.level, self.num, self.den = n, level_of(n), num, den
+        self.at, self.bits = {}, {}
+        for c in np.unique(self.level):
+            mine = np.flatnonzero(self.level >= c)
+            words = int(LEVEL_WORDS[c])
+            self.at[c] = np.full(len(n), -1)
+            self.at[c][mine] = np.arange(len(mine))
+            self.bits[c] = np.array([np.bitwise_xor.reduce(sketch[i].reshape(-1, words), axis=0) for i in mine], np.uint64).reshape(-1, words)
+
+    def may(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Can sets a[i] and b[i] be as similar as asked, for all their sketches and sizes tell?"""
+        level, out = np.minimum(self.level[a], self.level[b]), np.zeros(len(a), bool)
+        for c in np.unique(level):
+            for mine in np.array_split(np.flatnonzero(level == c), 1 + int((level == c).sum() * LEVEL_WORDS[c] >> 20)):
+                x, y = a[mine], b[mine]
+                apart = np.bitwise_count(self.bits[c][self.at[c][x]] ^ self.bits[c][self.at[c][y]]).sum(1, dtype=np.int64)
+                out[mine] = apart * (self.den + self.num) <= (self.n[x] + self.n[y]) * (self.den - self.num)
+        return out
+
+
+def _meet(table: pa.Table, num: int, den: int) -> pa.Table:
+    """Sets that share a signature in this bucket and may be similar, as a spanning forest of edges."""
+    ids, sizes, sketches, sigs, at = [], [], [], [], 0
     for x in table["data"]:
         data = x.as_py()
-        n = int(np.frombuffer(data, np.uint32, 1)[0])
-        rows = np.frombuffer(data, SIG, offset=4 + 8 * n)
-        keys.append(rows["low"].astype(np.uint64) | (rows["high"].astype(np.uint64) << np.uint64(32)))
-        ids.append(np.frombuffer(data, np.int64, n, offset=4)[rows["set"]])
-    key, ident = np.concatenate(keys), np.concatenate(ids)
-    order = np.lexsort((ident, key))
-    key, ident = key[order], ident[order]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    least = np.repeat(ident[first], np.diff(np.append(first, len(key))))
-    other = ident != least
-    u, v = ident[other], least[other]
-    if len(u):
-        u, v = _forest(u, v)
-    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-
-def _sketch(sets: list[np.ndarray]) -> np.ndarray:
-    """512 bits a set: parity of how many of its shingles hash there. Two sets differ in as many shingles as bits, or more."""
-    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    bit = (np.concatenate(sets) >> np.uint64(11)) & np.uint64(511)
-    odd = np.bincount(row * 512 + bit.astype(np.int64), minlength=512 * len(sets)) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(-1, 8)
+        k = int(np.frombuffer(data, np.uint32, 1)[0])
+        ids.append(np.frombuffer(data, np.int64, k, offset=4))
+        sizes.append(np.frombuffer(data, np.int64, k, offset=4 + 8 * k))
+        words = LEVEL_WORDS[level_of(sizes[-1])]
+        ends = np.cumsum(words)
+        flat = np.frombuffer(data, np.uint64, int(ends[-1]), offset=4 + 16 * k)
+        sketches += [flat[e - w : e] for e, w in zip(ends.tolist(), words.tolist())]
+        sigs.append((np.frombuffer(data, SIG, offset=4 + 16 * k + 8 * int(ends[-1])), at))
+        at += k
+    name, first, node_of = np.unique(np.concatenate(ids), return_index=True, return_inverse=True)
+    known = Sketches(np.concatenate(sizes)[first], [sketches[i] for i in first], num, den)
+    forest, pairs, groups = Forest(len(name)), [], {}
+    for part in range(SLICES):  # signatures of one slice at a time
+        key, node = [], []
+        for rows, base in sigs:
+            mine = rows[(rows["low"] % SLICES) == part]
+            key.append(mine["low"].astype(np.uint64) | (mine["high"].astype(np.uint64) << np.uint64(32)))
+            node.append(node_of[base + mine["set"].astype(np.int64)])
+        key, node = np.concatenate(key), np.concatenate(node)
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node = key[new], node[new]
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
+        size = np.diff(np.append(start, len(key)))
+        two = start[size == 2]
+        pairs.append(np.unique(node[two].astype(np.int64) << 32 | node[two + 1]))
+        if (size > 2).any():  # of equal groups one
+            mark = np.add.reduceat(mix(node.astype(np.uint64) + np.uint64(1)), start)
+            for i in np.flatnonzero(size > 2):
+                groups.setdefault(int(mark[i]), node[start[i] : start[i] + size[i]])
+    pair = np.unique(np.concatenate(pairs))
+    a, b = pair >> 32, pair & 0xFFFFFFFF
+    for lo in range(0, len(pair), 1 << 18):
+        x, y = a[lo : lo + (1 << 18)], b[lo : lo + (1 << 18)]
+        ok = known.may(x, y)
+        for u, v in zip(x[ok].tolist(), y[ok].tolist()):
+            forest.join(u, v)
+    for g in groups.values():
+        label = np.array([forest.root(x) for x in g.tolist()])
+        for i in range(len(g)):
+            other = np.flatnonzero(label != label[i])
+            if not len(other):
+                break
+            hit = other[known.may(np.full(len(other), g[i]), g[other])]
+            if len(hit):
+                met = np.unique(label[hit])
+                for v in met.tolist():
+                    forest.join(int(label[i]), v)
+                label[np.isin(label, met)] = label[i]
+    root = np.array([forest.root(x) for x in range(len(name))], dtype=np.int64)
+    off = np.flatnonzero(root != np.arange(len(name)))
+    return pa.table({"u": pa.array(name[off], pa.int64()), "v": pa.array(name[root[off]], pa.int64())})
 
 
 def links_among(ids: list[int], sets: list[np.ndarray], num: int, den: int, tile: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that connect whatever is linked among sets, without those that follow; of two tiles, only across them."""
-    parent = list(range(len(ids)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
+    forest = Forest(len(ids))
     n = np.array([len(x) for x in sets])
     order = np.lexsort((np.array(ids), n))
-    bits, out = _sketch(sets), []
-    bits, n = bits[order], n[order]
+    known, out = Sketches(n[order], _sketch([sets[i] for i in order], level_of(n[order])), num, den), []
+    n = n[order]
     side = np.zeros(len(ids), int) if tile is None else tile[order]
     for i in range(len(order) - 1):
         end = int(np.searchsorted(n, n[i] * den // num, side="right"))  # larger sets cannot be similar enough
-        apart = np.bitwise_count(bits[i] ^ bits[i + 1 : end]).sum(1)
-        can = apart.astype(np.int64) * (den + num) <= (n[i] + n[i + 1 : end]) * (den - num)
+        can = known.may(np.full(end - i - 1, i), np.arange(i + 1, end))
         if tile is not None:
             can &= side[i + 1 : end] != side[i]
         a = order[i]
         for j in np.flatnonzero(can) + i + 1:
             b = order[j]
-            ra, rb = root(a), root(b)
-            if ra == rb:
+            if forest.root(int(a)) == forest.root(int(b)):
                 continue
             both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
             if den * both >= num * (len(sets[a]) + len(sets[b]) - both):
-                parent[rb] = ra
+                forest.join(int(a), int(b))
                 out.append((ids[a], ids[b]))
     return out
 
@@ -230,15 +304,15 @@ def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
         for whole in batches:
             for batch in split(whole, "text", 2 << 20):
                 s = Sets(*texts(batch, "text"), size)
-                for at in range(0, len(s.n), 60_000):
-                    some = np.arange(at, min(len(s.n), at + 60_000))
+                for at in range(0, len(s.n), 8_000):
+                    some = np.arange(at, min(len(s.n), at + 8_000))
                     some = some[s.n[some] > 0]
                     use = some[np.unique(s.id[some], return_index=True)[1]]
                     keys, of = signatures(s, use, num, den)
                     if len(keys):
-                        yield from _messages(keys, of, s.id, buckets)
+                        yield from _messages(keys, of, s, buckets)
 
-    met = docs.select("text").mapInArrow(sign, SENT).groupBy("bucket").applyInArrow(_meet, "u long, v long")
+    met = docs.select("text").mapInArrow(sign, SENT).groupBy("bucket").applyInArrow(lambda t: _meet(t, num, den), "u long, v long")
     groups = materialize(connected_components(met))
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
     member = groups.join(sizes.withColumnRenamed("label", "_l"), F.col("label") == F.col("_l")).select(F.col("id").alias("want"), F.col("label").alias("family"), "members")
@@ -310,3 +384,13 @@ def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     once = marked.filter("_again is null").select(*docs.columns)
     first = W.partitionBy("_again", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
     return once.unionByName(marked.filter("_again is not null").withColumn("_at", F.row_number().over(first)).filter("_at = 1").select(*docs.columns))
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT r, doc_id, ws, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda k: array_to_string(ws[k:k + 2], ' '))) END AS sh FROM d),
+n AS (SELECT r, doc_id, len(sh) AS n, sh FROM g), x AS (SELECT r, n, unnest(sh) AS s FROM n),
+p AS (SELECT a.r AS a, b.r AS b FROM x a JOIN x b ON a.s = b.s AND a.r < b.r AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p), t AS (SELECT a AS r, a AS c FROM l UNION SELECT t.r, l.b FROM t JOIN l ON t.c = l.a)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, coalesce((SELECT min(m.doc_id) FROM t JOIN n m ON t.c = m.r WHERE t.r = n.r), doc_id) AS component_id FROM n
+"""
