@@ -129,18 +129,19 @@ def posteriors(e: np.ndarray, moves: np.ndarray, first: np.ndarray, count: np.nd
         part = grid[long]
         m = np.broadcast_to(np.eye(n_lang, dtype=np.float32), (len(long), n_lang, n_lang)).copy()
         for i in range(part.shape[1]):
-            m = (m * part[:, i][:, None, :]).reshape(-1, n_lang) @ moves
-            m = m.reshape(len(long), n_lang, n_lang)
+            if i:
+                m = (m.reshape(-1, n_lang) @ moves).reshape(len(long), n_lang, n_lang)
+            m = m * part[:, i][:, None, :]
             m /= m.sum((1, 2), keepdims=True)
         at = np.full(len(doc), -1)
         at[long] = np.arange(len(long))
         for p in range(int(pieces.max()) - 1):
             here = np.flatnonzero((place == p) & (place + 1 < pieces[doc]))
-            a = np.einsum("pi,pij->pj", alpha0[here], m[at[here]])
+            a = np.einsum("pi,pij->pj", alpha0[here], m[at[here]]) @ moves
             alpha0[here + 1] = a / a.sum(1, keepdims=True)
         for p in range(int(pieces.max()) - 1, 0, -1):
             here = np.flatnonzero(place == p)
-            b = np.einsum("pij,pj->pi", m[at[here]], beta0[here])
+            b = np.einsum("pij,pj->pi", m[at[here]], beta0[here]) @ moves.T
             beta0[here - 1] = b / b.sum(1, keepdims=True)
     out[word] = _chain(grid, moves, alpha0, beta0)[row, col]
     return out
@@ -180,8 +181,9 @@ def fit(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 6, batch: int
     rng.shuffle(parts)
     flow = np.concatenate(parts) if parts else np.zeros(0, np.int64)
     flow = flow[: len(flow) // STEP * STEP].reshape(-1, STEP)
-    word, bucket = features(buf, words.start, words.end)
-    lo, hi = np.searchsorted(word, np.arange(len(words.start))), np.searchsorted(word, np.arange(len(words.start)), side="right")
+    _, first, kind = np.unique(words.hash, return_index=True, return_inverse=True)  # features once a distinct word
+    word, bucket = features(buf, words.start[first], words.end[first])
+    lo, hi = np.searchsorted(word, np.arange(len(first)))[kind], np.searchsorted(word, np.arange(len(first)), side="right")[kind]
     g_w, g_m = np.full((BUCKETS, n_lang), 1e-4, np.float32), np.full((n_lang, n_lang), 1e-4)
     model.moves += np.eye(n_lang)
     for _ in range(epochs):
