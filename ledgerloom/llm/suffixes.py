@@ -185,7 +185,7 @@ def repeated_bytes(docs: DataFrame, order_id: str, column: str = "text", size: i
     """Blocks of docs with the replies of both exchanges, and a function for workers that gives, for such a row,
     (batch, buf, offsets, gone): which bytes lie in a string of size bytes that also starts in a document with a
     smaller ``order_id`` (a long column; null is larger than any)."""
-    blocks = to_blocks(docs, column)
+    blocks = to_blocks(docs, column, block_bytes=1 << 20)  # a worker holds some hundred bytes a byte of text
     buckets = n_buckets(blocks)
     w = size - K + 1
 
