@@ -197,3 +197,14 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT r, unnest(range(1, len(ws) + 1)) AS k, len(ws) AS n, ws FROM d),
+s AS (SELECT r, k, CASE WHEN k + 34 <= n THEN md5(array_to_string(ws[k:k + 34], ' ')) END AS h, ws[k] AS word FROM w),
+c AS (SELECT h FROM s WHERE h IS NOT NULL GROUP BY h HAVING count(*) > 1),
+g AS (SELECT s.r, s.k, s.word, max(CASE WHEN c.h IS NOT NULL THEN s.k END) OVER (PARTITION BY s.r ORDER BY s.k ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone FROM s LEFT JOIN c ON s.h = c.h),
+a AS (SELECT r, count(*) FILTER (WHERE gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY k) FILTER (WHERE NOT gone), '') AS kept FROM g GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN a USING (r)
+"""
