@@ -5,7 +5,7 @@ PartEnum splits the shingle domain into n1 parts; two sets within k differ by at
 Each part is split in n2, and every choice of n2 - k // n1 of these gives one signature: the hash of the set's shingles
 there. Sets within k share a signature for certain; a set signs for its own band and the next larger one.
 
-With its signatures a set sends a parity sketch (512 bits, more for large sets), which bounds the difference of two sets from below. Of sets
+With its signatures a set sends a parity sketch (256 bits, more for large sets), which bounds the difference of two sets from below. Of sets
 that share a signature only those are joined to a candidate group that the sketch lets be similar, over a spanning
 forest, never as all pairs. A group is verified exactly by its sets in tiles; pairs that are already linked over others
 are skipped, so a family of thousands of near copies costs about one exact test a member.
@@ -30,7 +30,7 @@ SLICES = 8
 #: Members of a tile, so many sets are in a task at once, or twice as many from two tiles.
 TILE = 2048
 #: Bytes of text for each bucket of signatures.
-BUCKET_TEXT = 80 << 20
+BUCKET_TEXT = 40 << 20
 
 
 class Sets:
@@ -143,7 +143,7 @@ class Forest:
 
 
 #: Largest sets of each sketch level; words of 64 bits that a sketch of the level has.
-LEVEL_SIZES, LEVEL_WORDS = np.array([640, 2600, 10_000]), np.array([8, 32, 128, 512])
+LEVEL_SIZES, LEVEL_WORDS = np.array([200, 640, 2600, 10_000]), np.array([4, 8, 32, 128, 512])
 
 
 def level_of(n: np.ndarray) -> np.ndarray:
