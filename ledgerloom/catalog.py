@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import dates as D, money as M, text as T, values as V
 from .functions.fuzzy import score
-from .operators import classify as C, conform as O, coverage as L, facts as A, matching as R, requests as Q, suppliers as S, taxonomy as X
+from .operators import classify as C, conform as O, coverage as L, diagnostics as G, facts as A, matching as R, requests as Q, suppliers as S, taxonomy as X
 from .plans.substrate import BASE, CODED, COMPANIES, MESSY, NAMES, SPEND, select, views
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -386,7 +386,7 @@ def score_histogram(spark, d):
 @register("SELECT n.n_name AS supplier_clean, count(*) AS candidates, count(*) >= 5 AS at_cap FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY 1")
 def homonyms_at_cap(spark, d):
     views(spark, d)
-    return spark.table("supplier").join(spark.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("supplier_clean")).agg(F.count(F.lit(1)).alias("candidates"), (F.count(F.lit(1)) >= 5).alias("at_cap"))
+    return G.homonyms_at_cap(spark.table("supplier").join(spark.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("supplier_clean")))
 
 
 LABELS = """labelled AS (SELECT CAST(p_partkey AS VARCHAR(10)) AS supplier_clean, CASE WHEN p_partkey % 3 = 0 THEN 'Y' ELSE 'N' END AS label, CASE p_partkey % 4 WHEN 0 THEN 'see ' || lpad(CAST(p_partkey + 1 AS VARCHAR(8)), 8, '0') WHEN 1 THEN 'maybe SC123456' WHEN 2 THEN 'no. ' || CAST(100000 + p_partkey AS VARCHAR(8)) ELSE NULL END AS note, lpad(CAST(p_partkey AS VARCHAR(8)), 8, '0') AS company_number FROM part)"""
@@ -507,6 +507,99 @@ def parse_answers(spark, d):
     return Q.parse_answers(select(spark, d, "replies", RESPONSES.replace("\\", "\\\\")), ["TAXONOMY_CODE", "RESOLUTION_STATUS"])
 
 
+# ---- diagnostics ---------------------------------------------------------------------------------------------------
+
+SPENT = "spent AS (SELECT CAST(p_partkey AS VARCHAR(10)) AS supplier_clean, CAST(p_retailprice * 50 AS DECIMAL(18,2)) AS amount FROM part WHERE p_partkey % 6 <> 0)"
+PROBED = """probed AS (SELECT CAST(p_partkey AS VARCHAR(10)) AS supplier_clean, lpad(CAST(p_partkey AS VARCHAR(8)), 8, '0') AS company_number, 1 + p_size % 2 AS rank, p_name AS extra, p_partkey AS id,
+  CASE p_partkey % 4 WHEN 0 THEN 'clean' WHEN 1 THEN 'head_modifier' WHEN 2 THEN 'loose' ELSE 'weak' END AS match_tier, CASE p_partkey % 3 WHEN 0 THEN 'plural_stem' WHEN 1 THEN 'block_miss' ELSE 'other' END AS primary_category FROM part)"""
+PRODUCTION = "production AS (SELECT supplier_clean, CASE WHEN id % 5 = 0 THEN 'none' ELSE company_number END AS company_number FROM probed WHERE id % 2 = 0)"
+_best = "best AS (SELECT p.*, amount FROM probed p LEFT JOIN spent USING (supplier_clean) WHERE rank = 1)"
+
+
+def probed(spark, d):
+    return select(spark, d, "probed", PROBED).withColumns({f"cat_{f}": F.col("id") % n == 0 for n, f in enumerate(G.FLAGS, 2)})
+
+
+def spent(spark, d):
+    return select(spark, d, "spent", SPENT)
+
+
+@register(f"WITH {SPENT}, {PROBED} SELECT supplier_clean, CAST(amount AS DOUBLE) AS amount, coalesce(amount >= 60000, FALSE) AS large FROM probed JOIN spent USING (supplier_clean) WHERE amount >= 50000")
+def money_first(spark, d):
+    return G.money_first(probed(spark, d).select("supplier_clean"), spent(spark, d), 50_000, 60_000).withColumn("amount", F.col("amount").cast("double"))
+
+
+@register(f"WITH {PROBED}, {PRODUCTION} SELECT supplier_clean, company_number, NOT EXISTS (SELECT 1 FROM production q WHERE q.supplier_clean = p.supplier_clean AND q.company_number = p.company_number) AS new_vs_production FROM probed p")
+def new_vs_production(spark, d):
+    return G.new_vs_production(probed(spark, d).select("supplier_clean", "company_number"), select(spark, d, "production", PROBED, PRODUCTION))
+
+
+@register(f"WITH {SPENT}, {PROBED}, {_best} SELECT match_tier, count(*) AS suppliers, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS amount, count(*) FILTER (WHERE amount >= 60000) AS large, match_tier IN ('clean', 'head_modifier') AS plausible FROM best GROUP BY match_tier")
+def tier_summary(spark, d):
+    return G.tier_summary(probed(spark, d), spent(spark, d), 60_000)
+
+
+@register(f"""WITH {SPENT}, {PROBED}, {_best}, k AS (SELECT * FROM best WHERE match_tier IN ('clean', 'head_modifier')), r AS (SELECT 'category' AS kind, primary_category AS name, amount FROM k{"".join(f" UNION ALL SELECT 'flag', '{f}', amount FROM k WHERE id % {n} = 0" for n, f in enumerate(G.FLAGS, 2))})
+ SELECT kind, name, count(*) AS pairs, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS amount FROM r GROUP BY 1, 2""")
+def family_summary(spark, d):
+    return G.family_summary(probed(spark, d), spent(spark, d))
+
+
+@register(f"WITH {SPENT}, {PROBED}, {_best}, t AS (SELECT unnest(string_split(extra, ' ')) AS token, amount FROM best) SELECT token, count(*) AS pairs, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS amount FROM t GROUP BY 1 ORDER BY pairs DESC, token LIMIT 30")
+def one_sided_tokens(spark, d):
+    return G.one_sided_tokens(probed(spark, d).withColumn("extra", F.split("extra", " ")), "extra", spent(spark, d))
+
+
+VERDICTS = "verdicts AS (SELECT CASE WHEN p_partkey % 3 = 0 THEN 'Y' ELSE 'N' END AS label, CASE p_size % 5 WHEN 0 THEN 'FIXED' WHEN 1 THEN 'TOP' WHEN 2 THEN 'PRESENT' WHEN 3 THEN 'ABSENT' ELSE 'UNKNOWN' END AS verdict, CASE p_size % 4 WHEN 0 THEN 'FIXED' ELSE 'ABSENT' END AS earlier FROM part)"
+
+
+@register(f"""WITH {VERDICTS}, c AS (SELECT label, count(*) AS rows, {", ".join(f"count(*) FILTER (WHERE verdict = '{v}') AS {v.lower()}" for v in ("FIXED", "TOP", "PRESENT", "ABSENT", "UNKNOWN"))} FROM verdicts GROUP BY 1) SELECT *, round((fixed + top) / nullif(rows - unknown, 0), 4) AS fixed_rate FROM c""")
+def verdict_summary(spark, d):
+    return G.verdict_summary(select(spark, d, "verdicts", VERDICTS))
+
+
+@register(f"WITH {VERDICTS}, n AS (SELECT count(*) FILTER (WHERE earlier IN ('FIXED', 'TOP')) AS before, count(*) FILTER (WHERE verdict IN ('FIXED', 'TOP')) AS after FROM verdicts WHERE label = 'N') SELECT *, after - before AS delta FROM n")
+def verdict_delta(spark, d):
+    v = select(spark, d, "verdicts", VERDICTS)
+    return G.verdict_delta(v.select("label", F.col("earlier").alias("verdict")), v)
+
+
+@register(f"WITH {LABELS}, {PROBED}, {PRODUCTION} SELECT supplier_clean, label, note, company_number FROM labelled l WHERE label = 'Y' AND NOT EXISTS (SELECT 1 FROM production p WHERE p.supplier_clean = l.supplier_clean AND lpad(p.company_number, 8, '0') = l.company_number)")
+def label_regressions(spark, d):
+    found = select(spark, d, "production", PROBED, PRODUCTION)
+    return G.regressions(select(spark, d, "labelled", LABELS), found, found.limit(0))
+
+
+@register("WITH h AS (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1) SELECT count(*) AS suppliers, count(*) FILTER (WHERE n >= 5) AS at_cap, round(100.0 * count(*) FILTER (WHERE n >= 5) / count(*), 1) AS pct FROM h")
+def homonym_share(spark, d):
+    views(spark, d)
+    return G.homonym_share(spark.table("supplier").select(F.col("s_nationkey").alias("supplier_clean")))
+
+
+LISTED = "listed AS (SELECT n.n_name AS borough, 'f' || CAST(c.c_custkey % 20 AS VARCHAR(3)) AS file, max(c.c_custkey) AS k FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name, c.c_custkey % 20)"
+FATES = "fates AS (SELECT borough, file, CASE row_idx % 5 WHEN 0 THEN 'bad_date' WHEN 1 THEN 'bad_amount' WHEN 2 THEN 'bad_supplier' ELSE 'ok' END AS fate FROM rows_in WHERE row_idx % 3 <> 0)"
+_way = "CASE WHEN k % 7 = 0 THEN NULL WHEN k % 3 = 0 THEN 'FILE' WHEN k % 3 = 1 THEN 'HEADER' ELSE 'FALLBACK' END"
+
+
+@register(f"""WITH {ROWS}, {LISTED}, {FATES}, f AS (SELECT *, {_way} AS way FROM listed), j AS (SELECT f.borough, f.file, way, count(fate) AS n, {", ".join(f"count(*) FILTER (WHERE fate = '{v}') AS n{i}" for i, v in enumerate(("ok", "bad_date", "bad_amount", "bad_supplier")))} FROM f LEFT JOIN fates t ON f.borough = t.borough AND f.file = t.file GROUP BY 1, 2, 3)
+ SELECT borough, count(*) AS files, count(*) FILTER (WHERE way = 'FILE') AS matched_by_file, count(*) FILTER (WHERE way = 'HEADER') AS matched_by_header, count(*) FILTER (WHERE way = 'FALLBACK') AS fallback_used, count(*) FILTER (WHERE way IS NULL) AS files_skipped, count(*) FILTER (WHERE way IS NOT NULL AND n = 0) AS empty_files,
+ {", ".join(f"CAST(coalesce(sum(n{i}) FILTER (WHERE way IS NOT NULL), 0) AS BIGINT) AS {c}" for i, c in enumerate(("rows_written", "bad_dates", "bad_amounts", "bad_suppliers")))} FROM j GROUP BY 1""")
+def run_stats(spark, d):
+    listed = select(spark, d, "listed", LISTED)
+    chosen = listed.withColumn("match_type", F.expr(_way)).filter("match_type is not null")
+    return G.run_stats(listed, chosen, select(spark, d, "fates", ROWS, FATES))
+
+
+@register("SELECT coalesce(CASE turn % 4 WHEN 1 THEN 'bad_json' WHEN 2 THEN 'no_key' WHEN 3 THEN 'no_text' ELSE 'CONFIDENT' END, '(none)') AS status, count(*) AS answers, count(DISTINCT CASE turn % 4 WHEN 0 THEN '12' END) AS distinct_values FROM conversations GROUP BY 1")
+def answer_summary(spark, d):
+    return Q.answer_summary(parse_answers(spark, d), "RESOLUTION_STATUS", "TAXONOMY_CODE")
+
+
+@register(f"""WITH {NAMES}, {MATCHED}, {COMPANIES}, {_key_sql('wanted', 'supplier_clean', 'sk', True)}, {_key_sql('companies', 'company_name', 'rk', False)}, fo AS (SELECT ch_row, former_1 FROM companies WHERE former_1 <> ''), {_key_sql('fo', 'former_1', 'fk', False)}, mm AS (SELECT * FROM ({"WITH " + _pref.strip()})), per AS (SELECT supplier_clean, min(outcome) AS outcome, min(match_basis) AS match_basis FROM mm GROUP BY 1) SELECT outcome, match_basis, count(*) AS suppliers, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM per GROUP BY 1, 2""")
+def match_report(spark, d):
+    return R.match_report(exact_matches(spark, d))
+
+
 @register("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total FROM events GROUP BY 1, 2")
 def event_windows(spark, d):
     from .streaming.ingest import windowed_counts

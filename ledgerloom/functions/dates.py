@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from . import values as V
-from .text import strip
+from .text import link_text, strip
 
 _NAMES = "|".join(sorted(V.MONTHS, key=len, reverse=True))
 
@@ -108,5 +108,21 @@ def period_kind(text: Column) -> Column:
     return F.when(s.rlike(r"\bq[1-4]\b|quarter") | s.rlike(rf"\b(?:{_NAMES})\s*(?:-|–|to)\s*(?:{_NAMES})\b"), "quarterly").when(s.rlike(rf"\b(?:{_NAMES})"), "monthly").when(s.rlike(r"20\d{2}"), "annual")
 
 
+def period_pattern(text: Column) -> Column:
+    """A pattern for the link texts of the same series as a sample: its own words, with months, years and quarters open.
+
+    Null where the sample names no period; a year counts as one only if it is the whole text. Match it ignoring case.
+    """
+    s = F.lower(link_text(text))
+    kind = period_kind(s)
+    plain = F.regexp_replace(s, r"([^\w\s])", r"\\$1")
+    months = F.regexp_replace(plain, rf"\b(?:{_NAMES})\b", r"[a-z]{3,9}")
+    years = F.regexp_replace(months, r"\b20\d{2}\b", r"20\\d{2}")
+    halves = F.regexp_replace(years, r"(20\\d\{2\}\\[/-])\d{2}\b", r"$1\\d{2}")
+    quarters = F.regexp_replace(F.regexp_replace(halves, r"\bq[1-4]\b", "q[1-4]"), r"\bquarter\s+\w+", r"quarter \\w+")
+    open_ = F.regexp_replace(quarters, r"\s+", r"\\s+")
+    return F.when(kind.isin("quarterly", "monthly") | ((kind == "annual") & s.rlike(r"^\d{4}$")), F.concat(F.lit("(?i)"), open_))
+
+
 def looks_like_date(c: Column) -> Column:
     return standard_date(c).isNotNull()

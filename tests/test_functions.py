@@ -89,3 +89,10 @@ def test_scorers():
     assert fuzzy.token_sort_ratio("b a", "a b") == 100 and fuzzy.token_set_ratio("a b", "a b c") == 100
     assert fuzzy.partial_ratio("abc", "xxabcxx") == 100 and fuzzy.weighted_ratio("", "a") == 0
     assert fuzzy.weighted_ratio("acme works", "works acme") == 95
+
+
+def test_period_pattern(spark):
+    samples = [("Spend over £500 March 2021 (CSV 12 KB)", "spend over £500 July 2024", "spend over £500 2024"), ("Q1 2021/22 payments", "Q4 2023/24 Payments", "Q5 2023/24 payments"), ("Quarter one 2021", "quarter three 2022", "quarter three"), ("2020", "2024", "x"), ("Card", "Card", None), (None, "2020", None), ("Spend 2020", "Spend 2020", None)]
+    df = spark.createDataFrame(samples, "sample string, good string, bad string").withColumn("p", D.period_pattern(F.col("sample")))
+    got = df.select(F.expr("regexp_like(good, concat('^', p, '$'))").alias("good"), F.expr("regexp_like(bad, concat('^', p, '$'))").alias("bad")).collect()
+    assert [r.good for r in got] == [True] * 4 + [None] * 3 and [r.bad for r in got] == [False] * 4 + [None] * 3
