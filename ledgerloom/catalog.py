@@ -509,7 +509,7 @@ def parse_answers(spark, d):
 
 # ---- diagnostics ---------------------------------------------------------------------------------------------------
 
-SPENT = "spent AS (SELECT CAST(p_partkey AS VARCHAR(10)) AS supplier_clean, CAST(p_retailprice * 50 AS DECIMAL(18,2)) AS amount FROM part WHERE p_partkey % 6 <> 0)"
+SPENT = "spent AS (SELECT CAST(p_partkey AS VARCHAR(10)) AS supplier_clean, CAST(p_retailprice * (10 + p_partkey % 90) AS DECIMAL(18,2)) AS amount FROM part WHERE p_partkey % 6 <> 0)"
 PROBED = """probed AS (SELECT CAST(p_partkey AS VARCHAR(10)) AS supplier_clean, lpad(CAST(p_partkey AS VARCHAR(8)), 8, '0') AS company_number, 1 + p_size % 2 AS rank, p_name AS extra, p_partkey AS id,
   CASE p_partkey % 4 WHEN 0 THEN 'clean' WHEN 1 THEN 'head_modifier' WHEN 2 THEN 'loose' ELSE 'weak' END AS match_tier, CASE p_partkey % 3 WHEN 0 THEN 'plural_stem' WHEN 1 THEN 'block_miss' ELSE 'other' END AS primary_category FROM part)"""
 PRODUCTION = "production AS (SELECT supplier_clean, CASE WHEN id % 5 = 0 THEN 'none' ELSE company_number END AS company_number FROM probed WHERE id % 2 = 0)"
