@@ -105,3 +105,27 @@ def test_scoring_is_a_distribution():
 def test_scoring_empty(none):
     words, net = scoring.learn(none)
     assert scoring.score(none, words, net).count() == 0
+
+
+def test_rare_words_have_their_own_probability(spark):
+    """Words beyond the network's tokens: shares of a class are those of the full counts and sum to 1 with the unseen."""
+    kept = [f"w{i}" for i in range(scoring.WORDS_KEPT)]
+    rare = [f"rare{i}" for i in range(300)]
+    texts = [" ".join(kept * 8)] + [" ".join(rare[: 300 // k]) for k in range(1, 6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    words, net = scoring.learn(docs, rounds=0)
+    count = Counter(w for t in texts for w in t.split())
+    hashed = {w: scoring.Words(*scoring.texts(scoring.pa.RecordBatch.from_pydict({"text": [w]}), "text")).hash for w in [*rare, "unseen"]}
+    token = {w: int(words.tokens(h)[0]) for w, h in hashed.items()}
+    assert min(token.values()) >= scoring.WORDS_KEPT
+    total = Counter()
+    for w in rare:
+        total[token[w]] += count[w]
+    asked = spark.createDataFrame([(i, w) for i, w in enumerate(hashed)], "doc_id long, text string")
+    got = {r.doc_id: r.log_likelihood for r in scoring.score(asked, words, net).collect()}
+    edge = np.full((1, 2 * scoring.WINDOW), scoring.TOKENS)
+    for i, w in enumerate(hashed):
+        own = net.log_probabilities(edge, np.array([token[w]]))[0]
+        assert got[i] == pytest.approx(own + np.log(max(count[w], 1) / (total[token[w]] + 1)), abs=2e-4)
+    same = [(a, b) for a in rare[:60] for b in rare[150:] if token[a] == token[b]]
+    assert same and all(got[rare.index(a)] > got[rare.index(b)] for a, b in same)
