@@ -1,8 +1,8 @@
 """Quality rules with an isolation forest on rule statistics.
 
-One pass over whole texts gives a row of rule statistics a document. A forest of random splits is grown on the driver
-on a bounded sample of those rows (an isolation tree sees 256 rows by design); workers compute path lengths of all
-rows. The threshold comes from a histogram of the scores of labelled rows.
+One pass over whole texts gives a row of rule statistics a document. Forests of random splits, one a group of rates, are
+grown on the driver on a bounded sample of those rows (an isolation tree sees 256 rows by design); workers compute path
+lengths of all rows. The thresholds come from histograms of the scores of labelled rows.
 """
 
 from __future__ import annotations
@@ -95,13 +95,23 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def vectors(f: pd.DataFrame) -> np.ndarray:
-    """Rule statistics as rates, so that long and short documents compare: symbols a word, symbols among symbols and
-    letters, signs that are no letters in words, repeated lines."""
-    symbols, words = f["n_symbols"], np.maximum(f["n_words"], 1)
-    return np.column_stack([
-        symbols / words, symbols / np.maximum(symbols + f["n_alpha"], 1), 1 - f["n_alpha"] / np.maximum(f["word_chars"], 1), f["n_dup_lines"] / np.maximum(f["n_lines"], 1),
-    ]).astype(np.float64)
+def vectors(f: pd.DataFrame) -> list[np.ndarray]:
+    """Rule statistics as rates, so that long and short documents compare, in groups of a forest each: in one forest of
+    all, the spread that good documents have in some rates hides what is odd in others.
+
+    Signs: symbols a word, symbols among symbols and letters, signs that are no letters in words, repeated lines.
+    Variety: distinct words a word. Make of words: length, digits, upper case, words in repeated windows.
+    """
+    symbols, words, chars = f["n_symbols"], np.maximum(f["n_words"], 1), np.maximum(f["word_chars"], 1)
+    groups = [
+        [symbols / words, symbols / np.maximum(symbols + f["n_alpha"], 1), 1 - f["n_alpha"] / chars, f["n_dup_lines"] / np.maximum(f["n_lines"], 1)],
+        [f["n_types"] / words],
+        [f["word_chars"] / words, f["n_digits"] / chars, f["n_upper"] / chars, f["n_repeat_words"] / words],
+    ]
+    return [np.column_stack(g).astype(np.float64) for g in groups]
+
+
+SCORES = ["_signs", "_variety", "_make"]
 
 
 def _expected(n: float) -> float:
@@ -155,37 +165,61 @@ class Forest:
         return 2.0 ** (-total / len(self.trees) / max(_expected(self.size), 1e-9))
 
 
-def grow(stats: DataFrame, good: DataFrame, draw: list[Column]) -> Forest:
-    """A forest on at most SAMPLE_ROWS rows that pass the base rules, the first in the order of ``draw``: seven in eight
+def grow(stats: DataFrame, good: DataFrame, draw: list[Column]) -> list[Forest]:
+    """A forest a group of rates, on at most SAMPLE_ROWS rows that pass the base rules, the first in the order of ``draw``: seven in eight
     from ``good``, the rows labelled good, the rest from all. Where junk is common it would hide among its like."""
     first = lambda df, n: df.filter(~base_failed()).orderBy(*draw).limit(n).select(*COUNTS).toPandas()
     known = first(good, SAMPLE_ROWS * 7 // 8)
     rows = pd.concat([known, first(stats, max(1, len(known) // 7) if len(known) else SAMPLE_ROWS)], ignore_index=True)
-    return Forest(vectors(rows) if len(rows) else np.zeros((0, 4)))
+    return [Forest(x, 11 + i) for i, x in enumerate(vectors(rows))]
 
 
-def scored(stats: DataFrame, forest: Forest) -> DataFrame:
-    shared = stats.sparkSession.sparkContext.broadcast(forest)  # TREES trees of 2 * TREE_ROWS nodes at most
+def scored(stats: DataFrame, forests: list[Forest]) -> DataFrame:
+    shared = stats.sparkSession.sparkContext.broadcast(forests)  # TREES trees of 2 * TREE_ROWS nodes at most in each
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield f.assign(anomaly=np.round(shared.value.score(vectors(f)), 6))
-
-    return stats.mapInPandas(run, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema], "anomaly double"]))
-
-
-def calibrate(labelled: DataFrame) -> float:
-    """Threshold on anomaly from rows (anomaly, quality) that pass the base rules: what tells most bad ones from good ones,
-    while at most GOOD_LOST of the good ones are above it. Above 1, so that all stay, where there is nothing to learn."""
-    rows = labelled.groupBy((F.floor(F.col("anomaly") * 1000)).alias("bin")).agg(F.sum(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("good"), F.sum(F.when(F.col("quality") == 0, 1).otherwise(0)).alias("bad"))
-    h = rows.toPandas().sort_values("bin", ascending=False)  # 1001 bins at most
-    good, bad = h["good"].sum(), h["bad"].sum()
-    if not len(h) or not good or not bad:
-        return 2.0
-    lost, caught = h["good"].cumsum() / good, h["bad"].cumsum() / bad
-    gain = (caught - lost).where(lost <= GOOD_LOST, -1.0)
-    best = gain.to_numpy().argmax()
-    return float(h["bin"].iloc[best]) / 1000 if gain.iloc[best] > 0 else 2.0
+            yield f.assign(**{c: np.round(forest.score(x), 6) for c, forest, x in zip(SCORES, shared.value, vectors(f))})
+
+    return stats.mapInPandas(run, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema], *[f"{c} double" for c in SCORES]]))
+
+
+#: Above all scores, so that all stay.
+OFF = 2.0
+
+
+def calibrate(labelled: DataFrame) -> list[float]:
+    """Thresholds on SCORES from rows (scores, quality) that pass the base rules, one after another: what tells most bad
+    ones from good ones among rows that are still in, while at most GOOD_LOST of all the good ones are above any. OFF
+    where there is nothing to learn."""
+    good, bad = labelled.agg(F.sum((F.col("quality") == 1).cast("long")), F.sum((F.col("quality") == 0).cast("long"))).first()
+    limits: list[float] = []
+    spent = 0
+    for c in SCORES:
+        left = labelled.filter(F.lit(True) if not limits else F.expr(" and ".join(f"`{k}` < {v}" for k, v in zip(SCORES, limits))))
+        rows = left.groupBy(F.floor(F.col(c) * 1000).alias("bin")).agg(F.sum((F.col("quality") == 1).cast("long")).alias("good"), F.sum((F.col("quality") == 0).cast("long")).alias("bad"))
+        h = rows.toPandas().sort_values("bin", ascending=False)  # 1001 bins at most
+        limit = OFF
+        if len(h) and good and bad:
+            lost, caught = h["good"].cumsum(), h["bad"].cumsum()
+            gain = (caught / bad - lost / good).where((spent + lost) / good <= GOOD_LOST, -1.0)
+            best = gain.to_numpy().argmax()
+            if gain.iloc[best] > 0:
+                limit = float(h["bin"].iloc[best]) / 1000
+                spent += int(lost.iloc[best])
+        limits.append(limit)
+    return limits
+
+
+def anomaly(limits: list[float]) -> tuple[Column, float]:
+    """One score and one threshold for SCORES and their thresholds: each score is moved so that its threshold meets that of
+    the first in use, and the largest counts."""
+    used = [(c, v) for c, v in zip(SCORES, limits) if v < OFF]
+    if not used:
+        return F.col(SCORES[0]), OFF
+    limit = used[0][1]
+    moved = [F.round(F.col(c) - F.lit(v) + F.lit(limit), 6) for c, v in used]
+    return F.least(F.lit(1.0), F.greatest(*moved, F.lit(0.0))), limit
 
 
 def judge(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
@@ -197,10 +231,9 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     stats = materialize(statistics(docs, keep))
     agreed = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_other")).filter(F.col("quality") == F.col("_other"))
     labelled = stats.join(agreed.select("doc_id", "quality"), "doc_id").filter(~base_failed())
-    forest = grow(stats, labelled.filter(F.col("quality") == 1), [F.xxhash64(*keep, *COUNTS), *[F.col(c) for c in COUNTS]])
-    marked = scored(stats, forest)
-    sample = scored(labelled, forest)
-    limit = calibrate(sample)
+    forests = grow(stats, labelled.filter(F.col("quality") == 1), [F.xxhash64(*keep, *COUNTS), *[F.col(c) for c in COUNTS]])
+    value, limit = anomaly(calibrate(materialize(scored(labelled, forests).select("quality", *SCORES))))
+    marked = scored(stats, forests).withColumn("anomaly", value).drop(*SCORES)
     return marked.withColumn("threshold", F.lit(limit)).withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & (F.col("anomaly") < F.lit(limit)))
 
 

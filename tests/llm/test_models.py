@@ -85,6 +85,20 @@ def test_quality(spark, sf, none):
     assert quality.judge(none, labels, ["doc_id"]).count() == 0
 
 
+def test_quality_sees_repeated_words(spark):
+    """Bad documents whose words repeat at once have the signs of good ones; the variety of words tells them."""
+    rng = np.random.default_rng(4)
+    words = [a + b for a in ("this", "tha", "ore", "wher", "stil") for b in ("nt", "ing", "er", "ly", "ow", "est")]
+    text = lambda again: " ".join(w for w in rng.choice(words, 30, replace=False)[: 30 // again] for _ in range(again))
+    rows = [(i, text(1)) for i in range(600)] + [(600 + i, text(5)) for i in range(10)] + [(700 + i, text(1) + " <|> ##" * 8) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 600), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality.judge(docs, labels, ["doc_id"]).collect()}
+    assert not any(got[600 + i].base_failed or got[600 + i].kept or got[700 + i].kept for i in range(10))
+    assert all(0 <= r.anomaly <= 1 and r.kept == (not r.base_failed and r.anomaly < r.threshold) for r in got.values())
+    assert sum(not got[i].kept for i in range(600)) <= 0.002 * 600
+
+
 def test_scoring(spark, docs, rows):
     words, net = scoring.learn(docs)
     got = {(r.doc_id, r.n_tokens): r for r in scoring.score(docs, words, net).collect()}
