@@ -301,7 +301,7 @@ def match_suppliers(spark, d):
 def recall_probe(spark, d):
     found = match_suppliers(spark, d)
     misses = found.filter("outcome = 'no_match'").select("supplier_clean")
-    return R.recall_probe(misses, registry(spark, d), block_tokens=2, max_df=400, max_pool=60).select("supplier_clean", "ch_row", "rank", "token_set", "weighted", "token_sort", "partial", "match_tier", "primary_category", "anchor_token", "anchor_df")
+    return R.recall_probe(misses, registry(spark, d)).select("supplier_clean", "ch_row", "rank", "token_set", "weighted", "token_sort", "partial", "match_tier", "primary_category", "anchor_token", "anchor_df")
 
 
 @register(f"WITH {COMPANIES}, {_key_sql('companies', 'company_name', 'k', False)} SELECT token, count(*) AS df FROM (SELECT DISTINCT ch_row, unnest(toks) AS token FROM k) GROUP BY 1")

@@ -65,6 +65,20 @@ def test_person(spark):
     assert got == {"Mary Jones": "Persons Name", "Mary Jones Ltd": "Business", "JD Jones": "Business", "Ann Lee & Mary Jones": "Persons Name"}
 
 
+def test_recall_probe_meets_all_rows(spark, monkeypatch):
+    """The registered query scores rows far down the registry, of tokens that many rows have."""
+    from ledgerloom import catalog
+
+    names = [(i, f"{('alpha', 'beta')[i % 2]} row{i}") for i in range(1, 901)] + [(901, "alpha beta gamma")]
+    companies = spark.createDataFrame([(i, n, f"{i:08d}", "Active", "x", "", "", "", "", "") for i, n in names], "ch_row long, company_name string, company_number string, status string, town string, sic_1 string, sic_2 string, sic_3 string, sic_4 string, former_1 string")
+    monkeypatch.setattr(catalog, "match_suppliers", lambda s, d: spark.createDataFrame([("Alpha Beta", "no_match")], "supplier_clean string, outcome string"))
+    monkeypatch.setattr(catalog, "registry", lambda s, d: R.registry(companies))
+    got = catalog.recall_probe(spark, "").filter("rank = 1").collect()
+    assert [(r.ch_row, r.token_set) for r in got] == [(901, 100)]
+    few = R.recall_probe(spark.createDataFrame([("Alpha Beta",)], "supplier_clean string"), R.registry(companies), block_tokens=1, max_df=10, max_pool=60)
+    assert 901 not in {r.ch_row for r in few.collect()}
+
+
 def test_cascade(spark):
     companies = spark.createDataFrame([(1, "Acme Works Limited", "00000001", "Active", "x", "", "", "", "", ""), (2, "Acme Widgets", "00000002", "Active", "x", "", "", "", "", "Old Widgets"), (3, "Fred Mathew Conway", "00000003", "Active", "x", "", "", "", "", "")], "ch_row long, company_name string, company_number string, status string, town string, sic_1 string, sic_2 string, sic_3 string, sic_4 string, former_1 string")
     wanted = spark.createDataFrame([("ACME WORKS LTD",), ("Old Widgets Ltd",), ("Acme Wurks",), ("F M Conway",), ("Nobody Else",)], "supplier_clean string")
