@@ -277,20 +277,20 @@ def links_among(ids: list[int], sets: list[np.ndarray], num: int, den: int, tile
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, set_id and n_shingles of every row."""
+    """doc_id, set_id, n_shingles and text_key (a hash of the text) of every row."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in split(whole, "text", 1 << 20):
                 s = Sets(*texts(batch, "text"), size)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s.id), pa.array(s.n.astype(np.int64))], ["doc_id", "set_id", "n_shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s.id), pa.array(s.n.astype(np.int64)), batch.column(2)], ["doc_id", "set_id", "n_shingles", "text_key"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, set_id long, n_shingles long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")).mapInArrow(run, "doc_id long, set_id long, n_shingles long, text_key long")
 
 
 def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
-    """(nodes, labels): a row (doc_id, set_id, n_shingles) for each document, and (id, label) for each set_id that is
+    """(nodes, labels): a row (doc_id, set_id, n_shingles, text_key) for each document, and (id, label) for each set_id that is
     linked to another one, with one label for each component of links den * |A and B| >= num * |A or B|.
 
     Documents with equal sets share the set_id (64 bits of all shingles), so they are linked without a row in labels.
@@ -352,18 +352,23 @@ def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     return nodes, materialize(connected_components(links))
 
 
+def _near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Columns of near_duplicates and text_key, which tells rows of one doc_id apart."""
+    nodes, labels = similar_components(docs, size, num, den)
+    # documents without words get no class
+    named = nodes.join(labels, nodes["set_id"] == labels["id"], "left").withColumn("class", F.when(F.col("n_shingles") > 0, F.coalesce("label", "set_id")))
+    named = materialize(named.select("doc_id", "n_shingles", "text_key", "class"))
+    least = named.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("_least")).withColumnRenamed("class", "_c")
+    return named.join(least, named["class"] == least["_c"], "left").select("doc_id", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"), "text_key")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included) for every row.
 
     A document without words (or null text) is linked with nothing. Rows with equal texts are linked, repeated rows
     too. A null doc_id is reached like others, but is never the smallest unless the component has no other.
     """
-    nodes, labels = similar_components(docs, size, num, den)
-    # documents without words get no class
-    named = nodes.join(labels, nodes["set_id"] == labels["id"], "left").withColumn("class", F.when(F.col("n_shingles") > 0, F.coalesce("label", "set_id")))
-    named = materialize(named.select("doc_id", "n_shingles", "class"))
-    least = named.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("_least")).withColumnRenamed("class", "_c")
-    return named.join(least, named["class"] == least["_c"], "left").select("doc_id", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"))
+    return _near_duplicates(docs, size, num, den).drop("text_key")
 
 
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
@@ -376,9 +381,9 @@ def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words are no duplicates and stay. Of rows that repeat a doc_id and its text one stays; rows that
     share a doc_id but not a text, and rows without a doc_id, stay.
     """
-    found = near_duplicates(docs)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    found = _near_duplicates(docs)
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_text_key")).distinct()
+    kept = docs.join(gone, (F.col("doc_id").cast("long") == F.col("_gone")) & (F.xxhash64("text") == F.col("_text_key")), "left_anti")
     again = found.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").select(F.col("doc_id").alias("_again"))
     marked = kept.join(again, F.col("doc_id").cast("long") == F.col("_again"), "left")
     once = marked.filter("_again is null").select(*docs.columns)

@@ -141,6 +141,14 @@ def test_empty(none):
     assert jaccard.near_duplicates(none).count() == recompression.remove_repeats(none).count() == suffixes.remove_repeats(none).count() == 0
 
 
+def test_rows_of_one_id_are_told_apart(spark, rows):
+    """Of two texts with one doc_id only the near copy of a smaller id goes."""
+    near, other = [t for _, t, *_ in rows if t and len(t) > 200][:2]
+    docs = spark.createDataFrame([(1, near), (5, near + " more"), (5, other), (5, None), (6, near)], "doc_id long, text string")
+    kept = jaccard.near_duplicate_stage(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == sorted([(1, near), (5, other), (5, "")])
+
+
 def test_stages(spark, docs, rows):
     kept = jaccard.near_duplicate_stage(spark, docs, "").collect()
     want = components(rows, 5, 80)
