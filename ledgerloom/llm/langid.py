@@ -233,8 +233,9 @@ def train(docs: DataFrame, trainable) -> Model:
     return fit(found)
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """The columns in ``keep`` + lang_pred, score (called ``names``) for every row.
+def predict(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """The columns in ``keep`` + lang_pred, score (called ``names``) for every row. A third name asks for the confidence,
+    the mean over words of the largest posterior, whichever language it is of; 0 for ``und``.
 
     lang_pred is ``und`` and score 0 where text is null or has no letter (or nothing was learned); else score is the
     mean posterior of the winning language over the text's words. Ties go to the first language by name.
@@ -252,7 +253,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, st
                 n_docs = len(offsets) - 1
                 buf = fold_case(raw)
                 words = Words(buf, offsets, gap=NOT_LETTER)
-                best, score, named = np.zeros(n_docs, int), np.zeros(n_docs), words.count > 0
+                best, score, sure, named = np.zeros(n_docs, int), np.zeros(n_docs), np.zeros(n_docs), words.count > 0
                 ascii_letter = np.zeros(len(raw) + 1, np.int64)
                 np.cumsum(((raw | 32) >= 97) & ((raw | 32) <= 122), out=ascii_letter[1:])
                 for i in np.flatnonzero(named & (ascii_letter[offsets[1:]] == ascii_letter[offsets[:-1]])):
@@ -266,14 +267,18 @@ def predict(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, st
                     sums = total[words.first + words.count] - total[words.first]
                     best = sums.argmax(1)
                     score = np.where(words.count > 0, sums[np.arange(n_docs), best] / np.maximum(words.count, 1), 0.0)
+                    if len(names) > 2:
+                        most = np.append(0.0, np.cumsum(post.max(1), dtype=np.float64))
+                        sure = (most[words.first + words.count] - most[words.first]) / np.maximum(words.count, 1)
                 named &= len(m.languages) > 0
                 said = pa.array([m.languages[b] if ok else "und" for b, ok in zip(best, named)], pa.string())
                 cols = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays([*cols, said, pa.array(np.clip(np.where(named, score, 0.0), 0, 1))], [*keep, *names])
+                numbers = [pa.array(np.clip(np.where(named, x, 0.0), 0, 1)) for x in (score, sure)[: len(names) - 1]]
+                yield pa.RecordBatch.from_arrays([*cols, said, *numbers], [*keep, *names])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep]
     keep = [f.name for f in docs.schema if f.name in keep]
-    return docs.mapInArrow(run, ", ".join([*fields, f"`{names[0]}` string", f"`{names[1]}` double"]))
+    return docs.mapInArrow(run, ", ".join([*fields, f"`{names[0]}` string", *[f"`{n}` double" for n in names[1:]]]))
 
 
 def held_out_rows():
@@ -289,7 +294,8 @@ def op5_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
-    """Pipeline stage: keeps documents with a language whose mean posterior is ``least`` or more; all columns kept."""
+    """Pipeline stage: keeps documents with a language, whose words have a mean largest posterior of ``least`` or more
+    whatever languages they mix; all columns kept."""
     model = train(docs, F.lit(True))
-    said = ("_lang_of_text", "_lang_score")
-    return predict(docs, model, docs.columns, said).filter((F.col(said[0]) != "und") & (F.col(said[1]) >= least)).select(*docs.columns)
+    said = ("_lang_of_text", "_lang_score", "_lang_sure")
+    return predict(docs, model, docs.columns, said).filter((F.col(said[0]) != "und") & (F.col(said[2]) >= least)).select(*docs.columns)

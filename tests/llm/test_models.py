@@ -54,6 +54,20 @@ def test_language_stage(spark, docs):
     assert not ids & {90, 91, 92, 93} and set(range(60)) <= ids
 
 
+def test_language_stage_keeps_mixed_texts(spark):
+    """A text of four languages, each word plainly of one, has no language of half its words and stays."""
+    words = {"a": ["thing", "where", "thore"], "b": ["lement", "queux", "eauoi"], "c": ["schiff", "zwicht", "ubungen"], "d": ["llamos", "ninado", "cajita"]}
+    rng = np.random.default_rng(2)
+    say = lambda lang, n: " ".join(rng.choice(words[lang], n))
+    rows = [(i, say(lang, 40), lang) for lang in words for i in range(30)]
+    mixed = " ".join(say(lang, n) for lang, n in (("a", 36), ("b", 32), ("c", 28), ("d", 24)))
+    docs = spark.createDataFrame([*[(n, t, lang) for n, (_, t, lang) in enumerate(rows)], (999, mixed, "a"), (1000, "12 !?", "a")], "doc_id long, text string, lang string")
+    ids = {r.doc_id for r in langid.language_stage(spark, docs, "").collect()}
+    assert 999 in ids and 1000 not in ids
+    score = {r.doc_id: r.score for r in langid.predict(docs, langid.train(docs, F.lit(True)), ["doc_id"]).collect()}
+    assert score[999] < 0.5
+
+
 def stats(t):
     t = t or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
