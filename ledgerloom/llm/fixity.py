@@ -105,8 +105,10 @@ def place(records: DataFrame, order: list[Column], per_archive: int = ARCHIVE_RE
 
 
 def op8_warc_fixity(spark, sf_dir: str) -> DataFrame:
-    """Stores all pages as WARC records twice; in the second replica the first character of the body is another one where
-    md5(url) starts with 00, 55 or aa. Returns the damaged records that the audit locates.
+    """Audits two replicas of all pages as WARC records. No archive is written or read back: the hashes of both replicas
+    are computed from the pages, and both have the same offsets and lengths. In the second one the first character of
+    the body is another one where md5(url) starts with 00, 55 or aa. Returns the damaged records that the audit locates;
+    missing, cut or shifted records do not occur.
 
     Null fields are empty; pages that repeat are records of their own; pages with an empty body cannot be damaged.
     """
