@@ -91,12 +91,16 @@ def n_buckets(blocks: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
 SENT = "bucket int, block long, data binary"
 
 
-def send(block: int, keys: np.ndarray, rows: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows for the exchange: ``rows`` (a structured or plain array) dealt to buckets by keys, in order within a bucket."""
-    if len(keys):
-        to = (keys % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        ends = np.searchsorted(to[order], np.arange(buckets + 1))
+def _dealt(to: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of items by bucket, and where each bucket starts in it."""
+    order = np.argsort(to, kind="stable")
+    return order, np.searchsorted(to[order], np.arange(buckets + 1))
+
+
+def send(block: int, to: np.ndarray, rows: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows for the exchange: ``rows`` (a structured or plain array) dealt to the buckets ``to``, in order within a bucket."""
+    if len(to):
+        order, ends = _dealt(to, buckets)
         used = np.flatnonzero(np.diff(ends))
         sorted_rows = rows[order]
         yield pa.RecordBatch.from_arrays(
@@ -105,16 +109,19 @@ def send(block: int, keys: np.ndarray, rows: np.ndarray, buckets: int) -> Iterat
         )
 
 
-def answers(keys: np.ndarray, buckets: int, got: list[tuple[int, bytes]]) -> np.ndarray:
-    """One bit for each key, from the replies (bucket, packed bits) of its block."""
-    out = np.zeros(len(keys), dtype=bool)
-    to = (keys % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(to, kind="stable")
-    ends = np.searchsorted(to[order], np.arange(buckets + 1))
+def hashed(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of 64-bit keys."""
+    return (keys % np.uint64(buckets)).astype(np.int64)
+
+
+def answers(to: np.ndarray, buckets: int, got: list[tuple[int, bytes]], width: int = 1) -> np.ndarray:
+    """The bits of each item (width a row), from the replies (bucket, packed bits) of its block."""
+    out = np.zeros((len(to), width), dtype=bool)
+    order, ends = _dealt(to, buckets)
     for b, bits in got:
-        n = ends[b + 1] - ends[b]
-        out[order[ends[b] : ends[b + 1]]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
-    return out
+        n = int(ends[b + 1] - ends[b])
+        out[order[ends[b] : ends[b + 1]]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n * width).reshape(n, width)
+    return out[:, 0] if width == 1 else out
 
 
 def settle(sent: DataFrame, decide: Callable[[list[np.ndarray]], list[np.ndarray]], dtype: np.dtype) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -12,6 +14,18 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 
 
+def fresh(df: DataFrame, *names: str) -> str | list[str]:
+    """Column names like the given ones that df has not, whatever the case of its letters; one name or a list."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in have:
+            name = "_" + name
+        have.add(name.lower())
+        out.append(name)
+    return out[0] if len(out) == 1 else out
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound what one Arrow batch of documents can hold."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -85,6 +99,10 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, base: int)
     return mix((prefix[end] - prefix[start]) * powers(base, len(prefix))[1][start] + (end - start).astype(np.uint64))
 
 
+#: Items hashed at once, so that a very long text takes no more memory than many short ones; longest word that is.
+HASH_STEP, LONG_WORD = 1 << 20, 1 << 16
+
+
 class Words:
     """Words of documents that lie one after another in a byte buffer: starts, ends, owning document, 64-bit hash."""
 
@@ -99,15 +117,40 @@ class Words:
         bound = np.searchsorted(self.start, offsets)
         self.first, self.count = bound[:-1], np.diff(bound)
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.count)
-        if lower:
-            buf = buf + ((buf >= 65) & (buf <= 90)).astype(np.uint8) * np.uint8(32)
-        self.hash = span_hash(prefix_hash(BYTE_CODES[buf], BASES[0]), self.start, self.end, BASES[0])
-
-    def windows(self, size: int, at: np.ndarray | None = None, base: int = BASES[1]) -> np.ndarray:
-        """Hashes of the windows of size words that start at the given words (default: all that fit the buffer)."""
+        self.buf, self.lower = buf, lower
+        self.hash = self.hashes(BASES[0])
+
+    def hashes(self, base: int) -> np.ndarray:
+        """A 64-bit hash of each word's bytes, independent of that by another base."""
+        out = np.empty(len(self.start), np.uint64)
+        size = self.end - self.start
+        for low in np.unique(self.start // HASH_STEP).tolist():
+            a, b = np.searchsorted(self.start, [low * HASH_STEP, (low + 1) * HASH_STEP])
+            mine = np.arange(a, b)[size[a:b] <= LONG_WORD]
+            if len(mine):
+                at = self.start[mine[0]]
+                codes = BYTE_CODES[self._plain(at, self.end[mine].max())]
+                out[mine] = span_hash(prefix_hash(codes, base), self.start[mine] - at, self.end[mine] - at, base)
+        for i in np.flatnonzero(size > LONG_WORD).tolist():
+            data = self._plain(self.start[i], self.end[i]).tobytes()
+            out[i] = int.from_bytes(hashlib.blake2b(data, digest_size=8, salt=(base % 2**32).to_bytes(8, "little")).digest(), "little")
+        return out
+
+    def _plain(self, low: int, high: int) -> np.ndarray:
+        part = self.buf[low:high]
+        return part + ((part >= 65) & (part <= 90)).astype(np.uint8) * np.uint8(32) if self.lower else part
+
+    def windows(self, size: int, at: np.ndarray | None = None, base: int = BASES[1], of: np.ndarray | None = None) -> np.ndarray:
+        """Hashes of the windows of size words that start at the given words, in order (default: all that fit the buffer)."""
         if at is None:
             at = np.arange(max(0, len(self.hash) - size + 1))
-        return span_hash(prefix_hash(self.hash, base), at, at + size, base)
+        of = self.hash if of is None else of
+        out = np.empty(len(at), np.uint64)
+        for low in np.unique(at // HASH_STEP).tolist():
+            a, b = np.searchsorted(at, [low * HASH_STEP, (low + 1) * HASH_STEP])
+            mine = at[a:b] - at[a]
+            out[a:b] = span_hash(prefix_hash(of[at[a] : at[b - 1] + size], base), mine, mine + size, base)
+        return out
 
     def fits(self, size: int) -> np.ndarray:
         """Which words start a window of size words within their document."""

@@ -18,17 +18,19 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .blocks import SENT, split, texts
-from .common import BASES, Words, materialize, mix, small_batches
+from .blocks import SENT, answers, hashed, n_buckets, replies_of, seen_twice, send, settle, texts, to_blocks, unpack
+from .common import Words, fresh, materialize, mix, release
 from .graph import connected_components
 
 N2, K2 = 3, 1
 #: Parts in which the signatures of a bucket are met, to bound memory.
 SLICES = 8
-#: Members of a tile, so many sets are in a task at once, or twice as many from two tiles.
-TILE = 2048
+#: Members of a lot, so many sets are in a task at once, or twice as many where sets are asked against a lot; sets of a family that meet all its lots.
+TILE, PIVOTS = 2048, 32
+#: Tasks that the rows of one class are dealt to when they get their smallest id.
+SALTS = 8
 #: Bytes of text for each bucket of signatures.
 BUCKET_TEXT = 40 << 20
 
@@ -104,24 +106,63 @@ def signatures(s: Sets, use: np.ndarray, num: int, den: int) -> tuple[np.ndarray
     return np.concatenate(keys), np.concatenate(docs)
 
 
-#: A signature in an exchange: 40 bits of it, which decide within its bucket, and the number of its set in the message.
+#: A signature in the first exchange: 39 bits of it, which decide within its bucket; the highest bit tells that the block has it twice.
+KEY = np.dtype([("low", "<u4"), ("high", "u1")])
+#: A signature in the second: 40 bits of it, and the number of its set in the message.
 SIG = np.dtype([("low", "<u4"), ("high", "u1"), ("set", "<u2")])
 
 
-def _messages(keys: np.ndarray, docs: np.ndarray, s: Sets, buckets: int) -> Iterator[pa.RecordBatch]:
-    """(bucket, block, data) rows; data has the ids, sizes and sketches of its sets first."""
-    rows = np.empty(len(keys), SIG)
-    rest = keys // np.uint64(buckets)
-    rows["low"], rows["high"] = rest & np.uint64(0xFFFFFFFF), (rest >> np.uint64(32)) & np.uint64(0xFF)
-    uses, rows["set"] = np.unique(docs, return_inverse=True)
-    to = (keys % np.uint64(buckets)).astype(np.int32)
+class Signed:
+    """Distinct sets of a block with their signatures: ``use`` (a document of each), ``keys`` and ``docs`` (signatures and whose they
+    are), ``names`` (distinct signatures), ``which`` (the number of each), ``times`` (in how many sets)."""
+
+    def __init__(self, sets: Sets, num: int, den: int):
+        some = np.flatnonzero(sets.n)
+        self.use = some[np.unique(sets.id[some], return_index=True)[1]]
+        got = [signatures(sets, self.use[at : at + 8000], num, den) for at in range(0, len(self.use), 8000)]
+        self.keys = np.concatenate([np.zeros(0, np.uint64), *[k for k, _ in got]])
+        self.docs = np.concatenate([np.zeros(0, np.int64), *[d for _, d in got]])
+        self.names, self.which, self.times = np.unique(self.keys, return_inverse=True, return_counts=True)
+
+    def rows(self, buckets: int) -> np.ndarray:
+        out = np.empty(len(self.names), KEY)
+        rest = self.names // np.uint64(buckets)
+        out["low"] = rest & np.uint64(0xFFFFFFFF)
+        out["high"] = ((rest >> np.uint64(32)) & np.uint64(0x7F)) | ((self.times > 1).astype(np.uint64) << np.uint64(7))
+        return out
+
+
+def _twice(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """Does a signature occur in two places of the corpus?"""
+    wide = [np.empty(len(p), [("key", "<u8"), ("many", "u1")]) for p in parts]
+    for p, x in zip(parts, wide):
+        x["key"], x["many"] = p["low"].astype(np.uint64) | ((p["high"] & 0x7F).astype(np.uint64) << np.uint64(32)), p["high"] >> 7
+    return seen_twice(wide)
+
+
+def _messages(keys: np.ndarray, docs: np.ndarray, s: Sets, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, data) of shared signatures; data has the ids, sizes and sketches of the sets in the message first."""
+    rest, to = keys // np.uint64(buckets), hashed(keys, buckets)
     order = np.argsort(to, kind="stable")
     ends = np.searchsorted(to[order], np.arange(buckets + 1))
-    level = level_of(s.n[uses])
-    sketch = b"".join(x.tobytes() for x in _sketch([s.hash[s.first[i] : s.first[i] + s.n[i]] for i in uses], level))
-    head = np.uint32(len(uses)).tobytes() + s.id[uses].tobytes() + s.n[uses].astype(np.int64).tobytes() + sketch
+    uses = np.unique(docs)
+    sketches, start = _sketch(s, uses)
     for b in np.flatnonzero(np.diff(ends)):
-        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([0], pa.int64()), pa.array([head + rows[order[ends[b] : ends[b + 1]]].tobytes()], pa.binary())], ["bucket", "block", "data"])
+        mine = order[ends[b] : ends[b + 1]]
+        for at in range(0, len(mine), 1 << 16):
+            some = mine[at : at + (1 << 16)]
+            rows = np.empty(len(some), SIG)
+            rows["low"], rows["high"] = rest[some] & np.uint64(0xFFFFFFFF), (rest[some] >> np.uint64(32)) & np.uint64(0xFF)
+            sets, rows["set"] = np.unique(docs[some], return_inverse=True)
+            place = np.searchsorted(uses, sets)
+            flat = sketches[spread(start[place], start[place + 1] - start[place])]
+            yield int(b), np.uint32(len(sets)).tobytes() + s.id[sets].tobytes() + s.n[sets].astype(np.int64).tobytes() + flat.tobytes() + rows.tobytes()
+
+
+def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges start, start + 1, ... of count each."""
+    ends = np.cumsum(count)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - ends + count, count)
 
 
 class Forest:
@@ -150,34 +191,40 @@ def level_of(n: np.ndarray) -> np.ndarray:
     return np.searchsorted(LEVEL_SIZES, n)
 
 
-def _sketch(sets: list[np.ndarray], level: np.ndarray) -> list[np.ndarray]:
-    """Parity of how many shingles of a set hash to each bit. Two sets differ in at least as many shingles as their sketches in bits."""
-    out: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(sets)
+def _sketch(s: Sets, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity of how many shingles of each set hash to each bit, one after another, and where each starts. Two sets differ in at
+    least as many shingles as their sketches in bits."""
+    level = level_of(s.n[use])
+    start = np.append(0, np.cumsum(LEVEL_WORDS[level]))
+    out = np.zeros(int(start[-1]), np.uint64)
     for c in np.unique(level):
         mine = np.flatnonzero(level == c)
         size = int(LEVEL_WORDS[c]) * 64
         for at in range(0, len(mine), 2048):
             some = mine[at : at + 2048]
-            row = np.repeat(np.arange(len(some)), [len(sets[i]) for i in some])
-            bit = (np.concatenate([sets[i] for i in some]) >> np.uint64(11)) & np.uint64(size - 1)
-            odd = np.bincount(row * size + bit.astype(np.int64), minlength=size * len(some)) & 1
-            for i, x in zip(some, np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(len(some), -1)):
-                out[i] = x
-    return out
+            count = s.n[use[some]]
+            bit = (s.hash[spread(s.first[use[some]], count)] >> np.uint64(11)) & np.uint64(size - 1)
+            odd = np.bincount(np.repeat(np.arange(len(some)), count) * size + bit.astype(np.int64), minlength=size * len(some)) & 1
+            out[start[some][:, None] + np.arange(size // 64)] = np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(len(some), -1)
+    return out, start
 
 
 class Sketches:
     """Sketches of sets by level; those of larger sets are folded to lower levels, so any two can be compared."""
 
-    def __init__(self, n: np.ndarray, sketch: list[np.ndarray], num: int, den: int):
+    def __init__(self, n: np.ndarray, flat: np.ndarray, start: np.ndarray, num: int, den: int):
         self.n, self.level, self.num, self.den = n, level_of(n), num, den
         self.at, self.bits = {}, {}
         for c in np.unique(self.level):
-            mine = np.flatnonzero(self.level >= c)
             words = int(LEVEL_WORDS[c])
-            self.at[c] = np.full(len(n), -1)
-            self.at[c][mine] = np.arange(len(mine))
-            self.bits[c] = np.array([np.bitwise_xor.reduce(sketch[i].reshape(-1, words), axis=0) for i in mine], np.uint64).reshape(-1, words)
+            self.at[c], parts, have = np.full(len(n), -1), [], 0
+            for up in np.unique(self.level[self.level >= c]):
+                mine = np.flatnonzero(self.level == up)
+                self.at[c][mine] = have + np.arange(len(mine))
+                have += len(mine)
+                whole = flat[start[mine][:, None] + np.arange(LEVEL_WORDS[up])]
+                parts.append(np.bitwise_xor.reduce(whole.reshape(len(mine), -1, words), axis=1))
+            self.bits[c] = np.concatenate(parts)
 
     def may(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Can sets a[i] and b[i] be as similar as asked, for all their sketches and sizes tell?"""
@@ -198,15 +245,15 @@ def _meet(table: pa.Table, num: int, den: int) -> pa.Table:
         k = int(np.frombuffer(data, np.uint32, 1)[0])
         ids.append(np.frombuffer(data, np.int64, k, offset=4))
         sizes.append(np.frombuffer(data, np.int64, k, offset=4 + 8 * k))
-        words = LEVEL_WORDS[level_of(sizes[-1])]
-        ends = np.cumsum(words)
-        flat = np.frombuffer(data, np.uint64, int(ends[-1]), offset=4 + 16 * k)
-        sketches += [flat[e - w : e] for e, w in zip(ends.tolist(), words.tolist())]
-        sigs.append((np.frombuffer(data, SIG, offset=4 + 16 * k + 8 * int(ends[-1])), at))
+        words = int(LEVEL_WORDS[level_of(sizes[-1])].sum())
+        sketches.append(np.frombuffer(data, np.uint64, words, offset=4 + 16 * k))
+        sigs.append((np.frombuffer(data, SIG, offset=4 + 16 * k + 8 * words), at))
         at += k
     name, first, node_of = np.unique(np.concatenate(ids), return_index=True, return_inverse=True)
-    known = Sketches(np.concatenate(sizes)[first], [sketches[i] for i in first], num, den)
-    forest, pairs, groups = Forest(len(name)), [], {}
+    sizes = np.concatenate(sizes)
+    start = np.append(0, np.cumsum(LEVEL_WORDS[level_of(sizes)]))
+    known = Sketches(sizes[first], np.concatenate(sketches), start[first], num, den)
+    forest, pairs, groups = Forest(len(name)), [np.zeros(0, np.int64)], {}
     for part in range(SLICES):  # signatures of one slice at a time
         key, node = [], []
         for rows, base in sigs:
@@ -234,12 +281,14 @@ def _meet(table: pa.Table, num: int, den: int) -> pa.Table:
         ok = known.may(x, y)
         for u, v in zip(x[ok].tolist(), y[ok].tolist()):
             forest.join(u, v)
-    for g in groups.values():
+    for g in sorted(groups.values(), key=len, reverse=True):
         label = np.array([forest.root(x) for x in g.tolist()])
         for i in range(len(g)):
             other = np.flatnonzero(label != label[i])
             if not len(other):
-                break
+                if i == 0 or (label == label[0]).all():
+                    break
+                continue
             hit = other[known.may(np.full(len(other), g[i]), g[other])]
             if len(hit):
                 met = np.unique(label[hit])
@@ -251,21 +300,21 @@ def _meet(table: pa.Table, num: int, den: int) -> pa.Table:
     return pa.table({"u": pa.array(name[off], pa.int64()), "v": pa.array(name[root[off]], pa.int64())})
 
 
-def links_among(ids: list[int], sets: list[np.ndarray], num: int, den: int, tile: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that connect whatever is linked among sets, without those that follow; of two tiles, only across them."""
+def links_among(ids: list[int], sets: list[np.ndarray], num: int, den: int, asked: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that connect whatever is linked among sets, without those that follow; with ``asked`` only links of such sets."""
     forest = Forest(len(ids))
     n = np.array([len(x) for x in sets])
     order = np.lexsort((np.array(ids), n))
-    known, out = Sketches(n[order], _sketch([sets[i] for i in order], level_of(n[order])), num, den), []
+    known, out = Sketches(n[order], *_sketch(Stored([sets[i] for i in order]), np.arange(len(ids))), num, den), []
     n = n[order]
-    side = np.zeros(len(ids), int) if tile is None else tile[order]
+    some = np.ones(len(ids), bool) if asked is None else asked[order]
     for i in range(len(order) - 1):
         end = int(np.searchsorted(n, n[i] * den // num, side="right"))  # larger sets cannot be similar enough
-        can = known.may(np.full(end - i - 1, i), np.arange(i + 1, end))
-        if tile is not None:
-            can &= side[i + 1 : end] != side[i]
+        others = np.arange(i + 1, end)
+        if not some[i]:
+            others = others[some[others]]
         a = order[i]
-        for j in np.flatnonzero(can) + i + 1:
+        for j in others[known.may(np.full(len(others), i), others)]:
             b = order[j]
             if forest.root(int(a)) == forest.root(int(b)):
                 continue
@@ -276,90 +325,138 @@ def links_among(ids: list[int], sets: list[np.ndarray], num: int, den: int, tile
     return out
 
 
-def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, set_id, n_shingles and text_key (a hash of the text) of every row."""
-    small_batches(docs.sparkSession)
+class Stored:
+    """Sets as they lie in Sets, from their shingles."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = np.array([len(x) for x in sets], np.int64)
+        self.first = np.append(0, np.cumsum(self.n))[:-1]
+        self.hash = np.concatenate([np.zeros(0, np.uint64), *sets])
+
+
+def _verify(table: pa.Table, num: int, den: int) -> pa.Table:
+    """Links in each family of the table."""
+    family, asked, want = (table[c].to_numpy() for c in ("family", "asked", "want"))
+    order = np.lexsort((~asked, want, family))  # of a set that is there twice the asked one
+    keep = order[np.append(True, (want[order][1:] != want[order][:-1]) | (family[order][1:] != family[order][:-1]))]
+    column, out = table["data"], []
+    for g in np.split(keep, np.flatnonzero(family[keep][1:] != family[keep][:-1]) + 1):
+        found = [np.frombuffer(column[int(i)].as_py(), np.uint64) for i in g]
+        out += links_among(want[g].tolist(), found, num, den, asked[g])
+    return pa.table({"u": pa.array([x for x, _ in out], pa.int64()), "v": pa.array([x for _, x in out], pa.int64())})
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in split(whole, "text", 1 << 20):
-                s = Sets(*texts(batch, "text"), size)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s.id), pa.array(s.n.astype(np.int64)), batch.column(2)], ["doc_id", "set_id", "n_shingles", "text_key"])
+def verified_links(member: DataFrame, num: int, den: int) -> DataFrame:
+    """member(want, family, members, data): sets of candidate families -> (u, v), links that connect whatever is linked in a family.
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")).mapInArrow(run, "doc_id long, set_id long, n_shingles long, text_key long")
+    A family of up to TILE sets is one group. A larger one is dealt to lots of that size, and a few of its sets (pivots) to
+    all lots; links within lots and with pivots come first. That leaves most families in one piece and some sets outside it,
+    and only these are compared with all sets of the family, a lot at a time.
+    """
+    check = lambda t: _verify(t, num, den)
+    cast = lambda df, lot, asked, *key: df.select(*key, lot.cast("int").alias("lot"), "family", F.lit(asked).alias("asked"), "want", "data")
+    families = member.select("family", "members").distinct()
+    lots = max(8, (families.agg(F.sum("members")).first()[0] or 0) // (4 * TILE))
+    tiles = F.ceil(F.col("members") / TILE).cast("int")
+    tile = F.pmod(F.xxhash64("want"), tiles)
+    small = cast(member.filter(F.col("members") <= TILE), F.lit(-1), True, F.pmod(F.xxhash64("family"), F.lit(lots)).cast("long").alias("key"))
+    if families.filter(F.col("members") > TILE).isEmpty():
+        return small.groupBy("key", "lot").applyInArrow(check, "u long, v long")
+    large = member.filter(F.col("members") > TILE)
+    pivot = F.pmod(F.xxhash64("want", F.lit(1)), F.col("members")) < PIVOTS
+    dealt = cast(large, tile, True, F.col("family").alias("key"))
+    pivots = cast(large.filter(pivot).withColumn("_lot", F.explode(F.sequence(F.lit(0), tiles - 1))), F.col("_lot"), True, F.col("family").alias("key"))
+    links = materialize(small.unionByName(dealt).unionByName(pivots).groupBy("key", "lot").applyInArrow(check, "u long, v long"))
+    labels = connected_components(links).select(F.col("id").alias("_id"), "label")
+    part = materialize(large.select("want", "family", "members").join(labels, F.col("want") == F.col("_id"), "left").select("want", "family", F.coalesce("label", "want").alias("label")))
+    most = part.groupBy("family", "label").count().groupBy("family").agg(F.max_by("label", F.struct("count", "label")).alias("_most")).withColumnRenamed("family", "_family")
+    outside = materialize(part.join(most, F.col("family") == F.col("_family")).filter(F.col("label") != F.col("_most")).select("want", "family"))
+    if outside.isEmpty():
+        return links
+    rounds = outside.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("_rounds")).withColumnRenamed("family", "_family")
+    asked = large.join(outside.select(F.col("want").alias("_want")), F.col("want") == F.col("_want"))
+    sized = large.join(rounds, F.col("family") == F.col("_family")).withColumn("_round", F.explode(F.sequence(F.lit(0), F.col("_rounds") - 1)))
+    asked = asked.join(rounds, F.col("family") == F.col("_family")).withColumn("_round", F.pmod(F.xxhash64("want", F.lit(2)), F.col("_rounds"))).withColumn("_lot", F.explode(F.sequence(F.lit(0), tiles - 1)))
+    both = cast(sized, tile, False, F.col("family").alias("key"), F.col("_round").cast("int").alias("round")).unionByName(cast(asked, F.col("_lot"), True, F.col("family").alias("key"), F.col("_round").cast("int").alias("round")))
+    return links.unionByName(both.groupBy("key", "round", "lot").applyInArrow(check, "u long, v long"))
 
 
 def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """(nodes, labels): a row (doc_id, set_id, n_shingles, text_key) for each document, and (id, label) for each set_id that is
     linked to another one, with one label for each component of links den * |A and B| >= num * |A or B|.
 
-    Documents with equal sets share the set_id (64 bits of all shingles), so they are linked without a row in labels.
+    Documents with equal sets share the set_id (64 bits of all shingles), so they are linked without a row in labels. A
+    first exchange has the signatures only and tells which occur twice; a second has the sets that share them.
     """
-    nodes = materialize(shingle_sets(docs, size))
-    small_batches(docs.sparkSession)
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_TEXT))
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in split(whole, "text", 2 << 20):
-                s = Sets(*texts(batch, "text"), size)
-                for at in range(0, len(s.n), 8_000):
-                    some = np.arange(at, min(len(s.n), at + 8_000))
-                    some = some[s.n[some] > 0]
-                    use = some[np.unique(s.id[some], return_index=True)[1]]
-                    keys, of = signatures(s, use, num, den)
-                    if len(keys):
-                        yield from _messages(keys, of, s, buckets)
-
-    met = docs.select("text").mapInArrow(sign, SENT).groupBy("bucket").applyInArrow(lambda t: _meet(t, num, den), "u long, v long")
-    groups = materialize(connected_components(met))
-    sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
-    member = groups.join(sizes.withColumnRenamed("label", "_l"), F.col("label") == F.col("_l")).select(F.col("id").alias("want"), F.col("label").alias("family"), "members")
-    # one document for each set
-    one = nodes.groupBy("set_id").agg(F.min("doc_id").alias("_id"))
-    chosen = member.join(one, F.col("want") == F.col("set_id")).select("want", "family", "members", "_id")
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("_id"))).select("want", "family", "members", "text")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in split(whole, "text", 2 << 20):
-                s = Sets(*texts(batch, "text"), size)
-                ok = np.flatnonzero(s.id == batch.column(0).to_numpy(zero_copy_only=False))  # rows may share a doc_id
-                data = pa.array([s.hash[s.first[i] : s.first[i] + s.n[i]].tobytes() for i in ok], pa.binary())
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(ok)) for c in range(3)], data], ["want", "family", "members", "data"])
-
-    full = text.mapInArrow(sets, "want long, family long, members long, data binary")
-    tiles = F.ceil(F.col("members") / TILE).cast("int")
-    dealt = full.withColumn("_tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("want"), F.col("_tiles")).cast("int"))
-    lots = max(8, groups.count() // (4 * TILE))
-    small = dealt.filter("_tiles = 1").select(F.pmod(F.xxhash64("family"), F.lit(lots)).cast("long").alias("key"), F.lit(-1).alias("a"), F.lit(-1).alias("b"), "family", "tile", "want", "data")
-    large = dealt.filter("_tiles > 1").withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
-    large = large.select(F.col("family").alias("key"), F.least("tile", "_o").alias("a"), F.greatest("tile", "_o").alias("b"), "family", "tile", "want", "data")
-
-    def verify(table: pa.Table) -> pa.Table:
-        family, tile, want = (table[c].to_numpy() for c in ("family", "tile", "want"))
-        order = np.lexsort((want, family))
-        keep = order[np.append(True, (want[order][1:] != want[order][:-1]) | (family[order][1:] != family[order][:-1]))]
-        column, out = table["data"], []
-        for g in np.split(keep, np.flatnonzero(family[keep][1:] != family[keep][:-1]) + 1):
-            found = [np.frombuffer(column[int(i)].as_py(), np.uint64) for i in g]
-            sides = tile[g] if len(np.unique(tile[g])) > 1 else None
-            out += links_among(want[g].tolist(), found, num, den, sides)
-        return pa.table({"u": pa.array([x for x, _ in out], pa.int64()), "v": pa.array([x for _, x in out], pa.int64())})
-
-    links = small.unionByName(large).groupBy("key", "a", "b").applyInArrow(verify, "u long, v long")
-    return nodes, materialize(connected_components(links))
+    keep: list[str] = []
+    blocks = to_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")), "text", keep)
+    buckets = n_buckets(blocks, BUCKET_TEXT)
+
+    def each(b: pa.RecordBatch) -> Iterator[tuple[int, int, pa.RecordBatch, Sets]]:
+        for i, data in enumerate(b.column(b.schema.get_field_index("data"))):
+            batch = unpack(data.as_py())
+            yield i, b.column(0)[i].as_py(), batch, Sets(*texts(batch, "text"), size)
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, block, batch, s in each(b):
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), batch.column(0), pa.array(s.id), pa.array(s.n.astype(np.int64)), batch.column(2)], ["block", "place", "doc_id", "set_id", "n_shingles", "text_key"])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, block, _, s in each(b):
+                signed = Signed(s, num, den)
+                yield from send(block, hashed(signed.names, buckets), signed.rows(buckets), buckets)
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, _, _, s in each(b):
+                signed = Signed(s, num, den)
+                shared = answers(hashed(signed.names, buckets), buckets, replies_of(b, i, "replies"))[signed.which]
+                mine = np.zeros(len(s.n), bool)
+                ids = s.id[np.array(b.column(b.schema.get_field_index("places"))[i].as_py())]
+                mine[signed.use[np.isin(s.id[signed.use], ids)]] = True
+                at = np.flatnonzero(shared & mine[signed.docs])
+                if not len(at):
+                    continue
+                uses = np.unique(signed.docs[at])
+                out = [(k, None, data) for k, data in _messages(signed.keys[at], signed.docs[at], s, buckets)]
+                out += [(None, int(s.id[u]), s.hash[s.first[u] : s.first[u] + s.n[u]].tobytes()) for u in uses.tolist()]
+                for lot in range(0, len(out), 1000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[lot : lot + 1000]), (pa.int32(), pa.int64(), pa.binary()))], ["bucket", "want", "data"])
+
+    kinds = "block long, place int, doc_id long, set_id long, n_shingles long, text_key long"
+    nodes = materialize(blocks.select("block", "data").mapInArrow(name, kinds))
+    replies = settle(blocks.select("block", "data").mapInArrow(first, SENT), _twice, KEY)
+    one = nodes.filter("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct("block", "place")).alias("at")).select("at.block", "at.place")
+    places = one.groupBy("block").agg(F.collect_list("place").alias("places"))  # bounded by the rows of a block
+    sent = materialize(blocks.join(replies, "block").join(places, "block").select("block", "data", "replies", "places").mapInArrow(second, "bucket int, want long, data binary"), keep)
+    met = sent.filter("bucket is not null").select("bucket", "data").groupBy("bucket").applyInArrow(lambda t: _meet(t, num, den), "u long, v long")
+    groups = materialize(connected_components(met), keep)
+    sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members")).withColumnRenamed("label", "family")
+    member = groups.join(sizes, F.col("label") == F.col("family")).select("id", "family", "members")
+    full = materialize(sent.filter("want is not null").join(member, F.col("want") == F.col("id")).select("want", "family", "members", "data"), keep)
+    labels = materialize(connected_components(verified_links(full, num, den)))
+    release(docs.sparkSession, keep)
+    return nodes.drop("block", "place"), labels
 
 
 def _near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Columns of near_duplicates and text_key, which tells rows of one doc_id apart."""
+    """Columns of near_duplicates and text_key, which tells rows of one doc_id apart.
+
+    Smallest ids go from documents to sets to classes and back, each aggregated before it is joined and the way back dealt
+    to SALTS, so that a class with a third of all rows is no single task's work.
+    """
     nodes, labels = similar_components(docs, size, num, den)
-    # documents without words get no class
-    named = nodes.join(labels, nodes["set_id"] == labels["id"], "left").withColumn("class", F.when(F.col("n_shingles") > 0, F.coalesce("label", "set_id")))
-    named = materialize(named.select("doc_id", "n_shingles", "text_key", "class"))
-    least = named.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("_least")).withColumnRenamed("class", "_c")
-    return named.join(least, named["class"] == least["_c"], "left").select("doc_id", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"), "text_key")
+    salt = lambda *c: F.pmod(F.xxhash64(*c), F.lit(SALTS))
+    dealt = lambda df: df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    sets = nodes.filter("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
+    classed = sets.join(labels, F.col("set_id") == F.col("id"), "left").select("set_id", "least", "rows", F.coalesce("label", "set_id").alias("class"))
+    classes = classed.groupBy("class").agg(F.min("least").alias("_least"), F.sum("rows").alias("_rows")).filter("_rows > 1").select(F.col("class").alias("_class"), "_least")
+    least = classed.join(dealt(classes), (F.col("class") == F.col("_class")) & (salt("set_id") == F.col("_salt"))).select(F.col("set_id").alias("_set"), "_least")
+    found = nodes.join(dealt(least), (F.col("set_id") == F.col("_set")) & (salt("doc_id") == F.col("_salt")), "left")
+    return found.select("doc_id", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"), "text_key")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -381,14 +478,16 @@ def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words are no duplicates and stay. Of rows that repeat a doc_id and its text one stays; rows that
     share a doc_id but not a text, and rows without a doc_id, stay.
     """
-    found = _near_duplicates(docs)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_text_key")).distinct()
-    kept = docs.join(gone, (F.col("doc_id").cast("long") == F.col("_gone")) & (F.xxhash64("text") == F.col("_text_key")), "left_anti")
-    again = found.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").select(F.col("doc_id").alias("_again"))
-    marked = kept.join(again, F.col("doc_id").cast("long") == F.col("_again"), "left")
-    once = marked.filter("_again is null").select(*docs.columns)
-    first = W.partitionBy("_again", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
-    return once.unionByName(marked.filter("_again is not null").withColumn("_at", F.row_number().over(first)).filter("_at = 1").select(*docs.columns))
+    found = materialize(_near_duplicates(docs))
+    gone, text, again, row = fresh(docs, "gone", "text_key", "again", "row")
+    doc_id, key = F.col("doc_id").cast("long"), F.xxhash64("text")
+    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(gone), F.col("text_key").alias(text)).distinct()
+    kept = docs.join(dropped, (doc_id == F.col(gone)) & (key == F.col(text)), "left_anti")
+    several = found.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias(again))
+    once = kept.join(several, doc_id == F.col(again), "left_anti")
+    order = F.xxhash64(*[f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    more = kept.join(several, doc_id == F.col(again), "left_semi").withColumns({again: doc_id, text: key})
+    return once.unionByName(more.groupBy(again, text).agg(F.min_by(F.struct(*docs.columns), order).alias(row)).select(f"{row}.*"))
 
 
 ORACLE = r"""

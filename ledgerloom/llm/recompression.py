@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .blocks import SENT, answers, n_buckets, replies_of, seen_twice, send, settle, texts, to_blocks, unpack
+from .blocks import SENT, answers, hashed, n_buckets, replies_of, seen_twice, send, settle, texts, to_blocks, unpack
 from .common import BASES, Words, covered, materialize, mix
 
 WINDOW = 35
@@ -144,11 +144,11 @@ def repeated_words(docs: DataFrame, column: str = "text", size: int = WINDOW):
         for b in batches:
             for block, data in zip(b.column(0).to_pylist(), b.column(1)):
                 keys, _, rows, _, _ = symbols(_words(data.as_py(), column)[3])
-                yield from send(block, keys, rows, buckets)
+                yield from send(block, hashed(keys, buckets), rows, buckets)
 
     def windows(words: Words, got: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         keys, which, _, low, high = symbols(words)
-        at = _candidates(words, low, high, answers(keys, buckets, got)[which], size)
+        at = _candidates(words, low, high, answers(hashed(keys, buckets), buckets, got)[which], size)
         rows, which = _fingers(words, at, size)
         return at, rows, which
 
@@ -156,12 +156,12 @@ def repeated_words(docs: DataFrame, column: str = "text", size: int = WINDOW):
         for b in batches:
             for i, block in enumerate(b.column(0).to_pylist()):
                 _, rows, _ = windows(_words(b.column(1)[i].as_py(), column)[3], replies_of(b, i, "names"))
-                yield from send(block, rows["key"], rows, buckets)
+                yield from send(block, hashed(rows["key"], buckets), rows, buckets)
 
     def found(b: pa.RecordBatch, i: int) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, Words, np.ndarray]:
         batch, buf, offsets, words = _words(b.column(b.schema.get_field_index("data"))[i].as_py(), column)
         at, rows, which = windows(words, replies_of(b, i, "names"))
-        bits = answers(rows["key"], buckets, replies_of(b, i, "fingers"))[which]
+        bits = answers(hashed(rows["key"], buckets), buckets, replies_of(b, i, "fingers"))[which]
         return batch, buf, offsets, words, covered(at[bits], size, len(words.start))
 
     names = materialize(settle(blocks.select("block", "data").mapInArrow(first, SENT), seen_twice, SYMBOL).withColumnRenamed("replies", "names"))
