@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -38,23 +39,35 @@ def n_words(text: Column) -> Column:
     return F.when(F.length(F.trim(plain)) > 0, F.size(F.split(F.trim(plain), " +"))).otherwise(0).cast("long")
 
 
-def salted_rank(df: DataFrame, keys: list[str], order: list[Column], salt_on: Column, rank: str, salts: int = 64) -> DataFrame:
+#: Rows of one group that one task numbers.
+RANK_ROWS = 50_000
+
+
+def salts_for(largest: int) -> int:
+    """Salts for groups of up to that many rows."""
+    return max(16, -(-largest // RANK_ROWS))
+
+
+def salted_rank(df: DataFrame, keys: list[str], order: list[Column], salt_on: Column, rank: str, salts: int, groups: DataFrame | None = None) -> DataFrame:
     """A gapless rank from 0 within keys, without one task per key: rows are dealt to salts, counted, and numbered within (keys, salt).
 
     The order between salts is that of the salt; ties beyond ``order`` are interchangeable only if the caller makes
-    them so. Rows with null keys form one group.
+    them so. Rows with null keys form one group. ``groups`` (keys..., more columns) adds its columns to each row of df
+    on the way; rows without a group there are dropped.
     """
-    salted = df.withColumn("_salt", F.pmod(salt_on, F.lit(salts)).cast("int"))
-    counts = salted.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_n"))
-    upto = W.partitionBy(*keys).orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_salt").alias("_s"), F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"))
-    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_salt") == F.col("_s")]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    joined = salted.join(starts, cond)
-    within = W.partitionBy(*keys, "_salt").orderBy(*order)
-    return joined.withColumn(rank, (F.col("_start") + F.row_number().over(within) - 1).cast("long")).drop("_salt", "_s", "_start", *[f"_k_{k}" for k in keys])
+    salt, n, start, *other = fresh(df, "salt", "n", "start", "s", *[f"k{i}" for i in range(len(keys))])
+    salted = df.withColumn(salt, F.pmod(salt_on, F.lit(salts)).cast("int"))
+    counts = salted.groupBy(*keys, salt).agg(F.count(F.lit(1)).alias(n))
+    upto = W.partitionBy(*keys).orderBy(salt).rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.withColumn(start, F.coalesce(F.sum(n).over(upto), F.lit(0))).drop(n)
+    same = lambda a, b: functools.reduce(lambda x, y: x & y, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(a, b)])
+    starts = starts.select(start, F.col(salt).alias(other[0]), *[F.col(k).alias(o) for k, o in zip(keys, other[1:])])
+    if groups is not None:
+        renamed = [f"_g{o}" for o in other[1:]]
+        starts = starts.join(groups.withColumnsRenamed(dict(zip(keys, renamed))), same(other[1:], renamed)).drop(*renamed)
+    within = W.partitionBy(*keys, salt).orderBy(*order)
+    joined = salted.join(starts, same([*keys, salt], [*other[1:], other[0]]))
+    return joined.withColumn(rank, (F.col(start) + F.row_number().over(within) - 1).cast("long")).drop(salt, start, *other)
 
 
 # ---- numpy kernels -------------------------------------------------------------------------------------------------

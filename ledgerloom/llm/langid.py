@@ -2,8 +2,8 @@
 
 Words are runs of letters. Affixes, inner n-grams and a lexicon of frequent words, hashed into one weight table, give
 each word a potential for each language; learned transitions link neighbours. The model is fitted on a bounded sample
-of labelled rows on the driver (AdaGrad on the exact log-likelihood), with sequences that switch between documents of
-different languages so that transitions learn both to stay and to switch. Workers label every word of every text by
+of labelled rows on the driver (AdaGrad on the log-likelihood, with expected moves from forward and backward messages), with
+sequences that switch between documents of different languages so that transitions learn both to stay and to switch. Workers label every word of every text by
 forward-backward; a document's language has the largest sum of word posteriors.
 """
 
@@ -18,15 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .blocks import split, texts
-from .common import BASES, BYTE_CODES, Words, mix, prefix_hash, small_batches, span_hash
+from .common import BASES, BYTE_CODES, Words, fresh, mix, prefix_hash, small_batches, span_hash
 
-#: Bound of the sample the model is fitted on: documents a language, and words of each.
+#: Bound of the sample the model is fitted on: documents a language, runs of words from all over each, words and bytes of a run.
 TRAIN_DOCS = 400
-TRAIN_WORDS = 240
-#: Most languages a model can have; a table with more fails with an error.
+TRAIN_RUNS, STEP, TRAIN_BYTES = 6, 40, 4096
+#: Most languages a model can have: those with the most labelled rows.
 MAX_LANGUAGES = 200
 BUCKETS = 1 << 17
-STEP = 40
 PIECE = 256
 
 NOT_LETTER = np.ones(256, dtype=bool)
@@ -102,6 +101,33 @@ def _chain(e: np.ndarray, t: np.ndarray, alpha0: np.ndarray, beta0: np.ndarray)
     return alpha / alpha.sum(2, keepdims=True)
 
 
+def expected(e: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors of sequences e (n, steps, languages) and how often each move is expected in all of them, first words at even odds."""
+    n, steps, n_lang = e.shape
+    alpha, moves = np.empty_like(e), np.zeros((n_lang, n_lang))
+    a = np.full((n, n_lang), 1 / n_lang, e.dtype)
+    for i in range(steps):
+        a = (a @ t if i else a) * e[:, i]
+        a /= a.sum(1, keepdims=True)
+        alpha[:, i] = a
+    b, post = np.ones((n, n_lang), e.dtype), np.empty_like(e)
+    for i in range(steps - 1, -1, -1):
+        post[:, i] = alpha[:, i] * b
+        if i:
+            b = b * e[:, i]
+            pair = alpha[:, i - 1, :, None] * t * b[:, None, :]
+            moves += (pair / pair.sum((1, 2), keepdims=True)).sum(0)
+            b = b @ t.T
+            b /= b.sum(1, keepdims=True)
+    return post / post.sum(2, keepdims=True), moves
+
+
+def moves_gradient(made: np.ndarray, expect: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Gradient of the negative log-likelihood by the log potentials of moves, whose softmax by rows is t."""
+    g = expect - made
+    return g - t * g.sum(1, keepdims=True)
+
+
 def posteriors(e: np.ndarray, moves: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Exact forward-backward over all words of documents of any length: pieces of PIECE words run side by side.
 
@@ -154,11 +180,11 @@ def _stochastic(moves: np.ndarray) -> np.ndarray:
 
 
 def _scaled(x: np.ndarray) -> np.ndarray:
-    return np.maximum(np.exp(x - x.max(-1, keepdims=True)), 1e-6).astype(np.float32)
+    return np.maximum(np.exp(x - x.max(-1, keepdims=True)), 1e-20).astype(np.float32)
 
 
 def fit(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 6, batch: int = 64) -> Model:
-    """Fit on (text, language) rows: whole-document labels, sequences of STEP words that may switch in between."""
+    """Fit on (text, language) rows, each labelled as a whole: sequences of STEP words that may switch in between."""
     rng = np.random.default_rng(seed)
     languages = sorted({lang for _, lang in rows})
     n_lang = len(languages)
@@ -172,8 +198,7 @@ def fit(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 6, batch: int
     label = np.array([languages.index(lang) for _, lang in rows])[words.doc]
     parts = []  # runs of 8 to 40 words of one document
     for f, n in zip(words.first, words.count):
-        n, at = min(int(n), TRAIN_WORDS), 0
-        f = int(f)
+        f, n, at = int(f), int(n), 0
         while at < n:
             k = min(int(rng.integers(8, STEP + 1)), n - at)
             parts.append(np.arange(f + at, f + at + k))
@@ -195,8 +220,7 @@ def fit(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 6, batch: int
             feats = bucket[lo[flat][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)]
             x = np.add.reduceat(model.weights[feats], np.cumsum(n) - n, axis=0).reshape(*ids.shape, n_lang)
             t, e = _stochastic(model.moves), _scaled(x)
-            ones = np.ones((len(ids), n_lang), np.float32)
-            post = _chain(e, t, ones / n_lang, ones)
+            post, expect = expected(e, t)
             gold = np.eye(n_lang, dtype=np.float32)[label[ids]]
             grad = (post - gold).reshape(-1, n_lang)
             gw = np.zeros_like(model.weights)
@@ -205,30 +229,58 @@ def fit(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 6, batch: int
             gw /= len(ids)
             g_w += gw * gw
             model.weights -= 0.3 * gw / np.sqrt(g_w)
-            # transitions: counts of moves that were made, against those expected from neighbours' posteriors
             made = np.einsum("nti,ntj->ij", gold[:, :-1], gold[:, 1:])
-            pair = post[:, :-1, :, None] * t[None, None] * (post[:, 1:] / np.maximum(post[:, :-1] @ t, 1e-9))[:, :, None, :]
-            gm = (pair.sum((0, 1)) - made) / len(ids)
+            gm = moves_gradient(made, expect, t) / len(ids)
             g_m += gm * gm
             model.moves -= 0.1 * gm / np.sqrt(g_m)
     return model
 
 
+def runs(docs: DataFrame) -> DataFrame:
+    """docs(lang, d, text) -> (lang, d, run, text): up to TRAIN_RUNS runs of STEP words, one from each equal stretch of the text.
+
+    Where a run starts in its stretch follows d and the stretch. Runs of more than TRAIN_BYTES bytes (very long words) are left out.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in split(whole, "text", 1 << 20):
+                buf, offsets = texts(batch, "text")
+                words, out = Words(buf, offsets, gap=NOT_LETTER), []
+                raw = buf.tobytes()
+                for i, (lang, d) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                    n, first = int(words.count[i]), int(words.first[i])
+                    several = max(1, min(TRAIN_RUNS, n // STEP))
+                    for k in range(several):
+                        low, high = n * k // several, n * (k + 1) // several
+                        at = low + int(np.random.default_rng([d, k]).integers(0, max(1, high - low - STEP + 1)))
+                        last = min(at + STEP, high) - 1
+                        if at <= last and words.end[first + last] - words.start[first + at] <= TRAIN_BYTES:
+                            out.append((lang, d, k, raw[words.start[first + at] : words.end[first + last]].decode("utf-8", "replace")))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int32(), pa.string()))], ["lang", "d", "run", "text"])
+
+    return docs.mapInArrow(cut, "lang string, d long, run int, text string")
+
+
 def train(docs: DataFrame, trainable) -> Model:
-    """Fit on at most TRAIN_DOCS documents a language, chosen by a hash of doc_id and text, all languages counted first."""
-    rows = docs.filter(trainable & F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = rows.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    """Fit on at most TRAIN_DOCS documents a language, chosen by a hash of doc_id and text, runs of words from all over each.
+
+    All languages are counted first; beyond MAX_LANGUAGES those with the most rows are learned. Rows without text or
+    language teach nothing; a table without others gives a model that knows no language.
+    """
+    small_batches(docs.sparkSession)
+    rows = docs.filter(trainable & F.col("lang").isNotNull() & (F.length("text") > 0)).select(F.col("lang").cast("string").alias("lang"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("d"))
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not counts:
         return Model([], np.zeros((BUCKETS, 1), np.float32), np.zeros((1, 1)))
     share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.5 * TRAIN_DOCS / r["count"])))])
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    picked = rows.filter(draw < F.element_at(share, F.col("lang")) * (1 << 30)).select("lang", draw.alias("d"), F.substring_index("text", " ", TRAIN_WORDS).alias("text"))
+    picked = rows.filter(F.col("d") < F.element_at(share, F.col("lang")) * (1 << 30)).select("lang", "d", "text")
     found, n = [], {}
-    for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["d"], r["text"])):
-        n[r["lang"]] = n.get(r["lang"], 0) + 1
-        if n[r["lang"]] <= TRAIN_DOCS:
+    for r in sorted(runs(picked).collect(), key=lambda r: (r["lang"], r["d"], r["run"], r["text"])):
+        mine = n.setdefault(r["lang"], set())
+        mine.add(r["d"])
+        if len(mine) <= TRAIN_DOCS:
             found.append((r["text"], r["lang"]))
     return fit(found)
 
@@ -287,6 +339,10 @@ def held_out_rows():
 
 
 def op5_language_id(spark, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document; ``und`` and 0 for null or empty text and text without a letter.
+
+    Repeated rows give repeated rows, texts of any length are read whole, an empty table gives an empty result.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs, ~held_out_rows())
     tagged = docs.select("doc_id", held_out_rows().alias("held_out"), "text")
@@ -295,7 +351,7 @@ def op5_language_id(spark, sf_dir: str) -> DataFrame:
 
 def language_stage(spark, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
     """Pipeline stage: keeps documents with a language, whose words have a mean largest posterior of ``least`` or more
-    whatever languages they mix; all columns kept."""
+    whatever languages they mix; all columns kept, whatever their names. Null, empty and letterless texts go."""
     model = train(docs, F.lit(True))
-    said = ("_lang_of_text", "_lang_score", "_lang_sure")
+    said = tuple(fresh(docs, "lang_of_text", "lang_score", "lang_sure"))
     return predict(docs, model, docs.columns, said).filter((F.col(said[0]) != "und") & (F.col(said[2]) >= least)).select(*docs.columns)

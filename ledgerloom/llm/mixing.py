@@ -10,10 +10,10 @@ are. Rates become whole copies by error diffusion over the size histogram of eac
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.ranking import global_rank
-from .common import materialize, n_words, salted_rank
+from .common import fresh, materialize, n_words, salted_rank, salts_for
 
 
 def source_targets(sources: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.0) -> DataFrame:
@@ -62,19 +62,21 @@ def entropy_balance(cells: DataFrame, margins: dict[str, DataFrame], mass: str =
             worst = max(worst, float(now.agg(F.max(F.abs("_d"))).first()[0] or 0.0))
             now = now.drop("_d")
         if worst <= tol:
-            break
-    return now
+            return now
+    raise ValueError(f"constraints do not hold after {iterations} rounds: a step of {worst} is left")
 
 
-def to_copies(docs: DataFrame, rates: DataFrame, size: str = "size", cap: int = 3, tie: Column | None = None) -> DataFrame:
-    """docs(source, size, ...) and rates(source, rate) -> docs + rate, copies.
+def to_copies(docs: DataFrame, rates: DataFrame, tie: Column, cap: int = 3, names: tuple[str, ...] = ("source", "size", "rate", "copies")) -> DataFrame:
+    """docs(doc_id, source, size, ...) and rates(source, rate) -> docs + rate, copies; ``names`` are these four columns' names.
 
     Copies of a source's documents of one size are fixed for the whole cell, from the longest size down: each takes what
     keeps the sum of taken words nearest to the sum of rates, within the whole numbers next to the rate. The last
     difference is less than the smallest size that can still make up for it. Documents without words keep one copy.
+    Which documents of a cell get one copy more follows hashes of doc_id and ``tie``; rows equal in both are interchangeable.
     """
-    hist = docs.groupBy("source", size).agg(F.count(F.lit(1)).alias("m"))
-    rated = hist.join(rates.select(F.col("source").alias("_src"), "rate"), hist["source"].eqNullSafe(F.col("_src"))).drop("_src").withColumnRenamed(size, "size")
+    source, size, rate, copies = names
+    hist = docs.groupBy(F.col(source).alias("source"), F.col(size).alias("size")).agg(F.count(F.lit(1)).alias("m"))
+    rated = materialize(hist.join(rates.select(F.col("source").alias("_src"), "rate"), hist["source"].eqNullSafe(F.col("_src"))).drop("_src"))
 
     def fold(cell: pd.DataFrame) -> pd.DataFrame:
         cell = cell.sort_values("size", ascending=False)
@@ -88,46 +90,50 @@ def to_copies(docs: DataFrame, rates: DataFrame, size: str = "size", cap: int =
         return cell.assign(k=total)
 
     plan = rated.groupBy("source").applyInPandas(fold, "source string, size long, m long, rate double, k long")
-    plan = plan.select(F.col("source").alias("_src"), F.col("size").alias("_size"), "m", "rate", "k")
-    ranked = salted_rank(docs, ["source", size], [tie if tie is not None else F.col("doc_id")], F.xxhash64("doc_id"), "_rank")
-    joined = ranked.join(plan, ranked["source"].eqNullSafe(plan["_src"]) & (ranked[size] == plan["_size"]))
-    copies = F.expr("k div m") + F.when(F.col("_rank") < F.col("k") % F.col("m"), 1).otherwise(0)
-    return joined.withColumn("copies", copies.cast("long")).drop("_src", "_size", "_rank", "m", "k")
+    m, k, rank = fresh(docs, "mix_m", "mix_k", "mix_rank")
+    groups = plan.select(F.col("source").alias(source), F.col("size").alias(size), F.col("m").alias(m), F.col("rate").alias(rate), F.col("k").alias(k))
+    salts = salts_for(rated.agg(F.max("m")).first()[0] or 0)
+    ranked = salted_rank(docs, [source, size], [F.col("doc_id"), tie], F.xxhash64(F.col("doc_id"), tie), rank, salts, groups)
+    times = F.expr(f"{k} div {m}") + F.when(F.col(rank) < F.col(k) % F.col(m), 1).otherwise(0)
+    return ranked.withColumn(copies, times.cast("long")).drop(rank, m, k)
+
+
+def mixing_rates(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3) -> tuple[DataFrame, DataFrame]:
+    """sized(source, size) -> goals (source, source_size, weight, target) and rates (source, rate)."""
+    sources = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    goals = materialize(source_targets(sources, weights, cap))
+    balanced = entropy_balance(sources.select("source", F.col("source_size").alias("mass")), {"source": goals})
+    return goals, materialize(balanced.select("source", F.least(F.lit(float(cap)), F.exp("log_rate")).alias("rate")))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, extra: list[str] | None = None) -> DataFrame:
-    """Documents -> doc_id, source, size, source_size, target, rate, copies (and ``extra`` columns), one row a document.
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3) -> DataFrame:
+    """Documents -> doc_id, source, size, source_size, target, rate, copies, one row a document.
 
     Null text has size 0; null sources form one source, null doc_ids and repeated rows are documents like others. An
     empty table gives an empty result.
     """
-    keep: list[str] = []
-    sized = materialize(docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), *(extra or [])), keep)
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goals = materialize(source_targets(sources, weights, cap), keep)
-    balanced = entropy_balance(sources.select("source", F.col("source_size").alias("mass")), {"source": goals})
-    rates = materialize(balanced.select("source", F.least(F.lit(float(cap)), F.exp("log_rate")).alias("rate")), keep)
-    copied = to_copies(sized, rates, cap=cap)
+    sized = materialize(docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_key")))
+    goals, rates = mixing_rates(sized, weights, cap)
+    copied = to_copies(sized, rates, F.col("text_key"), cap).drop("text_key")
     goal = goals.select(F.col("source").alias("_src"), "source_size", "target")
     return copied.join(goal, copied["source"].eqNullSafe(goal["_src"])).drop("_src")
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken of every document. See mix for nulls, repeats and empty tables."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return mix(docs).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: each document as many times as the mix takes it, all columns kept.
+    """Pipeline stage: each document as many times as the mix takes it, all columns kept, whatever their names.
 
-    Copies are told from documents by an own key, so repeated rows and ids are safe; texts are read once for sizes and
-    once to be repeated.
+    Rows are numbered where they are, so none is looked up by a key: repeated rows and ids, null sources, null and
+    empty texts are documents like others. An empty table gives an empty one.
     """
     cols = docs.columns
-    key = F.xxhash64(*cols)
-    plan = mix(docs.select("doc_id", "source", "text", key.alias("_key")), extra=["_key"]).select(F.col("_key").alias("_k2"), "copies")
-    summed = plan.groupBy("_k2").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    rows = docs.withColumn("_key", key)
-    joined = rows.join(summed, F.col("_key") == F.col("_k2")).withColumn("_rank", F.row_number().over(W.partitionBy("_key").orderBy("doc_id")) - 1)
-    times = F.expr("_copies div _rows") + F.when(F.col("_rank") < F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    return joined.withColumn("_i", F.explode(F.expr("sequence(1, 3)"))).filter(F.col("_i") <= times).select(*cols)
+    source, size, rate, copies, i = fresh(docs, "mix_source", "mix_size", "mix_rate", "mix_copies", "mix_i")
+    rows = docs.withColumns({source: F.col("source").cast("string"), size: n_words(F.col("text"))})
+    _, rates = mixing_rates(materialize(rows.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("size"))))
+    copied = to_copies(rows, rates, F.xxhash64("text"), names=(source, size, rate, copies))
+    return copied.withColumn(i, F.explode(F.sequence(F.lit(1), F.lit(3)))).filter(F.col(i) <= F.col(copies)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .blocks import split
-from .common import materialize, salted_rank, small_batches
+from .common import materialize, salted_rank, salts_for, small_batches
 
 MAX_LEN = 2048
 #: Entries of a worker's cache of encoded words; it is emptied when full.
@@ -185,7 +185,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, max_len: int = MAX_LEN)
     pieces = materialize(tokenize(docs, tokenizer or default_tokenizer(), max_len))
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most max_len rows
     where = places(pack_histogram(counts, max_len))
-    ranked = salted_rank(pieces, ["length"], [F.col("doc_id"), F.col("start"), F.col("ids_crc32")], F.xxhash64("doc_id", "start"), "_rank", salts=256)
+    ranked = salted_rank(pieces, ["length"], [F.col("doc_id"), F.col("start"), F.col("ids_crc32")], F.xxhash64("doc_id", "start"), "_rank", salts_for(max(counts.values(), default=0)))
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -201,8 +201,10 @@ def pack(docs: DataFrame, tokenizer: str | None = None, max_len: int = MAX_LEN)
 
 
 def op9_packing(spark, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048; an empty table gives none. See pack for nulls, repeats and ties."""
     return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def pack_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: pieces of all rows of docs, copies included; only doc_id and text are read, other columns may have any name."""
     return pack(docs)

@@ -157,3 +157,48 @@ def test_rare_words_have_their_own_probability(spark):
         assert got[i] == pytest.approx(own + np.log(max(count[w], 1) / (total[token[w]] + 1)), abs=2e-4)
     same = [(a, b) for a in rare[:60] for b in rare[150:] if token[a] == token[b]]
     assert same and all(got[rare.index(a)] > got[rare.index(b)] for a, b in same)
+
+
+def test_chain_against_enumeration():
+    """Posteriors, expected moves and their gradient against all label sequences."""
+    from itertools import product
+
+    rng = np.random.default_rng(5)
+    n_lang, steps = 3, 4
+    e, potentials, gold = rng.random((1, steps, n_lang)) + 0.05, rng.normal(size=(n_lang, n_lang)), (0, 2, 2, 1)
+
+    def weights(m):
+        t = np.exp(m) / np.exp(m).sum(1, keepdims=True)
+        return t, {y: np.prod([e[0, i, y[i]] for i in range(steps)]) * np.prod([t[y[i - 1], y[i]] for i in range(1, steps)]) for y in product(range(n_lang), repeat=steps)}
+
+    def loss(m):
+        w = weights(m)[1]
+        return -np.log(w[gold] / sum(w.values()))
+
+    t, w = weights(potentials)
+    total = sum(w.values())
+    post, moves = langid.expected(e, t)
+    for i in range(steps):
+        for k in range(n_lang):
+            assert post[0, i, k] == pytest.approx(sum(v for y, v in w.items() if y[i] == k) / total, abs=1e-9)
+    made, want = np.zeros((n_lang, n_lang)), np.zeros((n_lang, n_lang))
+    for i in range(1, steps):
+        made[gold[i - 1], gold[i]] += 1
+        for y, v in w.items():
+            want[y[i - 1], y[i]] += v / total
+    assert np.allclose(moves, want)
+    got, eps = langid.moves_gradient(made, moves, t), 1e-6
+    for i, j in product(range(n_lang), repeat=2):
+        step = np.zeros((n_lang, n_lang))
+        step[i, j] = eps
+        assert got[i, j] == pytest.approx((loss(potentials + step) - loss(potentials - step)) / (2 * eps), abs=1e-6)
+    flat = e[0].astype(np.float32)
+    assert np.allclose(langid.posteriors(flat, t.astype(np.float32), np.array([0]), np.array([steps])), post[0], atol=1e-5)
+
+
+def test_training_runs_come_from_whole_texts(spark):
+    text = " ".join("start" if i < 3000 else "finish" for i in range(6000))
+    docs = spark.createDataFrame([("a", 5, text), ("a", 6, "one two"), ("b", 7, "x" * 10_000), ("b", 8, "12 3"), ("b", 9, "")], "lang string, d long, text string")
+    got = langid.runs(docs).collect()
+    assert Counter(r.d for r in got) == {5: langid.TRAIN_RUNS, 6: 1}
+    assert {w for r in got if r.d == 5 for w in r.text.split()} == {"start", "finish"} and all(len(r.text.split()) <= langid.STEP for r in got)

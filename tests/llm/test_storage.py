@@ -165,3 +165,45 @@ def test_pipeline(spark, sf):
 
     out = corpus_pipeline.run(spark, sf).collect()
     assert out and len(corpus_pipeline.STAGES) == 5 and sum(r.length for r in out) > 0
+
+
+CLASHES = ["_key", "_k2", "_order_id", "order_id", "_again", "again", "_gone", "gone", "_at", "text_key", "row", "mix_size", "mix_rank", "rate", "size", "salt", "lang_of_text", "lang_score", "block", "data", "bucket", "start", "n", "s", "k0"]
+
+
+@pytest.fixture(scope="module")
+def clashing(spark, rows):
+    """Documents with columns named like those that operators make, of types and values of their own."""
+    r = [(*x, *[f"{c} {i}" if k % 2 else i * 10 + k for k, c in enumerate(CLASHES)]) for i, x in enumerate(rows)]
+    fields = ", ".join(f"`{c}` {'string' if k % 2 else 'long'}" for k, c in enumerate(CLASHES))
+    return spark.createDataFrame(r, f"doc_id long, text string, lang string, source string, n_chars long, {fields}").repartition(3)
+
+
+def test_stages_leave_columns_alone(spark, clashing):
+    import corpus_pipeline
+
+    given = {r["_key"]: r for r in clashing.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, clashing, "")
+        assert out.schema == clashing.schema, name
+        got = out.collect()
+        assert got
+        for r in got:
+            want = given[r["_key"]]
+            same = [c for c in clashing.columns if name != "suffix_dedup" or c not in ("text", "n_chars")]
+            assert all(r[c] == want[c] for c in same), name
+    assert corpus_pipeline.STAGES[-1][1](spark, clashing, "").count() >= len(given)
+
+
+def test_stages_of_empty_tables(spark, none):
+    import corpus_pipeline
+
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, "").count() == 0, name
+
+
+def test_mix_stage_repeated_rows(spark, docs, rows):
+    """Copies of a source's documents add up to the source's target, with repeated rows and null ids as documents of their own."""
+    out = mixing.mix_stage(spark, docs, "").groupBy("source").agg(F.sum(F.size(F.split(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), " "))).alias("n")).collect()
+    want = {r.source: r.target for r in mixing.mix(docs).select("source", "target").distinct().collect()}
+    got = {r.source: r.n for r in out}
+    assert all(abs((got.get(s) or 0) - t) <= (130 if s != "long" else 6000) for s, t in want.items())
