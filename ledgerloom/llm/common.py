@@ -173,7 +173,4 @@ class Words:
 
 def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
     """Which of n items lie in [s, s + size) for any start s."""
-    marks = np.zeros(n + 1, dtype=np.int32)
-    np.add.at(marks, starts, 1)
-    np.add.at(marks, np.minimum(starts + size, n), -1)
-    return np.cumsum(marks[:n]) > 0
+    return np.cumsum(np.bincount(starts, minlength=n + 1)[:n] - np.bincount(np.minimum(starts + size, n), minlength=n + 1)[:n]) > 0

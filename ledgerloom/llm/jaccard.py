@@ -5,6 +5,11 @@ PartEnum splits the shingle domain into n1 parts; two sets within k differ by at
 Each part is split in n2, and every choice of n2 - k // n1 of these gives one signature: the hash of the set's shingles
 there. Sets within k share a signature for certain; a set signs for its own band and the next larger one.
 
+A signature of no or one shingle says little and is shared by chance the more, the larger the corpus. So there are some
+parts more than needed: s spare ones give sets within k at least s + 1 parts in which they differ by at most k // n1. A
+set leaves out all signatures lighter than a bound that at most s of its parts fall below; of two sets the one with the
+higher bound has one of those parts at or above it, and the signature on which both agree there is left out by neither.
+
 With its signatures a set sends a parity sketch (256 bits, more for large sets), which bounds the difference of two sets from below. Of sets
 that share a signature only those are joined to a candidate group that the sketch lets be similar, over a spanning
 forest, never as all pairs. A group is verified exactly by its sets in tiles; pairs that are already linked over others
@@ -25,14 +30,16 @@ from .common import Words, fresh, materialize, mix, release
 from .graph import connected_components
 
 N2, K2 = 3, 1
+#: One part in so many is added to those that PartEnum needs, so that a set may leave out its lightest signatures.
+SPARE = 5
 #: Parts in which the signatures of a bucket are met, to bound memory.
 SLICES = 8
 #: Members of a lot, so many sets are in a task at once, or twice as many where sets are asked against a lot; sets of a family that meet all its lots.
 TILE, PIVOTS = 2048, 32
 #: Tasks that the rows of one class are dealt to when they get their smallest id.
 SALTS = 8
-#: Bytes of text for each bucket of signatures.
-BUCKET_TEXT = 40 << 20
+#: Bytes of text for each bucket of signatures; shared signatures for each bucket in which sets meet.
+BUCKET_TEXT, MEET = 40 << 20, 2_000_000
 
 
 class Sets:
@@ -71,7 +78,8 @@ class Bands:
         top.append(max(top[-1] + 1, top[-1] * den // num))
         self.top = np.array(top)
         self.k = 2 * self.top * (den - num) // (den + num)  # most shingles that two such sets differ in
-        self.n1 = self.k // (K2 + 1) + 1
+        self.spare = (self.k // (K2 + 1) + 1) // SPARE
+        self.n1 = self.k // (K2 + 1) + 1 + self.spare
 
     def of(self, n: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.top, n)
@@ -95,13 +103,22 @@ def signatures(s: Sets, use: np.ndarray, num: int, den: int) -> tuple[np.ndarray
         part = (s.mixed[elems] >> np.uint64(20)) % n1[p].astype(np.uint64)
         sub = (s.mixed[elems] & np.uint64(0xFFFF)) % np.uint64(N2)
         cell = np.zeros(int(base[-1]), np.uint64)
-        np.add.at(cell, base[p] + (part * np.uint64(N2) + sub).astype(np.int64), s.hash[elems])
-        cell = cell.reshape(-1, N2)
-        owner = np.repeat(np.arange(len(use)), n1)
-        number = np.arange(len(owner)) - np.repeat(base[:-1] // N2, n1)
+        at = base[p] + (part * np.uint64(N2) + sub).astype(np.int64)
+        np.add.at(cell, at, s.hash[elems])
+        cell, held = cell.reshape(-1, N2), np.bincount(at, minlength=len(cell)).reshape(-1, N2)
+        every = np.repeat(np.arange(len(use)), n1)
+        first = base[:-1] // N2
+        # the least of a set's parts but for as many as there are to spare tells how few shingles a signature may have
+        least = np.sort(held, axis=1)[:, : N2 - K2].sum(1)
+        signs = np.flatnonzero(n1 > 0)
+        light = np.zeros(len(use), np.int64)
+        light[signs] = least[np.lexsort((least, every))][first[signs] + bands.spare[band[signs]]]
         for chosen in combinations(range(N2), N2 - K2):
+            heavy = np.flatnonzero(held[:, list(chosen)].sum(1) >= light[every])
+            owner = every[heavy]
+            number = heavy - first[owner]
             tag = band[owner].astype(np.uint64) * np.uint64(1 << 40) + number.astype(np.uint64) * np.uint64(1 << 8) + np.uint64(sum(1 << c for c in chosen))
-            keys.append(mix(cell[:, list(chosen)].sum(1, dtype=np.uint64) ^ mix(tag)))
+            keys.append(mix(cell[heavy][:, list(chosen)].sum(1, dtype=np.uint64) ^ mix(tag)))
             docs.append(use[owner])
     return np.concatenate(keys), np.concatenate(docs)
 
@@ -420,23 +437,37 @@ def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
                 at = np.flatnonzero(shared & mine[signed.docs])
                 if not len(at):
                     continue
-                uses = np.unique(signed.docs[at])
-                out = [(k, None, data) for k, data in _messages(signed.keys[at], signed.docs[at], s, buckets)]
-                out += [(None, int(s.id[u]), s.hash[s.first[u] : s.first[u] + s.n[u]].tobytes()) for u in uses.tolist()]
-                for lot in range(0, len(out), 1000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[lot : lot + 1000]), (pa.int32(), pa.int64(), pa.binary()))], ["bucket", "want", "data"])
+                for bucket, data in _messages(signed.keys[at], signed.docs[at], s, meets):
+                    yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([data], pa.binary())], ["bucket", "data"])
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = sum(int(np.bitwise_count(np.frombuffer(bits, np.uint8)).sum()) for i in range(b.num_rows) for _, bits in replies_of(b, i, "replies"))
+            yield pa.RecordBatch.from_arrays([pa.array([n])], ["n"])
+
+    def pull(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, data in enumerate(b.column(0)):
+                rows = b.column(1)[i].as_py()
+                s = Sets(*texts(unpack(data.as_py()).take(pa.array([r["place"] for r in rows])), "text"), size)
+                for low in range(0, len(rows), 500):
+                    some = rows[low : low + 500]
+                    sets = [s.hash[s.first[k] : s.first[k] + s.n[k]].tobytes() for k in range(low, low + len(some))]
+                    yield pa.RecordBatch.from_arrays([*[pa.array([r[c] for r in some], pa.int64()) for c in ("want", "family", "members")], pa.array(sets, pa.binary())], ["want", "family", "members", "data"])
 
     kinds = "block long, place int, doc_id long, set_id long, n_shingles long, text_key long"
     nodes = materialize(blocks.select("block", "data").mapInArrow(name, kinds))
-    replies = settle(blocks.select("block", "data").mapInArrow(first, SENT), _twice, KEY)
-    one = nodes.filter("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct("block", "place")).alias("at")).select("at.block", "at.place")
+    replies = materialize(settle(blocks.select("block", "data").mapInArrow(first, SENT), _twice, KEY), keep)
+    meets = max(1, (replies.mapInArrow(shared, "n long").agg(F.sum("n")).first()[0] or 0) // MEET)
+    one = materialize(nodes.filter("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct("block", "place")).alias("at")).select("set_id", "at.block", "at.place"), keep)
     places = one.groupBy("block").agg(F.collect_list("place").alias("places"))  # bounded by the rows of a block
-    sent = materialize(blocks.join(replies, "block").join(places, "block").select("block", "data", "replies", "places").mapInArrow(second, "bucket int, want long, data binary"), keep)
-    met = sent.filter("bucket is not null").select("bucket", "data").groupBy("bucket").applyInArrow(lambda t: _meet(t, num, den), "u long, v long")
+    asked = replies.join(places, "block")
+    met = blocks.join(asked, "block").select("block", "data", "replies", "places").mapInArrow(second, "bucket int, data binary").groupBy("bucket").applyInArrow(lambda t: _meet(t, num, den), "u long, v long")
     groups = materialize(connected_components(met), keep)
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members")).withColumnRenamed("label", "family")
-    member = groups.join(sizes, F.col("label") == F.col("family")).select("id", "family", "members")
-    full = materialize(sent.filter("want is not null").join(member, F.col("want") == F.col("id")).select("want", "family", "members", "data"), keep)
+    member = groups.join(sizes, F.col("label") == F.col("family")).join(one, F.col("id") == F.col("set_id"))
+    wanted = member.groupBy("block").agg(F.collect_list(F.struct("place", F.col("id").alias("want"), "family", "members")).alias("rows"))
+    full = materialize(blocks.join(wanted, "block").select("data", "rows").mapInArrow(pull, "want long, family long, members long, data binary"), keep)
     labels = materialize(connected_components(verified_links(full, num, den)))
     release(docs.sparkSession, keep)
     return nodes.drop("block", "place"), labels

@@ -42,9 +42,9 @@ SAMPLE_BLOCKS, SAMPLE_SUFFIXES = 16, 4096
 
 
 class Anchors:
-    """Anchors of all windows of size bytes in a buffer of documents: runs of window starts, their anchor and two prints of their text."""
+    """Anchors of all windows of size bytes in a buffer of documents: runs of window starts, their anchor and, if asked, two prints of their text."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray, size: int):
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, size: int, prints: bool = True):
         n, w, found = len(buf), size - K + 1, []
         for low in range(0, n - size + 1, STEP):
             part = buf[low : min(n, low + STEP + size - 1)]
@@ -59,26 +59,32 @@ class Anchors:
                 least = np.minimum(least[: len(least) - step], least[step:])
                 span += step
             pos = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            doc = np.repeat(np.arange(len(offsets) - 1), np.diff(np.clip(offsets, low, low + len(pos))))
-            ok = low + np.arange(len(pos)) + size <= offsets[doc + 1]
+            held = np.diff(np.clip(offsets, low, low + len(pos)))
+            last = np.repeat(np.clip(offsets[1:] - size - low, -1, len(pos)).astype(np.int32), held)  # the last window of each one's document
+            ok = np.arange(len(pos), dtype=np.int32) <= last
             new = np.zeros(len(pos), bool)
             new[0] = True
-            new[1:] = (pos[1:] != pos[:-1]) | (doc[1:] != doc[:-1]) | (ok[1:] & ~ok[:-1])
+            new[1:] = (pos[1:] != pos[:-1]) | (ok[1:] & ~ok[:-1])
+            heads = np.unique(np.cumsum(held) - held)
+            new[heads[heads < len(pos)]] = True
             starts = np.flatnonzero(new & ok)
             change = np.append(np.flatnonzero(new | ~ok), len(pos))
             ends = change[np.searchsorted(change, starts, side="right")]
-            first = span_hash(prefix, starts, ends - 1 + size, BASES[0])
-            second = span_hash(prefix_hash(codes, BASES[1]), starts, ends - 1 + size, BASES[1])
-            found.append((low + starts, low + ends - 1, low + pos[starts], doc[starts], mix(gram[pos[starts]] + np.uint64(0x5EED)), first, second))
+            first = second = np.zeros(0, np.uint64)
+            if prints:
+                first = span_hash(prefix, starts, ends - 1 + size, BASES[0])
+                second = span_hash(prefix_hash(codes, BASES[1]), starts, ends - 1 + size, BASES[1])
+            doc = np.searchsorted(offsets, low + starts, side="right") - 1
+            found.append((low + starts, low + ends - 1, low + pos[starts], doc, mix(gram[pos[starts]] + np.uint64(0x5EED)), first, second))
         if not found:
             found = [tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64))]
         self.first, self.last, self.at, self.doc, self.key, self.print, self.second = (np.concatenate(x) for x in zip(*found))
 
 
-def _read(data: bytes, column: str, size: int) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, Anchors]:
+def _read(data: bytes, column: str, size: int, prints: bool = True) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, Anchors]:
     batch = unpack(data)
     buf, offsets = texts(batch, column)
-    return batch, buf, offsets, Anchors(buf, offsets, size)
+    return batch, buf, offsets, Anchors(buf, offsets, size, prints)
 
 
 def _lead(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -115,10 +121,11 @@ def _rows(buf: np.ndarray, a: Anchors, c: Contexts, size: int) -> np.ndarray:
     rows = np.zeros(len(c.one), row_type(size))
     first, count = a.first[c.one], a.last[c.one] - a.first[c.one] + 1
     rows["before"], rows["windows"], rows["doc"] = a.at[c.one] - first, count, c.least
-    cols = np.arange(rows["text"].shape[1])
+    width = rows["text"].shape[1]
+    cols, texts_at = np.arange(width), np.lib.stride_tricks.sliding_window_view(np.append(buf, np.zeros(width, np.uint8)), width)
     for at in range(0, len(rows), 1 << 15):
         f, n = first[at : at + (1 << 15)], count[at : at + (1 << 15)]
-        rows["text"][at : at + (1 << 15)] = np.where(cols < (n + size - 1)[:, None], buf[np.minimum(f[:, None] + cols, len(buf) - 1)], 0)
+        rows["text"][at : at + (1 << 15)] = texts_at[f] * (cols < (n + size - 1)[:, None])
     return rows
 
 
@@ -143,10 +150,9 @@ def sort_bucket(text: np.ndarray, low: np.ndarray, high: np.ndarray, doc: np.nda
         return out
 
     def bytes_at(c: int, k: int) -> np.ndarray:
-        out = np.zeros(n, np.uint64)
-        for i in range(k):
-            out = (out << np.uint64(8)) | padded[:, c + i]
-        return out
+        if not k:
+            return np.zeros(n, np.uint64)
+        return np.ndarray(n, ">u8", buffer=padded, offset=c, strides=(padded.shape[1],)).astype(np.uint64) >> np.uint64(64 - 8 * k)
 
     # ranks of the cover sample by doubling; depth V first
     ranks = {c: number(bytes_at(c, V)) for c in {c + k * V for c in needed for k in range(depth // V)}}
@@ -236,7 +242,7 @@ def repeated_bytes(docs: DataFrame, order_id: str, column: str = "text", size: i
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, data in zip(b.column(0).to_pylist(), b.column(1)):
-                keys, _, rows = anchors(_read(data.as_py(), column, size)[3])
+                keys, _, rows = anchors(_read(data.as_py(), column, size, False)[3])
                 yield from send(block, hashed(keys, buckets), rows, buckets)
 
     def around(b: pa.RecordBatch, i: int):
