@@ -1,6 +1,6 @@
 """Substring dedup by recompression.
 
-Every document's word sequence is shortened in rounds that look only at neighbours: short runs of one symbol become a
+Every document's word sequence is shortened in rounds that look only at neighbours: a run of one symbol becomes a
 symbol, then pairs (a, b) with a in one half of the alphabet and b in the other. The name of a new symbol is the hash
 of what it stands for, so all executors give equal substrings the same interior symbols without a lookup. After the
 rounds, one exchange finds the top symbols that occur in two places of the corpus.
@@ -8,7 +8,7 @@ rounds, one exchange finds the top symbols that occur in two places of the corpu
 Each symbol also knows its reach: the stretch of words that settled it. A pair needs no neighbours; a symbol left alone
 depends on the one beside it. Two copies of a window share every symbol whose reach lies in it, so a window with a
 symbol of that kind that occurs once is no repeat. The rest are verified by a second exchange, of 128-bit fingerprints
-of their words. No repeat is missed whatever the rounds do; they decide how few other windows are left to verify.
+of their words (two of 64 bits, each over word hashes of its own). No repeat is missed whatever the rounds do; they decide how few other windows are left to verify.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from .blocks import SENT, answers, hashed, n_buckets, replies_of, seen_twice, se
 from .common import BASES, Words, covered, materialize, mix
 
 WINDOW = 35
-RUN = 2
 PAIRS = 3
 FAR = 1 << 40
 SYMBOL = np.dtype([("key", "<u8"), ("many", "u1")])
@@ -35,28 +34,15 @@ def compress(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Top symbols of all documents: names, and their reach (first word and word after the last)."""
     name, doc = words.hash, words.doc
     n = len(name)
-    low, high = np.arange(n) - 1, np.arange(n) + 2  # not a run: one word on either side tells
     if not n:
-        return name, low, high
-    # run step: exactly RUN equal words become one symbol, longer runs stay
+        return name, words.first[:0], words.first[:0]
+    # run step: k equal words become one symbol (word, k); one word on either side tells where the run ends
     new = np.ones(n, bool)
     new[1:] = (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])
     first = np.flatnonzero(new)
-    runs = np.diff(np.append(first, n))
-    of = np.repeat(np.arange(len(first)), runs)
-    long = np.flatnonzero(runs[of] > RUN)  # RUN + 1 equal words tell
-    place = long - first[of[long]]
-    low[long] = np.maximum(long - np.minimum(place, RUN), first[of[long]])
-    low[long] = np.minimum(low[long], first[of[long]] + runs[of[long]] - RUN - 1)
-    high[long] = low[long] + RUN + 1
-    short = first[runs == RUN]
-    name = name.copy()
-    name[short] = mix(name[short] + np.uint64(0xA5A5))
-    high[short] = short + RUN + 1
-    stay = np.ones(n, bool)
-    for i in range(1, RUN):
-        stay[short + i] = False
-    name, low, high, doc = name[stay], low[stay], high[stay], doc[stay]
+    k = np.diff(np.append(first, n))
+    name, doc = np.where(k > 1, mix(name[first] + mix(k.astype(np.uint64))), name[first]), doc[first]
+    low, high = first - 1, first + k + 1
     for step in range(PAIRS):
         left = (mix(name ^ np.uint64(0xC0FFEE + step)) >> np.uint64(63)).astype(bool)
         joined = np.flatnonzero(left[:-1] & ~left[1:] & (doc[:-1] == doc[1:]))
@@ -102,7 +88,7 @@ def _candidates(words: Words, low: np.ndarray, high: np.ndarray, shared: np.ndar
 def _fingers(words: Words, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct fingerprints of windows in a block, and which each window has."""
     key = np.empty(len(at), FINGER)
-    key["key"], key["more"] = words.windows(size, at), words.windows(size, at, BASES[0])
+    key["key"], key["more"] = words.windows(size, at), words.windows(size, at, BASES[0], words.hashes(BASES[1]) if len(at) else None)
     order = np.lexsort((key["more"], key["key"]))
     s = key[order]
     new = np.ones(len(s), bool)

@@ -1,6 +1,7 @@
 """Mixing, media, WARC, packing."""
 
 import hashlib
+import uuid
 import zlib
 from collections import Counter
 
@@ -60,7 +61,7 @@ def test_png():
 
 
 def test_media(spark, docs, rows):
-    directory = f"{scratch_dir(spark)}/media-test"
+    directory = f"{scratch_dir(spark)}/media-test-{uuid.uuid4().hex}"
     fs, top = media._fs(directory)
     fs.create_dir(top)
     listed = media.store(docs, directory)
@@ -207,3 +208,25 @@ def test_mix_stage_repeated_rows(spark, docs, rows):
     want = {r.source: r.target for r in mixing.mix(docs).select("source", "target").distinct().collect()}
     got = {r.source: r.n for r in out}
     assert all(abs((got.get(s) or 0) - t) <= (130 if s != "long" else 6000) for s, t in want.items())
+
+
+def test_foreign_archives(spark):
+    """Stored and deflated members in nested directories; an unknown method is reported, alone."""
+    import zipfile
+
+    directory = f"{scratch_dir(spark)}/foreign-archives-{uuid.uuid4().hex}"
+    fs, top = media._fs(directory)
+    fs.create_dir(f"{top}/a/b")
+    want = {}
+    for name, method in (("x.zip", zipfile.ZIP_STORED), ("a/y.zip", zipfile.ZIP_DEFLATED), ("a/b/z.zip", zipfile.ZIP_BZIP2)):
+        with fs.open_output_stream(f"{top}/{name}") as raw, zipfile.ZipFile(raw, "w", method) as z:
+            z.writestr("folder/", b"")
+            for i in range(5):
+                data = bytes([i]) * 1000 * i
+                z.writestr(f"folder/{i}.bin", data)
+                want[name, f"folder/{i}.bin"] = None if method == zipfile.ZIP_BZIP2 else data
+    for size in (1 << 20, 40):
+        got = media.members(spark, directory, rangeBytes=str(size)).collect()
+        assert {(r.archive, r.member): None if r.content is None else bytes(r.content) for r in got} == want and len(got) == len(want)
+        assert all((r.error is None) == (r.content is not None) for r in got)
+    assert {r.archive for r in media.members(spark, directory, archives="a/y.zip").collect()} == {"a/y.zip"}
