@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize, small_batches
+from .common import lean, lean_group, materialize, small_batches
 
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 12 << 20
@@ -60,6 +60,7 @@ def to_blocks(docs: DataFrame, column: str = "text", keep: list[str] | None = No
     """Table (block, bytes, data): every row of docs, all columns, in exactly one block."""
     small_batches(docs.sparkSession)
 
+    @lean
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, have, size = TaskContext.get().partitionId(), 0, [], 0
 
@@ -127,6 +128,7 @@ def answers(to: np.ndarray, buckets: int, got: list[tuple[int, bytes]], width: i
 def settle(sent: DataFrame, decide: Callable[[list[np.ndarray]], list[np.ndarray]], dtype: np.dtype) -> DataFrame:
     """In each bucket, decide a bit for each key of each block; back to (block, replies)."""
 
+    @lean_group
     def bucket(table: pa.Table) -> pa.Table:
         parts = [np.frombuffer(x.as_py(), dtype=dtype) for x in table["data"]]
         bits = decide(parts)

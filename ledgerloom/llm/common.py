@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..plans.scratch import materialize, release, scratch_dir  # noqa: F401
@@ -35,8 +38,39 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
 
 def n_words(text: Column) -> Column:
     """Number of [^\\x20\\x09-\\x0D]+ in text; null and empty count 0."""
-    plain = F.translate(text, "\t\n\x0b\x0c\r", "     ")
-    return F.when(F.length(F.trim(plain)) > 0, F.size(F.split(F.trim(plain), " +"))).otherwise(0).cast("long")
+    return F.when(text.isNotNull(), F.size(F.array_remove(F.split(text, WORD_GAP), ""))).otherwise(0).cast("long")
+
+
+def tidy() -> None:
+    """Give memory that was freed back to the system: a worker lives on after its task, beside others."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run):
+    """A function of batches for mapInArrow that leaves its worker tidy."""
+
+    @functools.wraps(run)
+    def leaner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return leaner
+
+
+def lean_group(run):
+    """A function of a group's table for applyInArrow that leaves its worker tidy."""
+
+    @functools.wraps(run)
+    def leaner(table):
+        out = run(table)
+        tidy()
+        return out
+
+    return leaner
 
 
 #: Rows of one group that one task numbers.
@@ -48,16 +82,17 @@ def salts_for(largest: int) -> int:
     return max(16, -(-largest // RANK_ROWS))
 
 
-def salted_rank(df: DataFrame, keys: list[str], order: list[Column], salt_on: Column, rank: str, salts: int, groups: DataFrame | None = None) -> DataFrame:
+def salted_rank(df: DataFrame, keys: list[str], order: list[Column], salt_on: Column, rank: str, salts: int, groups: DataFrame | None = None, narrow: DataFrame | None = None) -> DataFrame:
     """A gapless rank from 0 within keys, without one task per key: rows are dealt to salts, counted, and numbered within (keys, salt).
 
     The order between salts is that of the salt; ties beyond ``order`` are interchangeable only if the caller makes
     them so. Rows with null keys form one group. ``groups`` (keys..., more columns) adds its columns to each row of df
-    on the way; rows without a group there are dropped.
+    on the way; rows without a group there are dropped. ``narrow`` has the same rows in fewer columns, for the counts.
     """
     salt, n, start, *other = fresh(df, "salt", "n", "start", "s", *[f"k{i}" for i in range(len(keys))])
-    salted = df.withColumn(salt, F.pmod(salt_on, F.lit(salts)).cast("int"))
-    counts = salted.groupBy(*keys, salt).agg(F.count(F.lit(1)).alias(n))
+    number = F.pmod(salt_on, F.lit(salts)).cast("int")
+    salted = df.withColumn(salt, number)
+    counts = (narrow if narrow is not None else df).withColumn(salt, number).groupBy(*keys, salt).agg(F.count(F.lit(1)).alias(n))
     upto = W.partitionBy(*keys).orderBy(salt).rowsBetween(W.unboundedPreceding, -1)
     starts = counts.withColumn(start, F.coalesce(F.sum(n).over(upto), F.lit(0))).drop(n)
     same = lambda a, b: functools.reduce(lambda x, y: x & y, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(a, b)])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .blocks import SENT, answers, hashed, n_buckets, replies_of, seen_twice, send, settle, texts, to_blocks, unpack
-from .common import Words, fresh, materialize, mix, release
+from .common import Words, fresh, lean, lean_group, materialize, mix, release
 from .graph import connected_components
 
 N2, K2 = 3, 1
@@ -39,7 +39,7 @@ TILE, PIVOTS = 2048, 32
 #: Tasks that the rows of one class are dealt to when they get their smallest id.
 SALTS = 8
 #: Bytes of text for each bucket of signatures; shared signatures for each bucket in which sets meet.
-BUCKET_TEXT, MEET = 40 << 20, 2_000_000
+BUCKET_TEXT, MEET = 16 << 20, 1_000_000
 
 
 class Sets:
@@ -370,7 +370,7 @@ def verified_links(member: DataFrame, num: int, den: int) -> DataFrame:
     all lots; links within lots and with pivots come first. That leaves most families in one piece and some sets outside it,
     and only these are compared with all sets of the family, a lot at a time.
     """
-    check = lambda t: _verify(t, num, den)
+    check = lean_group(lambda t: _verify(t, num, den))
     cast = lambda df, lot, asked, *key: df.select(*key, lot.cast("int").alias("lot"), "family", F.lit(asked).alias("asked"), "want", "data")
     families = member.select("family", "members").distinct()
     lots = max(8, (families.agg(F.sum("members")).first()[0] or 0) // (4 * TILE))
@@ -414,18 +414,21 @@ def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
             batch = unpack(data.as_py())
             yield i, b.column(0)[i].as_py(), batch, Sets(*texts(batch, "text"), size)
 
+    @lean
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, block, batch, s in each(b):
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), batch.column(0), pa.array(s.id), pa.array(s.n.astype(np.int64)), batch.column(2)], ["block", "place", "doc_id", "set_id", "n_shingles", "text_key"])
 
+    @lean
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, block, _, s in each(b):
                 signed = Signed(s, num, den)
                 yield from send(block, hashed(signed.names, buckets), signed.rows(buckets), buckets)
 
+    @lean
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, _, _, s in each(b):
@@ -440,11 +443,13 @@ def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
                 for bucket, data in _messages(signed.keys[at], signed.docs[at], s, meets):
                     yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([data], pa.binary())], ["bucket", "data"])
 
+    @lean
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = sum(int(np.bitwise_count(np.frombuffer(bits, np.uint8)).sum()) for i in range(b.num_rows) for _, bits in replies_of(b, i, "replies"))
             yield pa.RecordBatch.from_arrays([pa.array([n])], ["n"])
 
+    @lean
     def pull(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, data in enumerate(b.column(0)):
@@ -462,7 +467,7 @@ def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     one = materialize(nodes.filter("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct("block", "place")).alias("at")).select("set_id", "at.block", "at.place"), keep)
     places = one.groupBy("block").agg(F.collect_list("place").alias("places"))  # bounded by the rows of a block
     asked = replies.join(places, "block")
-    met = blocks.join(asked, "block").select("block", "data", "replies", "places").mapInArrow(second, "bucket int, data binary").groupBy("bucket").applyInArrow(lambda t: _meet(t, num, den), "u long, v long")
+    met = blocks.join(asked, "block").select("block", "data", "replies", "places").mapInArrow(second, "bucket int, data binary").groupBy("bucket").applyInArrow(lean_group(lambda t: _meet(t, num, den)), "u long, v long")
     groups = materialize(connected_components(met), keep)
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members")).withColumnRenamed("label", "family")
     member = groups.join(sizes, F.col("label") == F.col("family")).join(one, F.col("id") == F.col("set_id"))

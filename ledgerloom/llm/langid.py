@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .blocks import split, texts
-from .common import BASES, BYTE_CODES, Words, fresh, mix, prefix_hash, small_batches, span_hash
+from .common import BASES, BYTE_CODES, Words, fresh, lean, mix, prefix_hash, small_batches, span_hash
 
 #: Bound of the sample the model is fitted on: documents a language, runs of words from all over each, words and bytes of a run.
 TRAIN_DOCS = 400
@@ -242,6 +242,7 @@ def runs(docs: DataFrame) -> DataFrame:
     Where a run starts in its stretch follows d and the stretch. Runs of more than TRAIN_BYTES bytes (very long words) are left out.
     """
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in split(whole, "text", 1 << 20):
@@ -296,6 +297,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, ..
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # at most BUCKETS x MAX_LANGUAGES weights
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         moves = _stochastic(m.moves)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .blocks import split
-from .common import materialize, scratch_dir, small_batches
+from .common import lean, materialize, scratch_dir, small_batches
 
 ROW = 64
 ARCHIVE_BYTES = 32 << 20
@@ -104,6 +104,7 @@ def store(docs: DataFrame, directory: str, id_column: str = "doc_id", column: st
     """
     small_batches(docs.sparkSession)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, top = _fs(directory)
         ctx, serial = TaskContext.get(), 0
@@ -244,6 +245,7 @@ def measure(found: DataFrame) -> DataFrame:
     A member that could not be read keeps its doc_id and has nulls and the error.
     """
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []

@@ -10,7 +10,7 @@ are. Rates become whole copies by error diffusion over the size histogram of eac
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..plans.ranking import global_rank
 from .common import fresh, materialize, n_words, salted_rank, salts_for
@@ -66,16 +66,18 @@ def entropy_balance(cells: DataFrame, margins: dict[str, DataFrame], mass: str =
     raise ValueError(f"constraints do not hold after {iterations} rounds: a step of {worst} is left")
 
 
-def to_copies(docs: DataFrame, rates: DataFrame, tie: Column, cap: int = 3, names: tuple[str, ...] = ("source", "size", "rate", "copies")) -> DataFrame:
-    """docs(doc_id, source, size, ...) and rates(source, rate) -> docs + rate, copies; ``names`` are these four columns' names.
+def to_copies(docs: DataFrame, rates: DataFrame, cap: int = 3, names: tuple[str, ...] = ("source", "size", "tie", "rate", "copies"), narrow: DataFrame | None = None) -> DataFrame:
+    """docs(doc_id, source, size, tie, ...) and rates(source, rate) -> docs + rate, copies; ``names`` are these columns' names.
+    ``narrow`` has the same rows with the first four columns only, for counts.
 
     Copies of a source's documents of one size are fixed for the whole cell, from the longest size down: each takes what
     keeps the sum of taken words nearest to the sum of rates, within the whole numbers next to the rate. The last
     difference is less than the smallest size that can still make up for it. Documents without words keep one copy.
     Which documents of a cell get one copy more follows hashes of doc_id and ``tie``; rows equal in both are interchangeable.
     """
-    source, size, rate, copies = names
-    hist = docs.groupBy(F.col(source).alias("source"), F.col(size).alias("size")).agg(F.count(F.lit(1)).alias("m"))
+    source, size, tie, rate, copies = names
+    narrow = docs if narrow is None else narrow
+    hist = narrow.groupBy(F.col(source).alias("source"), F.col(size).alias("size")).agg(F.count(F.lit(1)).alias("m"))
     rated = materialize(hist.join(rates.select(F.col("source").alias("_src"), "rate"), hist["source"].eqNullSafe(F.col("_src"))).drop("_src"))
 
     def fold(cell: pd.DataFrame) -> pd.DataFrame:
@@ -93,7 +95,7 @@ def to_copies(docs: DataFrame, rates: DataFrame, tie: Column, cap: int = 3, name
     m, k, rank = fresh(docs, "mix_m", "mix_k", "mix_rank")
     groups = plan.select(F.col("source").alias(source), F.col("size").alias(size), F.col("m").alias(m), F.col("rate").alias(rate), F.col("k").alias(k))
     salts = salts_for(rated.agg(F.max("m")).first()[0] or 0)
-    ranked = salted_rank(docs, [source, size], [F.col("doc_id"), tie], F.xxhash64(F.col("doc_id"), tie), rank, salts, groups)
+    ranked = salted_rank(docs, [source, size], [F.col("doc_id"), F.col(tie)], F.xxhash64("doc_id", tie), rank, salts, groups, narrow)
     times = F.expr(f"{k} div {m}") + F.when(F.col(rank) < F.col(k) % F.col(m), 1).otherwise(0)
     return ranked.withColumn(copies, times.cast("long")).drop(rank, m, k)
 
@@ -112,9 +114,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3) -
     Null text has size 0; null sources form one source, null doc_ids and repeated rows are documents like others. An
     empty table gives an empty result.
     """
-    sized = materialize(docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_key")))
+    sized = materialize(docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie")))
     goals, rates = mixing_rates(sized, weights, cap)
-    copied = to_copies(sized, rates, F.col("text_key"), cap).drop("text_key")
+    copied = to_copies(sized, rates, cap).drop("tie")
     goal = goals.select(F.col("source").alias("_src"), "source_size", "target")
     return copied.join(goal, copied["source"].eqNullSafe(goal["_src"])).drop("_src")
 
@@ -132,8 +134,9 @@ def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     empty texts are documents like others. An empty table gives an empty one.
     """
     cols = docs.columns
-    source, size, rate, copies, i = fresh(docs, "mix_source", "mix_size", "mix_rate", "mix_copies", "mix_i")
-    rows = docs.withColumns({source: F.col("source").cast("string"), size: n_words(F.col("text"))})
-    _, rates = mixing_rates(materialize(rows.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("size"))))
-    copied = to_copies(rows, rates, F.xxhash64("text"), names=(source, size, rate, copies))
+    source, size, tie, rate, copies, i = fresh(docs, "mix_source", "mix_size", "mix_tie", "mix_rate", "mix_copies", "mix_i")
+    rows = docs.withColumns({source: F.col("source").cast("string"), size: n_words(F.col("text")), tie: F.xxhash64("text")})
+    narrow = materialize(rows.select("doc_id", source, size, tie))
+    _, rates = mixing_rates(narrow.select(F.col(source).alias("source"), F.col(size).alias("size")))
+    copied = to_copies(rows, rates, names=(source, size, tie, rate, copies), narrow=narrow)
     return copied.withColumn(i, F.explode(F.sequence(F.lit(1), F.lit(3)))).filter(F.col(i) <= F.col(copies)).select(*[F.col(f"`{c}`") for c in docs.columns])

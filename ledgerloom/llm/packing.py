@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .blocks import split
-from .common import materialize, salted_rank, salts_for, small_batches
+from .common import lean, materialize, salted_rank, salts_for, small_batches
 
 MAX_LEN = 2048
 #: Entries of a worker's cache of encoded words; it is emptied when full.
@@ -119,6 +119,7 @@ def tokenize(docs: DataFrame, path: str, max_len: int = MAX_LEN, end_id: int = 1
     """Pieces (doc_id, row, start, length, ids_crc32, doc_tokens) of all documents; null text is empty."""
     small_batches(docs.sparkSession)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = Encoder.get(path), np.array([end_id], dtype="<u4").tobytes()
         for whole in batches:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .blocks import split, texts
-from .common import BASES, BYTE_CODES, IS_GAP, Words, covered, materialize, mix, prefix_hash, small_batches, span_hash
+from .common import BASES, BYTE_CODES, IS_GAP, Words, covered, lean, materialize, mix, prefix_hash, small_batches, span_hash
 
 #: Bound of the rows the forest is grown on, rows a tree, trees.
 SAMPLE_ROWS, TREE_ROWS, TREES = 8192, 256, 100
@@ -81,6 +81,7 @@ def statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
     small_batches(docs.sparkSession)
     fields = [f for f in docs.schema if f.name in keep]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in split(whole, "text", 1 << 20):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .blocks import SENT, answers, hashed, n_buckets, replies_of, seen_twice, send, settle, texts, to_blocks, unpack
-from .common import BASES, Words, covered, materialize, mix
+from .common import BASES, Words, covered, lean, materialize, mix
 
 WINDOW = 35
 PAIRS = 3
@@ -126,6 +126,7 @@ def repeated_words(docs: DataFrame, column: str = "text", size: int = WINDOW):
         rows["key"], rows["many"] = keys, times > 1
         return keys, which, rows, low, high
 
+    @lean
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, data in zip(b.column(0).to_pylist(), b.column(1)):
@@ -138,6 +139,7 @@ def repeated_words(docs: DataFrame, column: str = "text", size: int = WINDOW):
         rows, which = _fingers(words, at, size)
         return at, rows, which
 
+    @lean
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, block in enumerate(b.column(0).to_pylist()):
@@ -163,6 +165,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """
     rows, found = repeated_words(docs.select("doc_id", "text"), size=size)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .blocks import SENT, answers, hashed, n_buckets, replies_of, seen_twice, send, settle, texts, to_blocks, unpack
-from .common import BASES, BYTE_CODES, covered, fresh, materialize, mix, powers, prefix_hash, span_hash
+from .common import BASES, BYTE_CODES, covered, fresh, lean, materialize, mix, powers, prefix_hash, span_hash
 
 SIZE = 50
 K = 16
@@ -231,6 +231,7 @@ def repeated_bytes(docs: DataFrame, order_id: str, column: str = "text", size: i
     smaller ``order_id`` (a long column; null is larger than any)."""
     blocks = to_blocks(docs, column, block_bytes=1 << 20)  # a worker holds some hundred bytes a byte of text
     buckets = n_buckets(blocks)
+    ranges = 3 * buckets  # rows are several times their text
     w = size - K + 1
 
     def anchors(a: Anchors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,6 +240,7 @@ def repeated_bytes(docs: DataFrame, order_id: str, column: str = "text", size: i
         rows["key"], rows["many"] = keys, times > 1
         return keys, which, rows
 
+    @lean
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, data in zip(b.column(0).to_pylist(), b.column(1)):
@@ -253,6 +255,7 @@ def repeated_bytes(docs: DataFrame, order_id: str, column: str = "text", size: i
         ids = np.array([NO_ID if x is None else x for x in ids.to_pylist()], dtype=np.int64)
         return batch, buf, offsets, a, Contexts(a, shared, ids)
 
+    @lean
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
@@ -263,23 +266,24 @@ def repeated_bytes(docs: DataFrame, order_id: str, column: str = "text", size: i
     names = materialize(settle(blocks.select("block", "data").mapInArrow(first, SENT), seen_twice, ANCHOR).withColumnRenamed("replies", "anchors"))
     with_names = blocks.join(names, "block", "left").select("block", "data", "anchors")
     splits = np.zeros(0, np.uint64)
-    if buckets > 1:
+    if ranges > 1:
         few = F.pmod(F.xxhash64("block"), F.lit(max(1, blocks.count() // SAMPLE_BLOCKS))) == 0
         leads = np.sort(np.concatenate([splits, *[np.frombuffer(x.leads, np.uint64) for x in with_names.filter(few).mapInArrow(sample, "leads binary").collect()]]))
-        splits = leads[np.arange(1, buckets) * len(leads) // buckets] if len(leads) else leads
+        splits = leads[np.arange(1, ranges) * len(leads) // ranges] if len(leads) else leads
 
     def bucket_of(buf: np.ndarray, a: Anchors, c: Contexts) -> np.ndarray:
         return np.searchsorted(splits, _lead(buf, a.at[c.one]), side="right")
 
+    @lean
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, block in enumerate(b.column(0).to_pylist()):
                 _, buf, _, a, c = around(b, i)
-                yield from send(block, bucket_of(buf, a, c), _rows(buf, a, c, size), buckets)
+                yield from send(block, bucket_of(buf, a, c), _rows(buf, a, c, size), ranges)
 
     def found(b: pa.RecordBatch, i: int):
         batch, buf, offsets, a, c = around(b, i)
-        hits = answers(bucket_of(buf, a, c), buckets, replies_of(b, i, "windows"), w)
+        hits = answers(bucket_of(buf, a, c), ranges, replies_of(b, i, "windows"), w)
         mine = hits[c.which] | (c.doc > c.least[c.which])[:, None]
         mine &= np.arange(w) < (a.last[c.use] - a.first[c.use] + 1)[:, None]
         starts = (a.first[c.use][:, None] + np.arange(w))[mine]
@@ -306,6 +310,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """
     rows, found = repeated_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", size=size)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
@@ -333,6 +338,7 @@ def suffix_stage(spark, docs: DataFrame, sf_dir: str, size: int = SIZE) -> DataF
     rows, found = repeated_bytes(docs.withColumn(order, F.col("doc_id").cast("long")), order, size=size)
     names = docs.columns
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
