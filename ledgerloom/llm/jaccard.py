@@ -398,15 +398,15 @@ def verified_links(member: DataFrame, num: int, den: int) -> DataFrame:
     return links.unionByName(both.groupBy("key", "round", "lot").applyInArrow(check, "u long, v long"))
 
 
-def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
-    """(nodes, labels): a row (doc_id, set_id, n_shingles, text_key) for each document, and (id, label) for each set_id that is
-    linked to another one, with one label for each component of links den * |A and B| >= num * |A or B|.
+def similar_components(blocks: DataFrame, doc_id: str = "doc_id", others: tuple[str, ...] = (), size: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
+    """Blocks of documents -> (nodes, labels): a row (block, place, doc_id, set_id, n_shingles) and the long columns ``others`` for each
+    document, and (id, label) for each set_id that is linked to another one, with one label for each component of links
+    den * |A and B| >= num * |A or B|.
 
     Documents with equal sets share the set_id (64 bits of all shingles), so they are linked without a row in labels. A
     first exchange has the signatures only and tells which occur twice; a second has the sets that share them.
     """
     keep: list[str] = []
-    blocks = to_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")), "text", keep)
     buckets = n_buckets(blocks, BUCKET_TEXT)
 
     def each(b: pa.RecordBatch) -> Iterator[tuple[int, int, pa.RecordBatch, Sets]]:
@@ -419,7 +419,9 @@ def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
         for b in batches:
             for _, block, batch, s in each(b):
                 n = batch.num_rows
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), batch.column(0), pa.array(s.id), pa.array(s.n.astype(np.int64)), batch.column(2)], ["block", "place", "doc_id", "set_id", "n_shingles", "text_key"])
+                took = [batch.column(batch.schema.get_field_index(c)) for c in (doc_id, *others)]
+                cols = [pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), took[0], pa.array(s.id), pa.array(s.n.astype(np.int64)), *took[1:]]
+                yield pa.RecordBatch.from_arrays(cols, ["block", "place", "doc_id", "set_id", "n_shingles", *others])
 
     @lean
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,7 +462,7 @@ def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
                     sets = [s.hash[s.first[k] : s.first[k] + s.n[k]].tobytes() for k in range(low, low + len(some))]
                     yield pa.RecordBatch.from_arrays([*[pa.array([r[c] for r in some], pa.int64()) for c in ("want", "family", "members")], pa.array(sets, pa.binary())], ["want", "family", "members", "data"])
 
-    kinds = "block long, place int, doc_id long, set_id long, n_shingles long, text_key long"
+    kinds = ", ".join(["block long, place int, doc_id long, set_id long, n_shingles long", *[f"`{c}` long" for c in others]])
     nodes = materialize(blocks.select("block", "data").mapInArrow(name, kinds))
     replies = materialize(settle(blocks.select("block", "data").mapInArrow(first, SENT), _twice, KEY), keep)
     meets = max(1, (replies.mapInArrow(shared, "n long").agg(F.sum("n")).first()[0] or 0) // MEET)
@@ -474,17 +476,16 @@ def similar_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     wanted = member.groupBy("block").agg(F.collect_list(F.struct("place", F.col("id").alias("want"), "family", "members")).alias("rows"))
     full = materialize(blocks.join(wanted, "block").select("data", "rows").mapInArrow(pull, "want long, family long, members long, data binary"), keep)
     labels = materialize(connected_components(verified_links(full, num, den)))
-    release(docs.sparkSession, keep)
-    return nodes.drop("block", "place"), labels
+    release(blocks.sparkSession, keep)
+    return nodes, labels
 
 
-def _near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Columns of near_duplicates and text_key, which tells rows of one doc_id apart.
+def _components(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """nodes + component_id, the smallest doc_id of the component.
 
     Smallest ids go from documents to sets to classes and back, each aggregated before it is joined and the way back dealt
     to SALTS, so that a class with a third of all rows is no single task's work.
     """
-    nodes, labels = similar_components(docs, size, num, den)
     salt = lambda *c: F.pmod(F.xxhash64(*c), F.lit(SALTS))
     dealt = lambda df: df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     sets = nodes.filter("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
@@ -492,7 +493,7 @@ def _near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 1
     classes = classed.groupBy("class").agg(F.min("least").alias("_least"), F.sum("rows").alias("_rows")).filter("_rows > 1").select(F.col("class").alias("_class"), "_least")
     least = classed.join(dealt(classes), (F.col("class") == F.col("_class")) & (salt("set_id") == F.col("_salt"))).select(F.col("set_id").alias("_set"), "_least")
     found = nodes.join(dealt(least), (F.col("set_id") == F.col("_set")) & (salt("doc_id") == F.col("_salt")), "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"), "text_key")
+    return found.withColumn("component_id", F.coalesce("_least", "doc_id")).drop("_set", "_salt", "_least")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -501,7 +502,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     A document without words (or null text) is linked with nothing. Rows with equal texts are linked, repeated rows
     too. A null doc_id is reached like others, but is never the smallest unless the component has no other.
     """
-    return _near_duplicates(docs, size, num, den).drop("text_key")
+    keep: list[str] = []
+    blocks = to_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text", keep)
+    found = _components(*similar_components(blocks, size=size, num=num, den=den))
+    release(docs.sparkSession, keep)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
@@ -514,16 +519,29 @@ def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words are no duplicates and stay. Of rows that repeat a doc_id and its text one stays; rows that
     share a doc_id but not a text, and rows without a doc_id, stay.
     """
-    found = materialize(_near_duplicates(docs))
-    gone, text, again, row = fresh(docs, "gone", "text_key", "again", "row")
-    doc_id, key = F.col("doc_id").cast("long"), F.xxhash64("text")
-    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(gone), F.col("text_key").alias(text)).distinct()
-    kept = docs.join(dropped, (doc_id == F.col(gone)) & (key == F.col(text)), "left_anti")
-    several = found.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias(again))
-    once = kept.join(several, doc_id == F.col(again), "left_anti")
-    order = F.xxhash64(*[f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
-    more = kept.join(several, doc_id == F.col(again), "left_semi").withColumns({again: doc_id, text: key})
-    return once.unionByName(more.groupBy(again, text).agg(F.min_by(F.struct(*docs.columns), order).alias(row)).select(f"{row}.*"))
+    doc_id, text, row = fresh(docs, "near_id", "near_text", "near_row")
+    hashable = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    blocks = to_blocks(docs.withColumns({doc_id: F.col("doc_id").cast("long"), text: F.xxhash64("text"), row: F.xxhash64(*hashable)}))
+    nodes, labels = similar_components(blocks, doc_id, (text, row))
+    found = materialize(_components(nodes, labels))
+    near = found.filter(F.col("doc_id") != F.col("component_id")).select("block", "place")
+    same = found.filter((F.col("doc_id") == F.col("component_id")) & (F.col("n_shingles") > 0))
+    first = same.groupBy("doc_id", text).agg(F.min(F.struct(row, "block", "place")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = first.select(F.col("doc_id").alias("_id"), F.col(text).alias("_text"), "first")
+    again = same.join(first, (F.col("doc_id") == F.col("_id")) & (F.col(text) == F.col("_text"))).filter(F.struct(row, "block", "place") != F.col("first")).select("block", "place")
+    dropped = near.union(again).groupBy("block").agg(F.collect_list("place").alias("dropped"))  # bounded by the rows of a block
+    names = docs.columns
+
+    @lean
+    def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for data, places in zip(b.column(0), b.column(1).to_pylist()):
+                batch = unpack(data.as_py())
+                mine = np.ones(batch.num_rows, bool)
+                mine[places or []] = False
+                yield batch.select(names).filter(pa.array(mine))
+
+    return blocks.join(dropped, "block", "left").select("data", "dropped").mapInArrow(stay, docs.schema)
 
 
 ORACLE = r"""
