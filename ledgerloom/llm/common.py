@@ -119,7 +119,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n; base is odd."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size, out = max(1 << 16, 1 << int(n).bit_length()), []
+        size, out = -(-int(n) >> 16) << 16, []
         for b in (base, pow(base, -1, 2**64)):
             steps = np.full(size, b, dtype=np.uint64)
             steps[0] = 1
@@ -148,7 +148,7 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, base: int)
 
 
 #: Items hashed at once, so that a very long text takes no more memory than many short ones; longest word that is.
-HASH_STEP, LONG_WORD = 1 << 20, 1 << 16
+HASH_STEP, LONG_WORD = 1 << 18, 1 << 16
 
 
 class Words:

@@ -245,7 +245,7 @@ def runs(docs: DataFrame) -> DataFrame:
     @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in split(whole, "text", 1 << 20):
+            for batch in split(whole, "text", 1 << 19):
                 buf, offsets = texts(batch, "text")
                 words, out = Words(buf, offsets, gap=NOT_LETTER), []
                 raw = buf.tobytes()
@@ -302,7 +302,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, ..
         m = shared.value
         moves = _stochastic(m.moves)
         for whole in batches:
-            for batch in split(whole, "text", 1 << 20):
+            for batch in split(whole, "text", 1 << 19):
                 raw, offsets = texts(batch, "text")
                 n_docs = len(offsets) - 1
                 buf = fold_case(raw)

@@ -84,7 +84,7 @@ def statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in split(whole, "text", 1 << 20):
+            for batch in split(whole, "text", 1 << 19):
                 got = measure(*texts(batch, "text"))
                 cols = [batch.column(batch.schema.get_field_index(f.name)) for f in fields]
                 yield pa.RecordBatch.from_arrays([*cols, *[pa.array(got[c]) for c in COUNTS]], [*[f.name for f in fields], *COUNTS])

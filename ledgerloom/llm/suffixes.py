@@ -34,7 +34,7 @@ TO_SAMPLE = [min((d - c) % V for d in D) for c in range(V)]
 ANCHOR = np.dtype([("key", "<u8"), ("many", "u1")])
 NO_ID = np.iinfo(np.int64).max
 #: Window starts that are looked at at once, so a very long text takes no more memory than many short ones.
-STEP = 1 << 20
+STEP = 1 << 18
 #: Rows of a bucket that are sorted at once; columns of windows that a larger group of one anchor is split by.
 ROWS, COLUMNS = 30_000, 5
 #: Blocks, and suffixes of each, that the ranges of buckets are drawn from.
