@@ -200,6 +200,24 @@ def standard_dates(spark, d):
     return raw.select("raw_date", date.alias("date"), D.year_of(date).alias("year"), D.month_of(date).alias("month_number"))
 
 
+FILED = """filed AS (SELECT 'spend-' || c_nationkey || '.csv' AS file, c_custkey AS n, '0' || (1 + c_custkey % 9) || '/0' || (1 + c_nationkey % 9) || '/2024' AS paid,
+ CASE WHEN c_acctbal < 0 THEN 'n/a' ELSE '' || CAST(round(c_acctbal * 100) AS BIGINT) END AS amount, 'Firm ' || c_mktsegment AS firm, 'Unit ' || (c_custkey % 5) AS unit FROM customer)"""
+HEADED = [(0, ["Spend report"]), (1, ["", ""]), (2, ["Payment Date", "Amount £", "Published Supplier Name", "Organisation"])]
+
+
+@register(f"WITH {FILED} SELECT 'Camden' AS borough, 'Main' AS payment_type, paid AS date, '2024' AS year, amount, firm AS supplier, unit AS department, file AS source_file FROM filed WHERE amount <> 'n/a'")
+def build_fact(spark, d):
+    filed = select(spark, d, "filed", FILED)
+    body = filed.select("file", (F.col("n") + 10).cast("int").alias("row_idx"), F.array("paid", "amount", "firm", "unit").alias("cells"))
+    files = filed.select("file").distinct()
+    for i, cells in HEADED:
+        body = body.unionByName(files.select("file", F.lit(i).alias("row_idx"), F.array(*[F.lit(c) for c in cells]).alias("cells")))
+    sheet = spark.createDataFrame([("Barnet", "Paid, Net", "", "", "Paid", "Net")], "Borough string, Header string, `Affected Files` string, do_not_process string, date string, amount string")
+    for t in A.TARGETS[2:]:
+        sheet = sheet.withColumn(t, F.lit("--"))
+    return A.build_fact(body.withColumn("borough", F.lit("Camden")), A.mapping_rows(sheet), "2024-01-01")[0].select("borough", "payment_type", "date", "year", "amount", "supplier", "department", "source_file")
+
+
 # ---- suppliers -----------------------------------------------------------------------------------------------------
 
 _suf = "['and','of','" + "','".join(V.LEGAL_SUFFIXES) + "']"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from . import values as V
-from .text import link_text, strip
+from .text import let, link_text, strip
 
 _NAMES = "|".join(sorted(V.MONTHS, key=len, reverse=True))
 
@@ -27,16 +27,21 @@ def _text(day: Column, month: Column, year: Column) -> Column:
 
 def standard_date(raw: Column) -> Column:
     """``DD/MM/YYYY`` of a date in any known form, else null. Only ranges are checked, so 31/02/2024 stays; use typed_date."""
-    s = strip(raw)
+    return let(strip(raw), _standard)
+
+
+def _standard(s: Column) -> Column:
+    """A pattern is tried once a row; its parts are taken out only where it matches."""
     part = lambda p, i: F.regexp_extract(s, p, i)
     number = lambda p, i: part(p, i).cast("int")
+    text = lambda day, month, year: let(F.struct(day.alias("d"), month.alias("m"), year.alias("y")), lambda x: _text(x["d"], x["m"], x["y"]))
     rules = []
     for p in (r"^(\d{4})-(\d{2})-(\d{2})(?:[T\s]+\d{2}:\d{2}:\d{2}.*)?$", r"^(\d{4})(\d{2})(\d{2})$"):
-        rules.append(F.when(s.rlike(p), _text(number(p, 3), number(p, 2), number(p, 1))))
+        rules.append(F.when(s.rlike(p), text(number(p, 3), number(p, 2), number(p, 1))))
     for p in (r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:\s+\d{2}:\d{2}(?::\d{2}.*)?)?$", r"^(\d{1,2})/(\d{1,2})/(\d{2})$", r"^(\d{1,2})\.(\d{1,2})\.(\d{4})$", r"^(\d{1,2})-(\d{1,2})-(\d{4})$", r"^(\d{1,2})\s+(\d{1,2})\s+(\d{4}|\d{2})$"):
-        rules.append(F.when(s.rlike(p), _text(number(p, 1), number(p, 2), four_digit_year(number(p, 3)))))
+        rules.append(F.when(s.rlike(p), text(number(p, 1), number(p, 2), let(number(p, 3), four_digit_year))))
     for p in (r"^(\d{1,2})-([A-Za-z]+)-(\d{4}|\d{2})$", r"^(\d{1,2})/([A-Za-z]+)/(\d{4}|\d{2})$", r"^(\d{1,2})\s+([A-Za-z]+)\s+(\d{4}|\d{2})$"):
-        rules.append(F.when(s.rlike(p), _text(number(p, 1), month_number(part(p, 2)), four_digit_year(number(p, 3)))))
+        rules.append(F.when(s.rlike(p), text(number(p, 1), let(part(p, 2), month_number), let(number(p, 3), four_digit_year))))
     serial = r"^(\d{5})$"
     rules.append(F.when(s.rlike(serial) & (number(serial, 1) >= 1), F.date_format(F.date_add(F.lit("1899-12-30").cast("date"), number(serial, 1)), "dd/MM/yyyy")))
     return F.coalesce(*rules)
@@ -57,15 +62,16 @@ def month_of(date_text: Column) -> Column:
 
 def date_in_filename(filename: Column) -> Column:
     """First of the month that a file name tells, as DD/MM/YYYY."""
-    name = F.regexp_replace(filename, r"\.[^.]*$", "")
     rules = [
         (rf"(?i)({_NAMES})[\s/\\\-_](\d{{2,4}})\b", 1, 2), (rf"(?i)({_NAMES})(\d{{4}})(?!\d)", 1, 2), (rf"(?i)({_NAMES})(\d{{2}})(?!\d)", 1, 2),
         (rf"(?i)\b(\d{{4}})[\s/\\\-_]({_NAMES})", 2, 1), (rf"(?i)\b(\d{{4}})({_NAMES})", 2, 1),
     ]
-    out = []
-    for p, m, y in rules:
-        out.append(F.when(name.rlike(p), _text(F.lit(1), month_number(F.regexp_extract(name, p, m)), four_digit_year(F.regexp_extract(name, p, y).cast("int")))))
-    return F.coalesce(*out)
+
+    def first(name: Column) -> Column:
+        parts = [(p, F.struct(F.regexp_extract(name, p, m).alias("m"), F.regexp_extract(name, p, y).cast("int").alias("y"))) for p, m, y in rules]
+        return F.coalesce(*[F.when(name.rlike(p), let(x, lambda x: _text(F.lit(1), month_number(x["m"]), four_digit_year(x["y"])))) for p, x in parts])
+
+    return let(F.regexp_replace(filename, r"\.[^.]*$", ""), first)
 
 
 def period_month(raw: Column) -> Column:

@@ -94,9 +94,9 @@ def repair_encoding(c: Column) -> Column:
     return c
 
 
-#: Exact names (upper case) and ordered patterns that stand for one supplier; callers pass their own tables.
-EXACT_NAMES: dict[str, str] = {}
-NAME_PATTERNS: list[tuple[str, str]] = []
+def let(value: Column, use) -> Column:
+    """use(value), with value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def supplier_clean(supplier: Column, exact: dict[str, str] | None = None, patterns: list[tuple[str, str]] | None = None) -> Column:
@@ -109,14 +109,19 @@ def supplier_clean(supplier: Column, exact: dict[str, str] | None = None, patter
     s = F.regexp_replace(s, r"(?iU)\bwww(?=[a-z])", "www.")
     s = F.regexp_replace(s, r"(?iU)\bwww\b", "www")
     s = F.regexp_replace(s, r"(?iU)\bwww\.amazon\b.*", "Amazon")
-    exact, patterns = EXACT_NAMES if exact is None else exact, NAME_PATTERNS if patterns is None else patterns
-    upper, choices = F.upper(strip(s)), []
-    for k, v in exact.items():
-        choices.append(F.when(upper == k.upper(), F.lit(v)))
-    for k, v in patterns:
-        choices.append(F.when(s.rlike(f"(?iU){k}"), F.lit(v)))
-    if choices:
-        s = F.coalesce(*choices, s)
+    exact, patterns = exact or {}, patterns or []
+    return let(let(s, lambda s: _known_name(s, exact, patterns)), _tidy_name)
+
+
+def _known_name(s: Column, exact: dict[str, str], patterns: list[tuple[str, str]]) -> Column:
+    """The supplier that a whole name or the first matching pattern stands for, else the name."""
+    names = {k.upper(): v for k, v in exact.items()}
+    known = [F.try_element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), F.upper(strip(s)))] if names else []
+    return F.coalesce(*known, *[F.when(s.rlike(f"(?iU){k}"), F.lit(v)) for k, v in patterns], s)
+
+
+def _tidy_name(s: Column) -> Column:
+    """Signs, brackets and legal forms of a name in one way."""
     s = F.translate(s, '_"', "")
     for pattern in (r"\(.*?\)", r"\[.*?\]", r"\([^)]*$", r"\[[^\]]*$"):
         s = F.regexp_replace(s, pattern, "")

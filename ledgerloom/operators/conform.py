@@ -6,10 +6,13 @@ aggregation a file, so files of any size are never gathered.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import text as T, values as V
 from ..functions.dates import period_month
+from ..plans.scratch import materialize
 
 MARKER = r"(?i)(^|[^a-z])(" + "|".join(V.HEADER_MARKERS) + r")($|[^a-z])"
 
@@ -224,13 +227,60 @@ PUBLISHER_RULES = {
 }
 
 
+def known_header(rows: DataFrame, header: list[str]) -> DataFrame:
+    """Files from the row on that starts with this header (blank cells left out); where none does, it is put on top."""
+    cells = F.slice(trim_solid(F.col("cells")), 1, len(header))
+    at = rows.filter(same_header(cells, header)).groupBy("borough", "file").agg(F.min("row_idx").alias("_at"))
+    found = rows.join(at, ["borough", "file"], "left")
+    top = found.filter("_at is null").select("borough", "file").distinct()
+    added = top.select("borough", "file", F.lit(-1).cast(rows.schema["row_idx"].dataType).alias("row_idx"), F.array(*[F.lit(h) for h in header]).alias("cells"))
+    return found.filter("_at is null or row_idx >= _at").select("borough", "file", "row_idx", "cells").unionByName(added)
+
+
+def trim_solid(cells: Column) -> Column:
+    return F.filter(cells, lambda c: T.strip(c) != "")
+
+
+def from_first(rows: DataFrame) -> DataFrame:
+    """Files from their first row with text on, which is their header."""
+    return _with_first(rows).filter("row_idx >= first_idx").select("borough", "file", "row_idx", "cells")
+
+
+def tab_card(rows: DataFrame) -> DataFrame:
+    """Files whose fields are in one cell with tabs between; the header is put on top where it is not the first row."""
+    split = split_tabs(rows).select("borough", "file", "row_idx", "cells")
+    lacking = first_rows(split).filter(~same_header(trim_cells(F.col("first")), V.TAB_CARD_HEADER))
+    added = lacking.select("borough", "file", F.lit(-1).cast(rows.schema["row_idx"].dataType).alias("row_idx"), F.array(*[F.lit(h) for h in V.TAB_CARD_HEADER]).alias("cells"))
+    return split.unionByName(added)
+
+
+#: Files that no publisher's rule fits: publisher, lower-case names, rule on the file as it is.
+FILE_RULES = [
+    *[("ealing", V.CARD_FILES, lambda r: known_header(r, V.CARD_HEADER)), ("ealing", V.CARD_FILES_2024, lambda r: known_header(r, V.CARD_HEADER_2024))],
+    *[(b, [f for c, f in V.AS_IS_FILES if c == b], from_first) for b in ("greenwich", "southwark")],
+    ("tower hamlets", V.TAB_FILES, tab_card),
+]
+
+
 def conform(rows: DataFrame) -> DataFrame:
-    """Every file with its header on top: the publisher's rule on what the preamble strip leaves, else that result. Files that
-    a rule cannot place (it returns none of their rows) fall back to the stripped rows."""
-    stripped = strip_preamble(rows).select("borough", "file", "row_idx", "cells")
-    named = F.lower(T.strip(F.col("borough")))
+    """Every file with its header on top: a rule for the file itself, else the publisher's rule on what the preamble strip
+    leaves, else that result. Files that a rule cannot place (it returns none of their rows) fall back to the stripped rows."""
+    rows = materialize(rows.select("borough", "file", "row_idx", "cells"))
+    publisher, file = F.lower(T.strip(F.translate("borough", "_", " "))), F.lower("file")
+    special, apart = F.lit(False), []
+    for name, files, rule in FILE_RULES:
+        here = (publisher == name) & file.isin(files)
+        special = special | F.coalesce(here, F.lit(False))
+        apart.append(rule(rows.filter(here)).select("borough", "file", "row_idx", "cells").withColumn("status", F.lit("file")))
+    out = reduce(lambda a, b: a.unionByName(b), [_conform(rows.filter(~special)), *apart])
+    return out.filter(F.col("cells").isNotNull())
+
+
+def _conform(rows: DataFrame) -> DataFrame:
+    stripped = materialize(strip_preamble(rows).select("borough", "file", "row_idx", "cells"))
+    named = F.lower(T.strip(F.translate("borough", "_", " ")))
     out = stripped.filter(~F.coalesce(named.isin(list(PUBLISHER_RULES)), F.lit(False))).withColumn("status", F.lit("generic"))
-    present = {r[0] for r in rows.select(F.lower(T.strip(F.col("borough")))).distinct().filter(F.lower(T.strip(F.col("borough"))).isin(list(PUBLISHER_RULES))).collect()}  # of the rules' number
+    present = {r[0] for r in stripped.select(named.alias("b")).distinct().filter(F.col("b").isin(list(PUBLISHER_RULES))).collect()}  # of the rules' number
     for name in sorted(present):
         rule = PUBLISHER_RULES[name]
         mine = stripped.filter(named == name)

@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import text as T, values as V
 from ..functions.dates import date_in_filename, standard_date, year_of
 from ..functions.money import clean_amount, is_number, resolve_amount
+from ..plans.scratch import materialize
 
+FALLBACK = V.HEADER_TARGETS
 TARGETS = ["date", "amount", "vat", "amount_formula", "department", "expense_type", "service_area", "supplier_category", "supplier"]
 
 
@@ -57,15 +59,21 @@ def map_rows(rows: DataFrame, index: Column) -> DataFrame:
     return rows.withColumns({f"raw_{t}": at(t) for t in names})
 
 
+def header_exempt(header: Column) -> Column:
+    """Is this the header under which suppliers may be blank?"""
+    return F.coalesce(F.transform(header, T.strip) == F.array(*[F.lit(h) for h in V.EALING_EXEMPT_HEADER]), F.lit(False))
+
+
 def judge(raw: DataFrame, year: int | None = None) -> DataFrame:
     """Rows with raw_ columns, borough, file + the 15 fact columns and ``fate``: ok, or why the row is left out.
 
-    Dates fall back to the file name; amounts are resolved and must be numbers; suppliers must look like names.
+    Dates fall back to the file name; amounts are resolved and must be numbers; suppliers must look like names. A column
+    ``header`` (the file's header) tells where suppliers may be blank; it is left out of the result.
     """
     date = F.coalesce(standard_date(F.col("raw_date")), date_in_filename(F.col("file")))
     amount = clean_amount(resolve_amount(F.col("raw_amount"), F.col("raw_lhs"), F.col("raw_rhs"), F.col("raw_gross"), F.col("raw_vat")))
     supplier = T.gateway_clean(F.col("raw_supplier"))
-    exempt = F.col("header_exempt") if "header_exempt" in raw.columns else F.lit(False)
+    exempt = F.col("header_exempt") if "header_exempt" in raw.columns else header_exempt(F.col("header")) if "header" in raw.columns else F.lit(False)
     out = raw.withColumn("_date", date).withColumn("_amount", amount).withColumn("_supplier", supplier).withColumn("_year", year_of(F.col("_date")))
     fate = (
         F.when(F.col("_date").isNull() & F.col("raw_date").isNull(), "no_date").when(F.col("_date").isNull(), "bad_date")
@@ -79,7 +87,7 @@ def judge(raw: DataFrame, year: int | None = None) -> DataFrame:
         blank = blank & F.lower(F.coalesce(F.col(f"raw_{c}"), F.lit(""))).isin("", "nan")
     label = F.coalesce("raw_payment_type_col", T.payment_label(F.col("file")))
     return out.select(
-        *[c for c in raw.columns if not c.startswith("raw_")], "raw_date", label.alias("payment_type"), F.col("_date").alias("date"), F.col("_year").alias("year"), F.col("_amount").alias("amount"),
+        *[c for c in raw.columns if not c.startswith("raw_") and c != "header"], "raw_date", label.alias("payment_type"), F.col("_date").alias("date"), F.col("_year").alias("year"), F.col("_amount").alias("amount"),
         F.coalesce(clean_amount(F.col("raw_vat")), F.lit("")).alias("vat"), F.coalesce("_supplier", F.lit("")).alias("supplier"), *[text(c).alias(c) for c in ("department", "expense_type", "service_area", "supplier_category", "txn_id")],
         F.col("file").alias("source_file"), F.when(blank, "Y").otherwise("").alias("blank_taxonomy"), fate.alias("fate"),
     )
@@ -108,19 +116,19 @@ def drop_repeated_headers(rows: DataFrame, header: str = "header") -> DataFrame:
     return rows.filter(solid & ~((first != "") & (T.strip(F.get("cells", F.lit(0))) == first)))
 
 
-#: Header (lower case, without currency signs), target.
-# --- fixed values -------------------------------------------------------------------------------------------------
-FALLBACK = {
-    **dict.fromkeys(["payment date", "payment_date", "paymentdate", "date", "posting date", "transaction date", "trans date", "date of transaction", "entry date", "invoice date", "effective date", "order date", "period"], "date"),
-    **dict.fromkeys(["amount", "net amount", "net value", "payment amount", "transaction amount", "trans original net amt", "amount (excl vat)", "amount (ex vat)", "amount (excluding vat)", "distribution amount", "invoice line amount", "invoice amount", "spend (excluding vat)", "net", "total", "sum of amount", "amount gbp"], "amount"),
-    **dict.fromkeys(["gross", "gross value", "gross amount", "gross invoice value"], "amount_formula"),
-    **dict.fromkeys(["vat", "vat value", "vat amount", "vat amt", "non recoverable vat", "non-recoverable vat", "irrecoverable vat", "irrecoverablevatamount", "unclaimed vat", "tax"], "vat"),
-    **dict.fromkeys(["supplier name", "supplier", "beneficiary", "beneficiaryname", "beneficiary name", "payee", "vendor name", "vendor", "creditor_name", "merchant name", "amended supplier name", "suppliername", "supplier_name", "name"], "supplier"),
-    **dict.fromkeys(["department", "directorate", "local authority department", "la department", "organisationalunit", "organisational unit", "organisation unit", "division", "cost centre description", "portfolio"], "department"),
-    **dict.fromkeys(["expense type", "expenditure type", "expenditure category", "expenditure category/description", "purpose", "purpose of expenditure", "activity", "subjective description", "account description", "summary of purpose", "description", "nominal description", "trans cac desc 1", "spend type", "subjective"], "expense_type"),
-    **dict.fromkeys(["service", "service area", "service_area", "service label", "servicecategorylabel", "service category label", "trans cac desc 2", "cat1", "service code"], "service_area"),
-    **dict.fromkeys(["supplier category", "vendor type", "vendor_type", "merchant category", "categoryinternalname", "category", "classification code"], "supplier_category"),
-    **dict.fromkeys(["transaction number", "transactionnumber", "transno", "transaction no", "trans no", "payment number", "reference", "unique reference", "supplier number", "supplier no", "supplier id", "supplierid", "vendor id", "sap vendor number"], "txn_id"),
-    **dict.fromkeys(["payment type", "card_transaction", "card transaction"], "payment_type_col"),
-}
-# --- end of fixed values ------------------------------------------------------------------------------------------
+def build_fact(rows: DataFrame, maps: DataFrame, batch_start: str, year: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows of cells as files have them (borough, file, row_idx, cells) and mapping_rows -> (accepted facts, excluded rows).
+
+    Every file gets its header on top by its publisher's rule, its columns by mapping sheet or HEADER_TARGETS, and each
+    row is judged. Headers are one row a file; rows meet them by file.
+    """
+    from .conform import conform, first_rows
+
+    shaped = materialize(conform(rows).select("borough", "file", "row_idx", "cells"))
+    heads = first_rows(shaped).select("borough", "file", F.col("first").alias("header"), "first_idx")
+    index = column_index(F.col("header"), F.col("mapping"), V.HEADER_TARGETS)
+    mapped = choose_mapping(heads, maps).withColumn("_index", index)
+    body = shaped.join(mapped, ["borough", "file"]).filter(F.col("row_idx") > F.col("first_idx"))
+    raw = map_rows(drop_repeated_headers(body), F.col("_index"))
+    judged = materialize(judge(raw.drop("mapping", "match_type", "_index", "cells", "first_idx"), year))
+    return accepted(judged, batch_start), excluded(judged)

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions import values as V
 from ..functions.text import blank_to_null, comparison_key, initial_caps, strip, supplier_clean
 
 
 def clean_suppliers(fact: DataFrame, overrides: DataFrame | None = None, acronyms: list[str] | None = None, column: str = "supplier", exact: dict[str, str] | None = None, patterns: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Fact + supplier_clean. The clean-up runs once a distinct name and is joined back.
+    """Fact + supplier_clean. The clean-up runs once a distinct name and is joined back; ``exact`` and ``patterns`` are those
+    of values.py if not given.
 
     overrides(pos, supplier, supplier_clean): names that skip all rules, the last of equal keys wins; their spelling
     is still made canonical. Canonical is the greatest spelling of a comparison key, one with & before others.
     """
+    exact, patterns = V.EXACT_NAMES if exact is None else exact, V.NAME_PATTERNS if patterns is None else patterns
     names = fact.select(F.col(column).alias("_name")).distinct().filter("_name is not null")
     cleaned = names.withColumn("_clean", supplier_clean(F.col("_name"), exact, patterns))
     if overrides is not None:

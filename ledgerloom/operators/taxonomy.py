@@ -55,8 +55,10 @@ def flow(df: DataFrame, scope_column: str = "procurement_scope") -> Column:
     return F.when(amount >= 0, V.FLOWS["spend"]).when(F.col(scope_column) != V.SCOPES["in"], V.FLOWS["reversal"]).when(_low(df, "expense_type").rlike(V.INCOME_TERM), V.FLOWS["income"]).otherwise(V.FLOWS["refund"])
 
 
-def flag_scope_flow(base: DataFrame) -> DataFrame:
-    scoped = drop_blank_rows(base).withColumn("procurement_scope", scope(base))
+def flag_scope_flow(base: DataFrame, blank_rows: bool = False) -> DataFrame:
+    """base + procurement_scope, flow_type_taxonomy_key_aggregate. A base has no blank rows; tables read from files may, and dropping
+    them (``blank_rows``) needs every column."""
+    scoped = (drop_blank_rows(base) if blank_rows else base).withColumn("procurement_scope", scope(base))
     return scoped.withColumn("flow_type_taxonomy_key_aggregate", flow(scoped))
 
 

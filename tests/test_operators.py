@@ -2,6 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import values as V
 from ledgerloom.operators import classify as C, conform as O, coverage as L, facts as A, matching as R, suppliers as S, taxonomy as X
 from ledgerloom.plans.ranking import global_rank
 from ledgerloom.sources import files as S1
@@ -127,3 +128,49 @@ def test_ingest(spark, tmp_path):
     run()
     run()
     assert sorted((r.borough, r.amount) for r in spark.read.parquet(table).collect()) == [("A", 1), ("A", 2), ("B", 9)]
+
+
+def test_supplier_rules(spark):
+    names = {
+        "AMZNMKTPLACE": "Amazon Marketplace", "Amzn Mktp UK*2X3": "Amazon Marketplace", "amazon web services EMEA": "Amazon Web Services", "AMAZON.COM SEATTLE": "Amazon.com", "Amazon hub": "Amazon.co.uk",
+        "wh  smith euston": "Wh Smith", "TESCO STORES 3021": "Tesco", "ASDA PETROL 11": "Asda Petrol", "Asda": "Asda Supermarket Ltd", "Asdale Ltd": "Asdale Ltd", "MARKS AND SPENCER PLC": "M & S Simply Food",
+        "Sainsbury's SACAT": "Sainsburys", "VODAFONE LIMITED": "Vodaphone Ltd", "The coop": "Coop Supermarket", "Acme Limited": "Acme Ltd",
+    }
+    got = {r.supplier: r.supplier_clean for r in S.clean_suppliers(spark.createDataFrame([(n,) for n in names], "supplier string")).collect()}
+    assert {n: v.lower() for n, v in got.items()} == {n: v.lower() for n, v in names.items()}
+    assert len(V.EXACT_NAMES) == 20 and len(V.NAME_PATTERNS) == 172
+
+
+def test_file_rules(spark):
+    files = {
+        ("Ealing", "July_2022_-_Credit_Card.xlsx"): [["note"], ["Posting Date", "", "Transaction Amount", "Merchant Name", "Description"], ["1/7/22", "", "5", "m", "d"]],
+        ("ealing", "june_2022_-_credit_card.xlsx"): [["1/6/22", "5", "m", "d"]],
+        ("ealing", "credit_card_spend_april_2024_-_november_2024.xlsx"): [["x"], ["Date", "Merchant Name", "Transaction Amount", "Description"], ["1", "m", "2", "d"]],
+        ("Greenwich", "Payments_over_500_Qtr_3_Oct_to_Dec_24_25.xlsx"): [["", ""], ["A", "B", "C"], ["1", "2", "3"]],
+        ("Southwark", "Council Spending January 2024.xlsx"): [["h1", "h2"], ["1", "2"]],
+        ("Tower_Hamlets", "PCARD-Aug-2025.xlsx"): [["01/08/2025\t5\tx\tShop\ty", "", ""], ["02/08/2025\t6\tx\tShop\ty"]],
+    }
+    rows = [(b, f, i, c) for (b, f), t in files.items() for i, c in enumerate(t)]
+    got = {}
+    for r in O.conform(spark.createDataFrame(rows, "borough string, file string, row_idx int, cells array<string>")).orderBy("file", "row_idx").collect():
+        assert r.status == "file"
+        got.setdefault(r.file, []).append(list(r.cells))
+    assert got["July_2022_-_Credit_Card.xlsx"] == files["Ealing", "July_2022_-_Credit_Card.xlsx"][1:]
+    assert got["june_2022_-_credit_card.xlsx"] == [V.CARD_HEADER, ["1/6/22", "5", "m", "d"]]
+    assert got["credit_card_spend_april_2024_-_november_2024.xlsx"][0] == V.CARD_HEADER_2024
+    assert got["Payments_over_500_Qtr_3_Oct_to_Dec_24_25.xlsx"] == [["A", "B", "C"], ["1", "2", "3"]]
+    assert got["Council Spending January 2024.xlsx"] == [["h1", "h2"], ["1", "2"]]
+    assert got["PCARD-Aug-2025.xlsx"] == [V.TAB_CARD_HEADER, ["01/08/2025", "5", "x", "Shop", "y"], ["02/08/2025", "6", "x", "Shop", "y"]]
+
+
+def test_headers_without_sheet(spark):
+    """Headers of many forms lead to their targets; one publisher's suppliers may be blank under one header."""
+    head = ["Paym Acc Date", "£ Spend (Excluding VAT)", "Irrecoverable VAT Amount GBP", "Published Supplier Name", "Organisation", "GL Account Description", "9. Merchant Category", "Payment Reference Number"]
+    ix = spark.createDataFrame([(head,)], "header array<string>").select(A.column_index(F.col("header"), F.lit(None).cast("map<string,string>"), V.HEADER_TARGETS).alias("ix")).first().ix
+    assert ix == {"date": 0, "amount": 1, "vat": 2, "supplier": 3, "department": 4, "expense_type": 5, "supplier_category": 6, "txn_id": 7}
+    rows = [("Ealing", "a.csv", 0, list(V.EALING_EXEMPT_HEADER)), ("Ealing", "a.csv", 1, ["b", "1", "s", "2", "u", "e", "3", "n", "01/02/2024", "7", "10.5", "4", ""])]
+    rows += [("Ealing", "b.csv", 0, ["Date", "Net Amount", "Supplier Name"]), ("Ealing", "b.csv", 1, ["01/02/2024", "10.5", ""]), ("Ealing", "b.csv", 2, ["01/02/2024", "10.5", "Firm"])]
+    sheet = spark.createDataFrame([], "Borough string, Header string, `Affected Files` string, do_not_process string, " + ", ".join(f"{t} string" for t in A.TARGETS))
+    good, bad = A.build_fact(spark.createDataFrame(rows, "borough string, file string, row_idx int, cells array<string>"), A.mapping_rows(sheet), "2024-01-01")
+    assert sorted((r.source_file, r.supplier) for r in good.collect()) == [("a.csv", ""), ("b.csv", "Firm")]
+    assert [r.source_file for r in bad.collect()] == ["b.csv"]
