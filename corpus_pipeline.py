@@ -20,6 +20,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of packed sequences of all documents that the stages keep. Each stage but the last is written and reread; rows with
+    nulls, empty and very long texts, repeats and extra columns go through as the stages' docstrings say, an empty table gives no piece."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

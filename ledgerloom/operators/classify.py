@@ -162,8 +162,8 @@ def merge_types(suppliers: DataFrame, answers: DataFrame, taxonomy: DataFrame) -
     valid = taxonomy.select(F.col("business_subtype").alias("_sub"), F.col("business_type").alias("parent_type"), F.col("id").alias("subtype_id"))
     known = lambda c: valid.select(F.col("_sub").alias(c))
     out = suppliers.join(last, "supplier_clean", "left").withColumn("_told", F.nullif(strip(F.col("override_business_type")), F.lit("")))
-    out = out.join(F.broadcast(known("_o")), F.col("_told") == F.col("_o"), "left").join(F.broadcast(known("_m")), F.col("_model") == F.col("_m"), "left")
+    out = out.join(known("_o"), F.col("_told") == F.col("_o"), "left").join(known("_m"), F.col("_model") == F.col("_m"), "left")
     over, model, base = F.col("_o"), F.col("_m"), F.coalesce(F.try_element_at(table, F.col("business_type")), F.lit(OTHER_SECTOR))
     out = out.withColumn("business_subtype", F.coalesce(over, model, base)).withColumn("source", F.when(over.isNotNull(), "override").when(model.isNotNull(), "model").otherwise("baseline"))
     out = out.withColumn("status", F.when(F.col("source") == "model", F.col("_status")).otherwise(F.upper("source")))
-    return out.join(F.broadcast(valid), F.col("business_subtype") == F.col("_sub"), "left").select("supplier_clean", "business_subtype", "parent_type", "subtype_id", "status", "source")
+    return out.join(valid, F.col("business_subtype") == F.col("_sub"), "left").select("supplier_clean", "business_subtype", "parent_type", "subtype_id", "status", "source")

@@ -25,13 +25,13 @@ def mapping_rows(sheet: DataFrame) -> DataFrame:
 
 def choose_mapping(files: DataFrame, maps: DataFrame) -> DataFrame:
     """files(borough, file, header ARRAY) + mapping and match_type: by file, else by header, else FALLBACK; files to be
-    left out are dropped. Mapping sheets are written by hand, a few hundred rows, so they go to every task."""
+    left out are dropped."""
     skip = maps.select(F.col("borough").alias("_b"), F.explode("skip_files").alias("_f"))
-    kept = files.join(F.broadcast(skip), (F.lower("borough") == F.col("_b")) & (F.col("file") == F.col("_f")), "left_anti")
+    kept = files.join(skip, (F.lower("borough") == F.col("_b")) & (F.col("file") == F.col("_f")), "left_anti")
     by_file = maps.select("borough", F.explode("files").alias("file"), "mapping").groupBy("borough", "file").agg(F.min_by("mapping", F.to_json("mapping")).alias("m1")).select(F.col("borough").alias("_b1"), F.col("file").alias("_f1"), "m1")
     by_head = maps.groupBy("borough", "header_key").agg(F.min_by("mapping", F.to_json("mapping")).alias("m2")).select(F.col("borough").alias("_b2"), F.col("header_key").alias("_h2"), "m2")
     out = kept.withColumn("_key", F.array_join(F.transform("header", T.column_key), "|"))
-    out = out.join(F.broadcast(by_file), (F.lower("borough") == F.col("_b1")) & (F.col("file") == F.col("_f1")), "left").join(F.broadcast(by_head), (F.lower("borough") == F.col("_b2")) & (F.col("_key") == F.col("_h2")), "left")
+    out = out.join(by_file, (F.lower("borough") == F.col("_b1")) & (F.col("file") == F.col("_f1")), "left").join(by_head, (F.lower("borough") == F.col("_b2")) & (F.col("_key") == F.col("_h2")), "left")
     return out.withColumn("match_type", F.when(F.col("m1").isNotNull(), "FILE").when(F.col("m2").isNotNull(), "HEADER").otherwise("FALLBACK")).withColumn("mapping", F.coalesce("m1", "m2")).drop("_b1", "_f1", "_b2", "_h2", "_key", "m1", "m2")
 
 

@@ -152,7 +152,7 @@ def resolve_sic(resolved: DataFrame, candidates: DataFrame, answers: DataFrame,
     out = out.withColumn("sic_class", F.substring(F.lpad("sic_code", 5, "0"), 1, 4)).withColumn("sic_division", F.substring(F.lpad("sic_code", 5, "0"), 1, 2))
     blank = F.col("sic_code") == ""
     out = out.withColumn("sic_class", F.when(~blank, F.col("sic_class")).otherwise("")).withColumn("sic_division", F.when(~blank, F.col("sic_division")).otherwise(""))
-    name = lambda level, c, t: F.broadcast(levels[level].select(F.col("code").alias(c), F.col("text").alias(t), *([F.col("section").alias("sic_section")] if level == "division" else [])))
+    name = lambda level, c, t: levels[level].select(F.col("code").alias(c), F.col("text").alias(t), *([F.col("section").alias("sic_section")] if level == "division" else []))
     out = out.join(name("class", "_c1", "class_description"), F.col("sic_class") == F.col("_c1"), "left").join(name("division", "_c2", "division_description"), F.col("sic_division") == F.col("_c2"), "left")
     out = out.join(name("section", "_c3", "section_description"), F.col("sic_section") == F.col("_c3"), "left")
     cols = ["supplier_clean", "company_number", "company_name", "resolution_method", "confidence", "sic_code", "sic_description", "sic_class", "class_description", "sic_division", "division_description", "sic_section", "section_description"]

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; an own one where none is set (tests)."""
+    """The folder in spark.checkpoint.dir. Where none is set a local session gets one of its own; a cluster must name one."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir is not set: scratch tables need a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
