@@ -510,6 +510,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
 
 
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document, for 3-word shingles and a similarity of 0.9. See near_duplicates for nulls,
+    wordless texts and repeated rows; an empty table gives an empty result."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), size=3, num=90)
 
 

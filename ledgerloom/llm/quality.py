@@ -239,6 +239,8 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def op7_quality(spark, sf_dir: str) -> DataFrame:
+    """doc_id, counts, anomaly, threshold, base_failed, kept of every document. Null and wordless texts fail the base rules; rows of one
+    doc_id are judged each by its own text; an empty table gives an empty result."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ["doc_id"])
     return out.select("doc_id", *COUNTS[:5], "anomaly", "threshold", "base_failed", "kept")

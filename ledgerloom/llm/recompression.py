@@ -185,6 +185,8 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
 
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of every document, for windows of 35 words. See remove_repeats for nulls, short texts and
+    repeated rows; an empty table gives an empty result."""
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 

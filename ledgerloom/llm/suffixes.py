@@ -326,6 +326,8 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, for strings of 50 bytes. See remove_repeats for nulls and
+    repeated ids; shorter texts lose nothing; an empty table gives an empty result."""
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
