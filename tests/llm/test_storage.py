@@ -113,6 +113,56 @@ def test_audit(spark):
     assert fixity.audit(table([]), table([])).count() == 0
 
 
+def test_store(spark, tmp_path):
+    import gzip
+
+    rows = [(i % 7 if i % 5 else None, None if i % 11 == 0 else f"http://x/{i % 3}", ["", "é" * 30, "# a", "plain " * 400, None][i % 5]) for i in range(95)] * 2
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    listing, names = fixity.page_store(spark, spark.read.parquet(f"{tmp_path}/pages.parquet"), f"file://{tmp_path}/a", 10)
+    files = {r.archive: r.file for r in listing.collect()}
+    assert sorted(files) == list(range(19)) and {r.records for r in listing.collect()} == {10} and names.count() == 190
+    plain = lambda k: [gzip.decompress((tmp_path / k / f).read_bytes()) for _, f in sorted(files.items())]
+    record = lambda i, u, h: f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: {u or ''}\r\nWARC-Record-ID: <urn:page:{'' if i is None else i}>\r\nContent-Length: {len((h or '').encode())}\r\n\r\n{h or ''}\r\n\r\n".encode()
+    want = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "", hashlib.sha256(record(*r)).hexdigest()))
+    assert b"".join(plain("a")) == b"".join(record(*r) for r in want)
+    leaf = fixity.leaves(fixity.read_store(listing, f"file://{tmp_path}/a"), 10)
+    at = {}
+    for n, r in enumerate(want):
+        at[n] = (sum(len(record(*x)) for x in want[n // 10 * 10 : n]), len(record(*r)), hashlib.sha256(record(*r)).hexdigest())
+    assert {r.node: (r.start, r.length, r.hash) for r in leaf.collect()} == at
+
+    second = fixity.copy_store(listing, f"file://{tmp_path}/a", f"file://{tmp_path}/b")
+    trees = lambda x, k: fixity.tree(fixity.leaves(fixity.read_store(x, f"file://{tmp_path}/{k}"), 10))
+    sound = trees(listing, "a")
+    assert fixity.audit(sound, trees(second, "b")).count() == 0
+    paths = {r.archive: tmp_path / "b" / r.file for r in second.collect()}
+    members = lambda p: [m for m, _ in fixity.stored_members(open(p, "rb"))]
+    paths[2].write_bytes(paths[2].read_bytes()[:-9])  # cut short
+    lost = members(paths[5])
+    paths[5].write_bytes(b"".join(lost[:6] + lost[7:]))  # a record is missing, of two that are alike
+    data = bytearray(paths[9].read_bytes())
+    data[sum(map(len, members(paths[9])[:3])) + 30] ^= 255  # a stored byte is another one
+    paths[9].write_bytes(data)
+    paths[12].unlink()  # an archive is gone
+    paths[15].write_bytes(b"")
+    bad = {r.node: r for r in fixity.audit(sound, trees(second, "b")).collect()}
+    assert set(bad) == {29} | set(range(57, 60)) | set(range(93, 100)) | set(range(120, 130)) | set(range(150, 160))
+    assert bad[59].hash_b is None and bad[59].hash_a == at[59][2] and bad[151].hash_b is None
+
+
+def test_empty_store(spark, tmp_path):
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert fixity.op8_warc_fixity(spark, str(tmp_path)).count() == 0
+
+
+def test_spoil():
+    hit = next(f"http://x/{i}" for i in range(999) if hashlib.md5(f"http://x/{i}".encode()).hexdigest()[:2] == "55")
+    record = lambda u, h: f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: {u}\r\nWARC-Record-ID: <urn:page:1>\r\nContent-Length: {len(h.encode())}\r\n\r\n{h}\r\n\r\n".encode()
+    for body, other in (("abc", "#bc"), ("#bc", "%bc"), ("é>\r\nContent-Length: 3\r\n\r\nb", "##>\r\nContent-Length: 3\r\n\r\nb"), ("€", "###")):
+        assert fixity.spoil(record(hit, body)).endswith(other.encode() + b"\r\n\r\n") and len(fixity.spoil(record(hit, body))) == len(record(hit, body))
+    assert fixity.spoil(record(hit, "")) is None and fixity.spoil(record("http://y", "abc")) is None
+
+
 def test_op8(spark, sf):
     got = fixity.op8_warc_fixity(spark, sf).collect()
     hit = {i for i in range(300) if i % 4 and hashlib.md5(f"http://x/{i}".encode()).hexdigest()[:2] in ("00", "55", "aa")}
