@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import dates as D, money as M, text as T, values as V
 from .functions.fuzzy import score
-from .operators import classify as C, conform as O, coverage as L, diagnostics as G, facts as A, matching as R, requests as Q, suppliers as S, taxonomy as X
+from .operators import classify as C, conform as O, coverage as L, diagnostics as G, facts as A, matching as R, reports as P, requests as Q, suppliers as S, taxonomy as X
 from .plans.substrate import BASE, CODED, COMPANIES, MESSY, NAMES, SPEND, select, views
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,7 +135,7 @@ def enrich_fact(spark, d):
     return X.enrich_fact(spend(spark, d), coded(spark, d)).select("orderkey", "linenumber", *V.KEY_COLUMNS, "taxonomy_code", F.col("Level 1").alias("level_1"))
 
 
-FRESH = "fresh AS (SELECT borough, orderkey, linenumber, CAST(amount * 2 AS DECIMAL(18,2)) AS amount FROM spend WHERE borough IN ('FRANCE', 'CHINA') AND orderkey % 3 = 0)"
+FRESH = "fresh AS (SELECT borough, orderkey, linenumber, CAST(amount * 2 AS DECIMAL(18,2)) AS amount FROM spend WHERE borough IN ('NATION_6', 'NATION_18') AND amount > 20000)"
 
 
 @register(f"WITH {SPEND}, {FRESH} SELECT borough, orderkey, linenumber, CAST(amount AS DOUBLE) AS amount FROM spend WHERE borough NOT IN (SELECT borough FROM fresh) UNION ALL SELECT borough, orderkey, linenumber, CAST(amount AS DOUBLE) FROM fresh")
@@ -376,12 +376,12 @@ def token_differences(spark, d):
     return p.select("id", *[(F.array_join(c, " ") if k in ("shared", "extra_registry", "extra_supplier") else c).alias(k) for k, c in got.items()])
 
 
-SIC = "sic AS (SELECT CAST(p_partkey AS VARCHAR(10)) AS supplier_clean, lpad(CAST(p_partkey AS VARCHAR(8)), 8, '0') AS company_number, p_name AS company_name, CASE WHEN p_partkey % 9 = 0 THEN '' ELSE lpad(CAST(1000 + p_size * 311 AS VARCHAR(5)), 5, '0') || ' - Activity ' || CAST(p_size AS VARCHAR(3)) || CASE WHEN p_partkey % 2 = 0 THEN '; 62020 - Other' ELSE '' END END AS sic_raw, 'exact' AS match_basis, 'high' AS confidence FROM part)"
+SIC = "sic AS (SELECT CAST(p_partkey AS VARCHAR(10)) AS supplier_clean, lpad(CAST(p_partkey AS VARCHAR(8)), 8, '0') AS company_number, p_name AS company_name, CASE WHEN p_partkey % 9 = 0 THEN '' ELSE lpad(CAST(1000 + p_size * 311 AS VARCHAR(5)), 5, '0') || ' - Activity ' || CAST(p_size AS VARCHAR(3)) || CASE WHEN p_partkey % 2 = 0 THEN '; 62020 - Other' ELSE '' END END AS sic_raw, 'exact' AS match_basis, 'high' AS confidence, p_size AS size FROM part)"
 WORKBOOK = "workbook AS (SELECT DISTINCT 'Class ' || CAST(p_size AS VARCHAR(3)) AS \"Description\", 'A' AS \"SECTION\", substr(lpad(CAST(1000 + p_size * 311 AS VARCHAR(5)), 5, '0'), 1, 2) AS \"Division\", 'g' AS \"Group\", substr(lpad(CAST(1000 + p_size * 311 AS VARCHAR(5)), 5, '0'), 1, 4) AS \"Class\" FROM part WHERE p_size % 4 <> 0)"
 
 
-@register(f"""WITH {SIC}, {WORKBOOK}, d AS (SELECT DISTINCT "Division" AS division FROM workbook), p AS (SELECT *, regexp_extract(sic_raw, '^(\\d{{4,5}})', 1) AS code FROM sic), q AS (SELECT *, CASE WHEN code = '' THEN '' ELSE substr(lpad(code, 5, '0'), 1, 4) END AS cls, CASE WHEN code = '' THEN '' ELSE substr(lpad(code, 5, '0'), 1, 2) END AS div FROM p)
- SELECT supplier_clean, company_number, 'exact' AS resolution_method, code AS sic_code, cls AS sic_class, coalesce(w."Description", '') AS class_description, div AS sic_division, CASE WHEN d.division IS NULL THEN '' ELSE 'Division ' || div END AS division_description, CASE WHEN d.division IS NULL THEN '' ELSE 'A' END AS sic_section, CASE WHEN d.division IS NULL THEN '' ELSE 'Section A' END AS section_description,
+@register(f"""WITH {SIC}, {WORKBOOK}, d AS (SELECT DISTINCT "Division" AS division FROM workbook), t AS (SELECT * REPLACE (CASE WHEN size % 12 IN (0, 3) THEN '' ELSE company_number END AS company_number, CASE WHEN size % 3 <> 0 OR (size % 12 NOT IN (0, 3) AND size % 5 <> 0) THEN sic_raw ELSE '' END AS sic_raw), CASE WHEN size % 3 <> 0 THEN 'exact' WHEN size % 12 = 0 THEN 'model_error' WHEN size % 12 = 3 THEN 'model_none' ELSE 'model' END AS way FROM sic), p AS (SELECT *, regexp_extract(sic_raw, '^(\\d{{4,5}})', 1) AS code FROM t), q AS (SELECT *, CASE WHEN code = '' THEN '' ELSE substr(lpad(code, 5, '0'), 1, 4) END AS cls, CASE WHEN code = '' THEN '' ELSE substr(lpad(code, 5, '0'), 1, 2) END AS div FROM p)
+ SELECT supplier_clean, company_number, way AS resolution_method, code AS sic_code, cls AS sic_class, coalesce(w."Description", '') AS class_description, div AS sic_division, CASE WHEN d.division IS NULL THEN '' ELSE 'Division ' || div END AS division_description, CASE WHEN d.division IS NULL THEN '' ELSE 'A' END AS sic_section, CASE WHEN d.division IS NULL THEN '' ELSE 'Section A' END AS section_description,
  CAST(CASE WHEN sic_raw = '' THEN 0 ELSE len(string_split(sic_raw, ';')) END AS INT) AS sic_count FROM q LEFT JOIN workbook w ON q.cls = w."Class" LEFT JOIN d ON q.div = d.division""")
 def resolve_sic(spark, d):
     views(spark, d)
@@ -389,9 +389,10 @@ def resolve_sic(spark, d):
     divisions = rows.select(F.concat(F.lit("Division "), "Division").alias("Description"), F.lit("A").alias("SECTION"), "Division", F.lit("na").alias("Group"), F.lit("na").alias("Class")).distinct()
     top = spark.createDataFrame([("Section A", "A", "na", "na", "na")], "Description string, SECTION string, Division string, `Group` string, Class string")
     levels = R.sic_levels(rows.unionByName(divisions).unionByName(top))
-    resolved = select(spark, d, "sic", SIC)
-    none = spark.createDataFrame([], "supplier_clean string, line_no long, company_number string, confidence string")
-    out = R.resolve_sic(resolved, resolved.limit(0), none, levels)
+    sic = select(spark, d, "sic", SIC)
+    told = F.when(F.expr("size % 12 = 3"), " none ").when(F.expr("size % 12 <> 0"), F.col("company_number"))
+    answers = sic.select("supplier_clean", F.explode(F.array(F.struct(F.lit(1).alias("line_no"), F.lit("00000000").alias("company_number")), F.struct(F.lit(2).alias("line_no"), told.alias("company_number")))).alias("x")).select("supplier_clean", "x.*", F.lit("HIGH").alias("confidence"))
+    out = R.resolve_sic(sic.filter("size % 3 <> 0"), sic.filter("size % 5 <> 0"), answers, levels)
     return out.select("supplier_clean", "company_number", "resolution_method", "sic_code", "sic_class", "class_description", "sic_division", "division_description", "sic_section", "section_description", "sic_count")
 
 
@@ -582,10 +583,10 @@ def verdict_delta(spark, d):
     return G.verdict_delta(v.select("label", F.col("earlier").alias("verdict")), v)
 
 
-@register(f"WITH {LABELS}, {PROBED}, {PRODUCTION} SELECT supplier_clean, label, note, company_number FROM labelled l WHERE label = 'Y' AND NOT EXISTS (SELECT 1 FROM production p WHERE p.supplier_clean = l.supplier_clean AND lpad(p.company_number, 8, '0') = l.company_number)")
+@register(f"WITH {LABELS}, {PROBED}, {PRODUCTION} SELECT supplier_clean, label, note, company_number FROM labelled l WHERE label = 'Y' AND NOT EXISTS (SELECT 1 FROM production p WHERE p.supplier_clean = l.supplier_clean AND lpad(p.company_number, 8, '0') = l.company_number) AND NOT EXISTS (SELECT 1 FROM probed p WHERE id % 2 = 1 AND p.supplier_clean = l.supplier_clean AND lpad(p.company_number, 8, '0') = l.company_number)")
 def label_regressions(spark, d):
     found = select(spark, d, "production", PROBED, PRODUCTION)
-    return G.regressions(select(spark, d, "labelled", LABELS), found, found.limit(0))
+    return G.regressions(select(spark, d, "labelled", LABELS), found, select(spark, d, "probed", PROBED).filter("id % 2 = 1"))
 
 
 @register("WITH h AS (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1) SELECT count(*) AS suppliers, count(*) FILTER (WHERE n >= 5) AS at_cap, round(100.0 * count(*) FILTER (WHERE n >= 5) / count(*), 1) AS pct FROM h")
@@ -630,3 +631,103 @@ def event_windows(spark, d):
 def event_properties(spark, d):
     views(spark, d)
     return spark.table("events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+
+
+# ---- selections, orders, logs --------------------------------------------------------------------------------------
+
+
+@register(f"WITH {ROWS} SELECT borough, file, row_idx FROM rows_in WHERE (contains(lower(borough), 'ion_1') OR contains(lower(borough), '_7')) AND (contains(file, '1') OR contains(file, '7'))")
+def name_filters(spark, d):
+    return P.named(select(spark, d, "rows_in", ROWS), ["ION_1", "_7"], ["1", "7"]).select("borough", "file", "row_idx")
+
+
+YEARS = "years AS (SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN 'n/a' WHEN 1 THEN '' WHEN 2 THEN ' ' || CAST(year(o_orderdate) AS VARCHAR(4)) ELSE CAST(year(o_orderdate) AS VARCHAR(4)) END AS year FROM orders)"
+
+
+@register(f"WITH {YEARS} SELECT k, TRY_CAST(trim(year) AS DOUBLE) AS year FROM years WHERE TRY_CAST(trim(year) AS DOUBLE) >= 1995")
+def since_year(spark, d):
+    return P.since(select(spark, d, "years", YEARS), 1995)
+
+
+@register(f"WITH {ROWS} SELECT borough, file, row_idx FROM rows_in WHERE b IN (SELECT b FROM rows_in WHERE k % 2 = 0 AND b < 'F')")
+def business_rows(spark, d):
+    r = select(spark, d, "rows_in", ROWS).withColumn("supplier_clean", F.col("b"))
+    typed = r.select("supplier_clean", F.when(F.expr("k % 2 = 0 AND b < 'F'"), "Business").otherwise("Redacted").alias("type"))
+    return P.businesses(r, typed).select("borough", "file", "row_idx")
+
+
+@register(f"WITH {ROWS} SELECT row_number() OVER (ORDER BY lower(borough), lower(file), row_idx) AS place, borough, file AS source_file, row_idx FROM rows_in")
+def fact_places(spark, d):
+    from .plans.ranking import global_rank
+
+    r = select(spark, d, "rows_in", ROWS).select("borough", F.col("file").alias("source_file"), "row_idx")
+    return global_rank(r, [*P.fact_order(), F.col("row_idx")], "place")
+
+
+LISTING = f"listing AS (SELECT borough, '' AS folder, CASE WHEN n = 0 THEN 'AMOD_' ELSE '' END || file AS file, file AS name, n FROM (SELECT DISTINCT borough, file FROM rows_in) t, (SELECT 0 AS n UNION ALL SELECT 1 AS n) u WHERE n = 1 OR file LIKE 'f1%')"
+
+
+@register(f"""WITH {ROWS}, {LISTING}, c AS (SELECT * FROM listing l WHERE n = 0 OR file NOT LIKE 'f1%'), x AS (SELECT *, CASE WHEN k % 7 = 3 THEN 'Payment_Date|Supplier|Net' ELSE a || '|' || b END AS t FROM rows_in),
+ f AS (SELECT borough, file, arg_min(t, row_idx) AS first_row, arg_min(t, row_idx) FILTER (WHERE k % 7 = 3) AS found_row FROM x GROUP BY 1, 2),
+ h AS (SELECT c.borough, c.file, n = 0 AS canonical, coalesce(CASE WHEN n = 0 THEN first_row ELSE found_row END, '<< no header detected >>') AS header FROM c JOIN f ON c.borough = f.borough AND c.name = f.file)
+ SELECT borough, canonical, header, string_agg(file, ',' ORDER BY file) AS files, CAST(count(*) AS INT) AS num_files, CAST(len(string_split(header, '|')) AS INT) AS num_columns FROM h GROUP BY 1, 2, 3""")
+def header_index(spark, d):
+    listing = select(spark, d, "listing", ROWS, LISTING)
+    r = select(spark, d, "rows_in", ROWS).withColumn("cells", F.when(F.col("k") % 7 == 3, F.array(F.lit("Payment_Date"), F.lit("Supplier"), F.lit("Net"))).otherwise(F.array("a", "b", F.lit(" "))))
+    rows = r.withColumnRenamed("file", "name").join(listing.select("borough", "file", "name"), ["borough", "name"]).select("borough", "file", "row_idx", "cells")
+    found = P.header_index(P.canonical_files(listing.select("borough", "folder", "file")), rows, within=1 << 40)
+    return found.select("borough", "canonical", F.array_join("header", "|").alias("header"), F.array_join("files", ",").alias("files"), "num_files", "num_columns")
+
+
+ERRORS = "errors AS (SELECT '2024-01-01T00:00:00' AS timestamp, b AS borough, 'x/' || file || CASE k % 3 WHEN 0 THEN '.CSV' WHEN 1 THEN '.xlsx' ELSE '' END AS path, CASE WHEN k % 5 = 0 THEN NULL ELSE CAST(k AS BIGINT) * 1024 END AS size, CASE WHEN k % 2 = 0 THEN 'No header' ELSE 'Unreadable' END AS error, a AS detail FROM rows_in)"
+
+
+@register(f"""WITH {ROWS}, {ERRORS} SELECT timestamp, borough, substring(path, 3) AS filename, CASE WHEN contains(path, '.') THEN '.' || lower(string_split(path, '.')[2]) ELSE '' END AS ext,
+ CASE WHEN size IS NULL THEN '?' WHEN size > 1048576 THEN printf('%.1f', size / 1048576.0) || 'MB' WHEN size > 1024 THEN printf('%.1f', size / 1024.0) || 'KB' ELSE CAST(size AS VARCHAR) || 'B' END AS size, error, detail FROM errors""")
+def error_log(spark, d):
+    return P.error_log(select(spark, d, "errors", ROWS, ERRORS))
+
+
+@register(f"WITH {ROWS}, {ERRORS} SELECT borough, error, count(*) AS errors, count(DISTINCT path) AS files FROM errors GROUP BY 1, 2")
+def error_summary(spark, d):
+    return P.error_summary(P.error_log(select(spark, d, "errors", ROWS, ERRORS)))
+
+
+@register(f"WITH {ROWS}, {FATES.replace('SELECT borough, file,', 'SELECT borough, file, row_idx,')} SELECT borough, file, fate, min(row_idx) AS first_row, count(*) AS rows FROM fates WHERE fate <> 'ok' GROUP BY 1, 2, 3")
+def first_errors(spark, d):
+    return P.first_errors(select(spark, d, "fates", ROWS, FATES.replace("SELECT borough, file,", "SELECT borough, file, row_idx,")))
+
+
+KEYED = """answered AS (SELECT o_orderkey AS line_no, 'SUP_' || CAST(o_custkey AS VARCHAR(10)) AS key, o_orderstatus AS subtype, o_orderpriority AS status FROM orders),
+ keyed AS (SELECT c_custkey AS line_no, 'SUP_' || CAST(c_custkey AS VARCHAR(10)) AS supplier_id, 'Firm ' || CAST(c_custkey % 40 AS VARCHAR(10)) AS supplier_clean FROM customer)"""
+
+
+@register(f"WITH {KEYED}, l AS (SELECT key, arg_max(subtype, line_no) AS subtype, arg_max(status, line_no) AS status, min(line_no) AS f FROM answered GROUP BY 1) SELECT supplier_clean, arg_max(subtype, f) AS subtype, arg_max(status, f) AS status FROM l JOIN keyed ON key = supplier_id GROUP BY 1")
+def named_answers(spark, d):
+    answered, keyed = select(spark, d, "answered", KEYED), select(spark, d, "keyed", KEYED)
+    return P.named_answers(answered, keyed, ["subtype", "status"])
+
+
+@register("SELECT s_nationkey AS supplier_clean, count(*) AS candidates, count(*) >= 5 AS at_cap FROM supplier GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def most_collided(spark, d):
+    views(spark, d)
+    return P.most_collided(spark.table("supplier").select(F.col("s_nationkey").alias("supplier_clean")))
+
+
+CHOICES = "choices AS (SELECT CASE p_size % 4 WHEN 0 THEN ' none' WHEN 1 THEN '' ELSE CAST(p_partkey AS VARCHAR(10)) END AS company_number, CASE p_partkey % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'MEDIUM ' WHEN 2 THEN 'Low' ELSE '?' END AS confidence, CASE WHEN p_partkey % 9 = 0 THEN 'bad_json' END AS error FROM part)"
+
+
+@register(f"""WITH {CHOICES}, c AS (SELECT upper(trim(company_number)) AS n, upper(trim(confidence)) AS l, error IS NULL AS s FROM choices) SELECT count(*) AS total, count(*) FILTER (WHERE s AND n NOT IN ('', 'NONE')) AS resolved, count(*) FILTER (WHERE s AND n IN ('', 'NONE')) AS none,
+ count(*) FILTER (WHERE NOT s) AS errors, count(*) FILTER (WHERE s AND l = 'HIGH') AS high, count(*) FILTER (WHERE s AND l = 'MEDIUM') AS medium, count(*) FILTER (WHERE s AND l = 'LOW') AS low FROM c""")
+def choice_summary(spark, d):
+    return P.choice_summary(select(spark, d, "choices", CHOICES))
+
+
+TREE = "tree AS (SELECT b || '/' || file || '/' || a AS path, CAST(k AS BIGINT) * 700 AS size FROM rows_in)"
+_size = "CASE WHEN size >= 1048576 THEN printf('%.1f', size / 1048576.0) || 'MB' WHEN size >= 1024 THEN printf('%.1f', size / 1024.0) || 'KB' ELSE CAST(size AS VARCHAR) || 'B' END"
+
+
+@register(f"""WITH {ROWS}, {TREE} SELECT b || '/' || file AS folder, TRUE AS is_file, a AS name, 3 AS depth, repeat('    ', 3) || a || '  (' || {_size} || ')' AS line FROM rows_in JOIN tree ON path = b || '/' || file || '/' || a
+ UNION ALL SELECT DISTINCT b || '/' || file, FALSE, file, 2, repeat('    ', 2) || file || '/' FROM rows_in UNION ALL SELECT DISTINCT b, FALSE, b, 1, '    ' || b || '/' FROM rows_in UNION ALL SELECT '', FALSE, '.', 0, './'""")
+def directory_tree(spark, d):
+    return P.directory_tree(select(spark, d, "tree", ROWS, TREE)).withColumn("folder", F.array_join("folder", "/"))

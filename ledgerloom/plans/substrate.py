@@ -32,8 +32,8 @@ base AS (
 #: Keys with a taxonomy code and level of their own making.
 CODED = """
 coded AS (
-  SELECT b.*, CAST(CASE WHEN length(coalesce(expense_type, '')) % 7 = 0 THEN 250000 + length(service_area) ELSE 100000 + 1000 * (length(coalesce(expense_type, '')) % 40) + length(service_area) END AS BIGINT) AS taxonomy_code,
-         CASE WHEN length(coalesce(expense_type, '')) % 7 = 0 THEN 'Housing Management' WHEN row_count % 3 = 0 THEN 'Consultancy' WHEN row_count % 4 = 1 THEN 'Financial Services'
+  SELECT b.*, CAST(CASE WHEN length(coalesce(expense_type, '')) % 7 = 0 THEN 250000 + length(service_area) ELSE 100000 + 1000 * (length(coalesce(expense_type, '')) % 40) + CASE WHEN row_count % 5 = 2 THEN 99 ELSE length(service_area) END END AS BIGINT) AS taxonomy_code,
+         CASE WHEN length(coalesce(expense_type, '')) % 7 = 0 THEN 'Housing Management' WHEN row_count % 3 = 0 THEN 'Consultancy' WHEN row_count % 4 = 1 THEN CASE WHEN supplier_clean LIKE 'HMRC%' THEN 'Works' ELSE 'Financial Services' END
               WHEN row_count % 11 = 7 THEN NULL ELSE 'Works' END AS "Level 1"
   FROM base b)"""
 
@@ -46,7 +46,7 @@ messy AS (
            WHEN 0 THEN substr(d, 1, 10) WHEN 1 THEN substr(d, 9, 2) || '/' || substr(d, 6, 2) || '/' || substr(d, 1, 4) WHEN 2 THEN substr(d, 9, 2) || '.' || substr(d, 6, 2) || '.' || substr(d, 1, 4)
            WHEN 3 THEN substr(d, 9, 2) || '-' || substr(d, 6, 2) || '-' || substr(d, 1, 4) WHEN 4 THEN substr(d, 9, 2) || '/' || substr(d, 6, 2) || '/' || substr(d, 3, 2)
            WHEN 5 THEN substr(d, 1, 4) || substr(d, 6, 2) || substr(d, 9, 2) WHEN 6 THEN substr(d, 9, 2) || '-Jul-' || substr(d, 1, 4) WHEN 7 THEN substr(d, 9, 2) || ' September ' || substr(d, 3, 2)
-           WHEN 8 THEN '31/02/2024' WHEN 9 THEN '45/13/2024' WHEN 10 THEN '45678' ELSE NULL END AS raw_date,
+           WHEN 8 THEN '45/13/2024' WHEN 9 THEN '31/02/2024' WHEN 10 THEN '45678' ELSE NULL END AS raw_date,
          CASE l.l_orderkey % 7
            WHEN 0 THEN '£' || a WHEN 1 THEN ' ' || a WHEN 2 THEN replace(a, '.', ' ') WHEN 3 THEN '-' WHEN 4 THEN 'abc' WHEN 5 THEN '(' || a || ')' ELSE '1,' || a END AS raw_amount,
          CASE l.l_linenumber % 7
@@ -54,22 +54,22 @@ messy AS (
   FROM (SELECT *, CAST(CAST(l_shipdate AS DATE) AS VARCHAR(10)) AS d, CAST(CAST(l_extendedprice % 1000 AS DECIMAL(18,2)) AS VARCHAR(20)) AS a FROM lineitem) l
   JOIN (SELECT s_suppkey, s_nationkey, replace(s_name, '#', ' ') AS s FROM supplier) s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey)"""
 
-#: Names of suppliers and a registry with homonyms.
+#: Names of suppliers and a registry with homonyms, single names, pairs of which one is active, and former names.
 NAMES = """
 names AS (
   SELECT p_partkey AS id,
          CASE p_partkey % 12
            WHEN 0 THEN 'The ' || p_name || ' Limited' WHEN 1 THEN upper(p_name) || ' & Co. LTD' WHEN 2 THEN 'www.' || replace(p_name, ' ', '') || '.co.uk' WHEN 3 THEN 'F. M. ' || p_name
-           WHEN 4 THEN 'PAYPAL *' || p_name WHEN 5 THEN p_name || ' (UK) Holdings' WHEN 6 THEN 'A.B.C. ' || p_name || ' C.I.C.' WHEN 7 THEN p_name || ' and Sons of ' || p_brand
-           WHEN 8 THEN '  ' || p_name || ', PLC' WHEN 9 THEN p_name || '.com' WHEN 10 THEN 'stk*' || p_name ELSE p_name END AS name
+           WHEN 4 THEN 'PAYPAL *' || p_name WHEN 5 THEN 'Solo v' || CAST(CAST(floor(p_partkey / 12) AS INT) AS VARCHAR(9)) || ' Holdings' WHEN 6 THEN 'A.B.C. ' || p_name || ' C.I.C.' WHEN 7 THEN p_name || ' and Sons of ' || p_brand
+           WHEN 8 THEN '  ' || p_name || ', PLC' WHEN 9 THEN p_name || '.com' WHEN 10 THEN 'stk*Former x' || CAST(CAST(floor(p_partkey / 12) AS INT) AS VARCHAR(9)) WHEN 11 THEN 'The Firm u' || CAST(CAST(floor(p_partkey / 12) AS INT) AS VARCHAR(9)) || ' Ltd' ELSE p_name END AS name
   FROM part)"""
 
 COMPANIES = """
 companies AS (
-  SELECT p_partkey AS ch_row, CASE WHEN p_partkey % 3 = 0 THEN p_name || ' Limited' WHEN p_partkey % 5 = 0 THEN p_name || ' Holdings' WHEN p_partkey % 7 = 0 THEN p_name || ' (Trading)' ELSE p_name || ' ' || p_brand END AS company_name,
+  SELECT p_partkey AS ch_row, CASE WHEN p_partkey % 12 = 5 THEN 'Solo v' || CAST(CAST(floor(p_partkey / 12) AS INT) AS VARCHAR(9)) || ' Holdings' WHEN p_partkey % 12 IN (8, 11) THEN 'Firm u' || CAST(CAST(floor(p_partkey / 12) AS INT) AS VARCHAR(9)) WHEN p_partkey % 3 = 0 THEN p_name || ' Limited' WHEN p_partkey % 5 = 0 THEN p_name || ' Holdings' WHEN p_partkey % 7 = 0 THEN p_name || ' (Trading)' ELSE p_name || ' ' || p_brand END AS company_name,
          lpad(CAST(p_partkey AS VARCHAR(8)), 8, '0') AS company_number, CASE WHEN p_partkey % 4 = 0 THEN 'Liquidation' ELSE 'Active' END AS status, p_type AS town,
          lpad(CAST(1000 + p_size * 311 AS VARCHAR(5)), 5, '0') || ' - Activity ' || CAST(p_size AS VARCHAR(3)) AS sic_1, CASE WHEN p_partkey % 2 = 0 THEN '62020 - Other' ELSE '' END AS sic_2, '' AS sic_3, '' AS sic_4,
-         CASE WHEN p_partkey % 6 = 0 THEN p_name || ' ' || p_type ELSE '' END AS former_1
+         CASE WHEN p_partkey % 12 = 10 THEN 'Former x' || CAST(CAST(floor(p_partkey / 12) AS INT) AS VARCHAR(9)) WHEN p_partkey % 6 = 0 THEN p_name || ' ' || p_type ELSE '' END AS former_1
   FROM part)"""
 
 
