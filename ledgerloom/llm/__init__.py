@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import compaction, fixity, jaccard, langid, media, mixing, packing, quality, recompression, scoring, suffixes
+from . import compaction, fixity, jaccard, langid, media, mixing, packing, quality, recompression, scoring, spelling, suffixes
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_warc_fixity": fixity.op8_warc_fixity,
         "op9_packing": packing.op9_packing,
         "op10_suffix_dedup": suffixes.op10_suffix_dedup,
+        "op11_spelling": spelling.op11_spelling,
         "op12_compaction": compaction.op12_compaction,
     }
 
