@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import compaction, fixity, jaccard, langid, media, mixing, packing, quality, recompression, scoring, spelling, suffixes
+from . import compaction, fixity, jaccard, langid, media, mixing, packing, quality, recompression, scoring, spelling, suffixes, toxicity
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_suffix_dedup": suffixes.op10_suffix_dedup,
         "op11_spelling": spelling.op11_spelling,
         "op12_compaction": compaction.op12_compaction,
+        "op13_toxicity": toxicity.op13_toxicity,
     }
 
 
