@@ -24,4 +24,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op4_jaccard_join": jaccard.ORACLE, "op6_substring_dedup": recompression.ORACLE, "op8_warc_fixity": fixity.ORACLE}
+    return {"op4_jaccard_join": jaccard.ORACLE, "op6_substring_dedup": recompression.ORACLE, "op8_warc_fixity": fixity.ORACLE, "op11_spelling": spelling.ORACLE}

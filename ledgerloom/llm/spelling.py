@@ -205,3 +205,20 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(materialize(dictionary(docs)))
 
 
+_crc = "range(256)"
+for _ in range(8):
+    _crc = f"list_transform({_crc}, lambda v: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+
+#: DuckDB SQL of op11_spelling; crc32 is made byte by byte from the table of its rule, near words meet in what is left without one code point.
+ORACLE = f"""WITH RECURSIVE tab AS (SELECT {_crc} AS crc),
+ runs AS (SELECT doc_id, run, count(*) AS k FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS run FROM documents) WHERE length(run) >= 6 GROUP BY ALL),
+ hexed AS (SELECT *, hex(encode(doc_id || ':' || run)) AS h FROM runs),
+ hashed AS (SELECT run, k, xor(list_reduce(list_transform(range(1, length(h), 2), lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT)), lambda a, b: xor(a >> 8, crc[1 + (xor(a, b) & 255)]), 4294967295), 4294967295) AS h FROM hexed, tab),
+ words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed) WHERE length(word) >= 6 GROUP BY 1 HAVING sum(k) >= 5),
+ cut AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS part FROM (SELECT word, n, CAST(unnest(range(length(word))) AS BIGINT) AS i FROM words)),
+ near AS (SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.part = b.word UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.part = b.word),
+ best AS (SELECT word, count(*) AS n_near, max(m) AS m, arg_min(other, (-m, other)) AS other FROM near GROUP BY 1),
+ told AS (SELECT w.word, CASE WHEN m >= 5 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN m END AS form_n FROM words w LEFT JOIN best USING (word)),
+ path AS (SELECT word, word AS at FROM told UNION ALL SELECT path.word, t.form FROM path JOIN told t ON path.at = t.word WHERE t.form IS NOT NULL)
+ SELECT told.word, told.form, path.at AS root, told.n, told.n_near, told.form_n FROM told JOIN path ON told.word = path.word JOIN told e ON path.at = e.word WHERE e.form IS NULL"""

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .blocks import split, texts
-from .common import BASES, BYTE_CODES, Words, lean, mix, prefix_hash, small_batches, span_hash
+from .common import BASES, BYTE_CODES, Words, lean, mix, prefix_hash, small_batches, span_hash, tidy
 from .langid import NOT_LETTER, fold_case
 
 #: Bound of the sample the model is fitted on: documents a label, and bytes of one.
@@ -84,8 +84,11 @@ class Bags:
             offsets = np.append(offsets, len(buf))
         words = Words(buf, offsets, gap=NOT_LETTER)
         _, at, kind = np.unique(words.hash, return_index=True, return_inverse=True)
-        feature, first = features(buf, words.start[at], words.end[at])
-        stops = np.concatenate([[0], np.cumsum(STOPS[buf])])
+        size = words.end[at] - words.start[at]
+        upto = np.cumsum(size)
+        plain = buf[np.repeat(words.start[at] - upto + size, size) + np.arange(size.sum())]  # each kind's bytes once
+        feature, first = features(plain, upto - size, upto)
+        stops = np.concatenate([[0], np.cumsum(STOPS[buf], dtype=np.int32)])
         real = np.flatnonzero(words.doc < n_docs)
         cut = stops[words.start[real]] + words.doc[real]  # grows from sentence to sentence and from text to text
         begins = np.append(True, cut[1:] != cut[:-1]) if len(cut) else np.zeros(0, bool)
@@ -217,7 +220,9 @@ def train(docs: DataFrame, labels: DataFrame, trainable) -> Model:
         mine = found.setdefault(int(r["toxic"] > 0), [])
         if len(mine) < TRAIN_DOCS:
             mine.append((r["text"], int(r["toxic"] > 0)))
-    return fit([x for k in sorted(found) for x in found[k]])
+    model = fit([x for k in sorted(found) for x in found[k]])
+    tidy()
+    return model
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("score", "predicted"), threshold: float = THRESHOLD) -> DataFrame:
