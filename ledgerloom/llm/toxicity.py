@@ -24,7 +24,7 @@ from .common import BASES, BYTE_CODES, Words, lean, mix, prefix_hash, small_batc
 from .langid import NOT_LETTER, fold_case
 
 #: Bound of the sample the model is fitted on: documents a label, and bytes of one.
-TRAIN_DOCS, TRAIN_BYTES = 3000, 1 << 16
+TRAIN_DOCS, TRAIN_BYTES = 1500, 1 << 15
 BUCKETS = 1 << 18
 #: Beginnings and ends of words that are features, in bytes.
 FRONTS, BACKS = (3, 4, 5, 6, 7, 8), (3, 4, 5)
@@ -204,22 +204,25 @@ def fit(rows: list[tuple[str, int]], groups: list[list[bytes]] | None = None, fa
 
 
 def train(docs: DataFrame, labels: DataFrame, trainable) -> Model:
-    """Fit on at most TRAIN_DOCS labelled documents a label of at most TRAIN_BYTES bytes, by a hash of doc_id and text.
+    """Fit on at most TRAIN_DOCS labelled documents a label of at most TRAIN_BYTES bytes, by a hash of doc_id.
 
     A doc_id with several rows of labels takes its largest; null labels, null texts and null doc_ids teach nothing.
+    ``trainable`` is a condition on doc_id. The labels are drawn first, so that only drawn texts leave their tasks.
     """
-    marks = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    rows = docs.filter(trainable & F.col("text").isNotNull() & (F.octet_length("text") <= TRAIN_BYTES)).select("doc_id", "text").join(marks, "doc_id").withColumn("_d", F.xxhash64("doc_id", "text"))
-    counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 1.3 * TRAIN_DOCS / n)))]) if counts else None
-    if share is None:
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    marks = labels.filter("toxic is not null and doc_id is not null").filter(trainable).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    counts = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+    if not counts:
         return Model(np.zeros(BUCKETS), -8.0)
-    picked = rows.filter(F.pmod("_d", F.lit(1 << 30)) < F.element_at(share, F.col("toxic")) * (1 << 30)).select("toxic", "_d", "text").collect()
+    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 1.3 * TRAIN_DOCS / n)))])
+    drawn = materialize(marks.filter(draw < F.element_at(share, F.col("toxic")) * (1 << 30)).withColumn("_d", draw))
+    usable = docs.filter(F.octet_length("text") <= TRAIN_BYTES).select("doc_id", "text")
+    picked = usable.join(drawn, "doc_id").select("toxic", "_d", "text").collect()
     found: dict[int, list[tuple[str, int]]] = {}
     for r in sorted(picked, key=lambda r: (r["_d"], r["text"])):
-        mine = found.setdefault(int(r["toxic"] > 0), [])
+        mine = found.setdefault(r["toxic"], [])
         if len(mine) < TRAIN_DOCS:
-            mine.append((r["text"], int(r["toxic"] > 0)))
+            mine.append((r["text"], r["toxic"]))
     model = fit([x for k in sorted(found) for x in found[k]])
     tidy()
     return model
