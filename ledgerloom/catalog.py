@@ -679,7 +679,7 @@ def header_index(spark, d):
     return found.select("borough", "canonical", F.array_join("header", "|").alias("header"), F.array_join("files", ",").alias("files"), "num_files", "num_columns")
 
 
-ERRORS = "errors AS (SELECT '2024-01-01T00:00:00' AS timestamp, b AS borough, 'x/' || file || CASE k % 3 WHEN 0 THEN '.CSV' WHEN 1 THEN '.xlsx' ELSE '' END AS path, CASE WHEN k % 5 = 0 THEN NULL ELSE CAST(k AS BIGINT) * 1024 END AS size, CASE WHEN k % 2 = 0 THEN 'No header' ELSE 'Unreadable' END AS error, a AS detail FROM rows_in)"
+ERRORS = "errors AS (SELECT '2024-01-01T00:00:00' AS timestamp, b AS borough, 'x/' || file || CASE k % 3 WHEN 0 THEN '.CSV' WHEN 1 THEN '.xlsx' ELSE '' END AS path, CASE WHEN k % 5 = 0 THEN NULL ELSE CAST(k AS BIGINT) * 256 END AS size, CASE WHEN k % 2 = 0 THEN 'No header' ELSE 'Unreadable' END AS error, a AS detail FROM rows_in)"
 
 
 @register(f"""WITH {ROWS}, {ERRORS} SELECT timestamp, borough, substring(path, 3) AS filename, CASE WHEN contains(path, '.') THEN '.' || lower(string_split(path, '.')[2]) ELSE '' END AS ext,

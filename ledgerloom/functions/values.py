@@ -409,4 +409,7 @@ AS_IS_FILES = [
     ("southwark", "council spending january 2024.xlsx"),
 ]
 TAB_FILES = ["pcard-aug-2025.xlsx"]
+EXPORT_WORDS = ("export", "download all", "csv")
+HEADERLESS = {True: "<< unreadable or empty >>", False: "<< no header detected >>"}
+SKIPPED_FOLDERS = [".git", "node_modules", "__pycache__", ".venv", "venv", ".mypy_cache", ".pytest_cache", ".ipynb_checkpoints"]
 # --- end of fixed values ------------------------------------------------------------------------------------------

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions import text as T
+from ..functions import text as T, values as V
 from .conform import header_rows
 from .diagnostics import homonyms_at_cap
 
 CANONICAL = "AMOD_"
-EXPORT_WORDS = ("export", "download all", "csv")
-HEADERLESS = {True: "<< unreadable or empty >>", False: "<< no header detected >>"}
 
 
 # ---- selections ----------------------------------------------------------------------------------------------------
@@ -69,7 +67,7 @@ def by_publisher(links: DataFrame, configs: DataFrame) -> DataFrame:
 def portal_export(links: DataFrame, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """The first link of each page whose text speaks of an export, as a CSV address."""
     low = F.lower(F.trim("raw_text"))
-    found = links.filter(low.rlike("|".join(EXPORT_WORDS))).groupBy(*keep).agg(F.min(F.struct("pos", "href")).alias("a"))
+    found = links.filter(low.rlike("|".join(V.EXPORT_WORDS))).groupBy(*keep).agg(F.min(F.struct("pos", "href")).alias("a"))
     return found.select(*keep, F.col("a.pos").alias("pos"), F.col("a.href").alias("href"), F.lit("CSV").alias("file_type"), F.lit("main").alias("label"))
 
 
@@ -119,7 +117,7 @@ def header_index(files: DataFrame, rows: DataFrame, least: int = 3, within: int
     head = F.when(F.col("canonical"), F.col("first_row")).otherwise(F.col("found_row"))
     plain = F.transform(head, lambda c: T.strip(F.coalesce(c, F.lit(""))))
     last = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(plain), F.lit(1))), F.lit(0), lambda a, i: F.when(F.coalesce(F.get(plain, i - 1), F.lit("")) != "", i).otherwise(a))
-    missing = F.array(F.when(F.col("canonical"), HEADERLESS[True]).otherwise(HEADERLESS[False]))
+    missing = F.array(F.when(F.col("canonical"), V.HEADERLESS[True]).otherwise(V.HEADERLESS[False]))
     out = files.join(first, ["borough", "file"], "left").join(found, ["borough", "file"], "left")
     out = out.withColumn("header", F.coalesce(F.when(head.isNotNull(), F.slice(plain, F.lit(1), last)), missing))
     return out.groupBy("borough", "canonical", "header").agg(F.array_sort(F.collect_list("file")).alias("files")).withColumn("num_files", F.size("files")).withColumn("num_columns", F.size("header"))
@@ -128,11 +126,23 @@ def header_index(files: DataFrame, rows: DataFrame, least: int = 3, within: int
 # ---- logs and summaries --------------------------------------------------------------------------------------------
 
 
+def _tenths(n: Column, unit: int) -> Column:
+    """n / unit with one digit, exact ties to the even digit, from whole numbers alone."""
+    div = lambda a, b: F.call_function("div", a.cast("long"), F.lit(b).cast("long"))
+    whole = div(n, unit)
+    rest = (n - whole * unit) * 10
+    down = div(rest, unit)
+    twice = (rest - down * unit) * 2
+    tenth = whole * 10 + down + F.when((twice > unit) | ((twice == unit) & (down % 2 == 1)), 1).otherwise(0)
+    return F.concat(div(tenth, 10).cast("string"), F.lit("."), (tenth % 10).cast("string"))
+
+
 def human_size(n: Column) -> Column:
-    """Bytes as 512B, 1.5KB, … up to TB."""
-    out = F.concat(F.format_string("%.0f", n.cast("double")), F.lit("B"))
+    """Bytes as 512B, 1.5KB, … up to TB; exact ties go to the even digit."""
+    n = n.cast("long")
+    out = F.concat(n.cast("string"), F.lit("B"))
     for i, unit in enumerate(("KB", "MB", "GB", "TB"), 1):
-        out = F.when(n >= 1024**i, F.concat(F.format_string("%.1f", n / float(1024**i)), F.lit(unit))).otherwise(out)
+        out = F.when(n >= 1024**i, F.concat(_tenths(n, 1024**i), F.lit(unit))).otherwise(out)
     return F.when(n.isNotNull(), out)
 
 
@@ -145,7 +155,7 @@ def error_log(errors: DataFrame) -> DataFrame:
     """errors(timestamp, borough, path, size, error, detail) -> log lines: name and extension apart, size as text or '?'."""
     name = F.element_at(F.split("path", "/"), -1)
     n = F.col("size")
-    size = F.when(n > 1 << 20, F.concat(F.format_string("%.1f", n / float(1 << 20)), F.lit("MB"))).when(n > 1024, F.concat(F.format_string("%.1f", n / 1024.0), F.lit("KB"))).when(n.isNotNull(), F.concat(n.cast("string"), F.lit("B"))).otherwise("?")
+    size = F.when(n > 1 << 20, F.concat(_tenths(n, 1 << 20), F.lit("MB"))).when(n > 1024, F.concat(_tenths(n, 1024), F.lit("KB"))).when(n.isNotNull(), F.concat(n.cast("string"), F.lit("B"))).otherwise("?")
     return errors.select("timestamp", "borough", name.alias("filename"), F.lower(F.regexp_extract(name, r"[^.](\.[^.]*)$", 1)).alias("ext"), size.alias("size"), "error", "detail")
 
 
@@ -190,10 +200,11 @@ def choice_summary(answers: DataFrame) -> DataFrame:
     return answers.agg(F.count(F.lit(1)).alias("total"), n(sound & yes).alias("resolved"), n(sound & ~yes).alias("none"), n(~sound).alias("errors"), *[n(sound & (level == c)).alias(c.lower()) for c in ("HIGH", "MEDIUM", "LOW")])
 
 
-def directory_tree(files: DataFrame) -> DataFrame:
+def directory_tree(files: DataFrame, skipped: list[str] | None = None) -> DataFrame:
     """files(path from the root, size) -> lines of a tree: folder (parts), is_file, name, depth, line; in their order by
-    folder, is_file and name a folder's files come before the folders in it."""
+    folder, is_file and name a folder's files come before the folders in it. What lies in a ``skipped`` folder is left out."""
     parts = F.split("path", "/")
+    files = files.filter(~F.arrays_overlap(F.slice(parts, F.lit(1), F.size(parts) - 1), F.array(*[F.lit(x) for x in (V.SKIPPED_FOLDERS if skipped is None else skipped)])))
     folder = F.slice(parts, F.lit(1), F.size(parts) - 1)
     inner = files.select(F.explode(F.transform(F.sequence(F.lit(0), F.size(folder)), lambda i: F.slice(folder, F.lit(1), i))).alias("folder")).distinct()
     dirs = inner.select("folder", F.lit(False).alias("is_file"), F.coalesce(F.try_element_at("folder", F.lit(-1)), F.lit(".")).alias("name"), F.size("folder").alias("depth"), F.lit(None).cast("long").alias("size"))
