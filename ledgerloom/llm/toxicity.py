@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .blocks import split, texts
-from .common import BASES, BYTE_CODES, Words, lean, mix, prefix_hash, small_batches, span_hash, tidy
+from .common import BASES, BYTE_CODES, Words, lean, materialize, mix, prefix_hash, small_batches, span_hash, tidy
 from .langid import NOT_LETTER, fold_case
 
 #: Bound of the sample the model is fitted on: documents a label, and bytes of one.
