@@ -11,6 +11,7 @@ from ..functions.money import round2
 from ..functions.text import blank_to_null
 from ..plans.ranking import global_rank
 from ..plans.scratch import materialize
+from .selection import group_stats
 
 
 def require(df: DataFrame, columns: list[str]) -> None:
@@ -23,10 +24,8 @@ def taxonomy_base(fact: DataFrame, amount: str = "amount", keys: list[str] | Non
     """One row for each combination of keys (null is a value), with statistics of the amount and rq_id by total, largest first."""
     keys = keys or V.KEY_COLUMNS
     require(fact, [*keys, amount])
-    stats = fact.groupBy(*keys).agg(
-        F.count(amount).alias("row_count"), F.sum(amount).alias("_total"), F.min(amount).alias("_min"), F.max(amount).alias("_max"), F.avg(amount).alias("_avg"), F.median(amount).alias("_median")
-    )
-    out = stats.select(*keys, "row_count", *[round2(F.col(f"_{k}")).alias(n) for k, n in (("total", "total_amount"), ("min", "min_amount"), ("max", "max_amount"), ("avg", "avg_amount"), ("median", "median_amount"))])
+    stats = group_stats(fact, keys, amount)
+    out = stats.select(*keys, F.col("_n").alias("row_count"), *[round2(F.col(f"_{k}")).alias(n) for k, n in (("total", "total_amount"), ("min", "min_amount"), ("max", "max_amount"), ("avg", "avg_amount"), ("median", "median_amount"))])
     ranked = global_rank(out, [F.col("total_amount").desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in keys]], "_n")
     return ranked.select(F.concat(F.lit("RQ_"), F.col("_n")).alias("rq_id"), *out.columns)
 
