@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import text as T, values as V
@@ -71,15 +73,82 @@ def decide_exact(found: DataFrame, k: int = 5) -> DataFrame:
     return out.withColumn("match_basis", basis).withColumn("score", F.lit(100)).withColumn("confidence", F.when(open_, "low").otherwise(high)).withColumn("outcome", F.when(open_, "candidate").otherwise("resolved")).select(*RESULT, "outcome", "rank")
 
 
+#: Letters of a key that are counted apart; all others count as one.
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+#: Registry rows of a block that meet its suppliers in one salt.
+BLOCK_ROWS = 20_000
+
+
+def letter_counts(key: Column) -> Column:
+    """How often each of LETTERS, and anything else, stands in a key."""
+    left = F.length(F.regexp_replace(key, f"[{LETTERS}]", ""))
+    return F.array(*[F.length(key) - F.length(F.replace(key, F.lit(c), F.lit(""))) for c in LETTERS], left)
+
+
+def common_letters(a: Column, b: Column) -> Column:
+    """Letters that two keys share, each as often as both have it: no common subsequence is longer."""
+    return reduce(lambda x, y: x + y, [F.least(F.element_at(a, i + 1), F.element_at(b, i + 1)) for i in range(len(LETTERS) + 1)])
+
+
+def _joined(tokens: Column) -> Column:
+    """Length of tokens joined by spaces."""
+    return F.aggregate(tokens, F.lit(0), lambda x, t: x + F.length(t)) + F.greatest(F.size(tokens) - 1, F.lit(0))
+
+
+def score_bound(la: Column, lb: Column, common: Column, a: Column, b: Column) -> Column:
+    """A value that the weighted ratio of two keys with a common token cannot exceed, from lengths, shared letters and sets of tokens.
+
+    The longest common subsequence has at most the shared letters; with m of them the plain and the sorted ratio are at most
+    200m/(la+lb). Of sets, the shared tokens against either side are exact by length. Where one key is 1.5 times as long or
+    more, shared tokens alone give 85.5 and a stretch of the longer gives at most 90 * 2m/(n+m), n the shorter's length; from 8
+    times on nothing gives more than 60.
+    """
+    m, short, long = F.least(common, la, lb), F.least(la, lb), F.greatest(la, lb)
+    plain = 200.0 * m / (la + lb)
+    both, left, right = F.array_intersect(a, b), F.array_except(a, b), F.array_except(b, a)
+    x, y, z = _joined(F.concat(both, left)), _joined(F.concat(both, right)), _joined(both)
+    sets = F.when((F.size(left) == 0) | (F.size(right) == 0), 100.0).otherwise(F.greatest(200.0 * F.least(m, x, y) / (x + y), 200.0 * z / (z + x), 200.0 * z / (z + y)))
+    stretch = F.greatest(F.lit(85.5), 90.0 * 2 * m / (short + m))
+    return F.when(long < 1.5 * short, F.greatest(plain, 0.95 * F.greatest(plain, sets))).when(long < 8 * short, F.greatest(plain, stretch)).otherwise(60.0)
+
+
+def block_candidates(s: DataFrame, reg: DataFrame, top: int, cutoff: int = 82) -> DataFrame:
+    """(supplier_clean, s_key, ch_row, norm_name): registry rows of a supplier's first token that its best ``top`` by score, then ch_row, can be among.
+
+    Three kinds are left: rows of near length whose bound reaches the cutoff; rows of other length whose bound exceeds 85, which shared
+    tokens alone give; and of those that may have just this, the first ``top`` by ch_row, from lists of each block and length.
+    Blocks of many rows are dealt to salts, so no task meets a popular token's rows and suppliers all at once.
+    """
+    keyed = reg.select("block_key", "ch_row", "norm_name").filter("block_key != ''").withColumn("n_len", F.length("norm_name"))
+    sizes = keyed.groupBy("block_key").agg(F.count(F.lit(1)).alias("_size")).withColumn("_salts", F.ceil(F.col("_size") / BLOCK_ROWS).cast("int")).select("block_key", "_salts")
+    right = keyed.join(sizes, "block_key").withColumn("_salt", F.pmod(F.xxhash64("ch_row"), F.col("_salts")).cast("int")).withColumn("n_tokens", F.array_distinct(F.split("norm_name", " "))).withColumn("n_letters", letter_counts(F.col("norm_name")))
+    own = s.select("supplier_clean", "s_key", F.array_distinct("s_tokens").alias("s_set"), F.col("s_block").alias("block_key")).withColumns({"s_len": F.length("s_key"), "s_letters": letter_counts(F.col("s_key"))})
+    dealt = own.join(sizes, "block_key").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    short, long = F.least("s_len", "n_len"), F.greatest("s_len", "n_len")
+    base = (long >= 1.5 * short) & (long < 8 * short)
+    bound = score_bound(F.col("s_len"), F.col("n_len"), common_letters(F.col("s_letters"), F.col("n_letters")), F.col("s_set"), F.col("n_tokens"))
+    able = (long < 8 * short) & (bound >= F.when(base, F.lit(86)).otherwise(F.lit(cutoff)))
+    pairs = dealt.join(right.drop("_salts"), ["block_key", "_salt"]).filter(able).select("supplier_clean", "s_key", "ch_row", "norm_name")
+    if cutoff > 85:
+        return pairs
+    part = F.pmod(F.xxhash64("ch_row"), F.lit(64))
+    lists = keyed.withColumn("_p", part).withColumn("_r", F.row_number().over(W.partitionBy("block_key", "n_len", "_p").orderBy("ch_row"))).filter(F.col("_r") <= top)
+    lists = lists.withColumn("_r", F.row_number().over(W.partitionBy("block_key", "n_len").orderBy("ch_row"))).filter(F.col("_r") <= top).drop("_p", "_r")
+    plain = own.join(lists, "block_key").filter(base).withColumn("_r", F.row_number().over(W.partitionBy("supplier_clean").orderBy("ch_row"))).filter(F.col("_r") <= top)
+    return pairs.unionByName(plain.select("supplier_clean", "s_key", "ch_row", "norm_name")).distinct()
+
+
 def fuzzy_matches(suppliers: DataFrame, reg: DataFrame, k: int = 5, cutoff: int = 82, auto: int = 95) -> DataFrame:
     """For suppliers without exact match: names of the same first token that score, and names of the same initials that
     hold the supplier's longest long token; resolved where exactly one active row scores ``auto``, else k candidates.
 
-    Blocks of a popular first token are split by Spark's skew handling, as the join is an equi join.
+    Only pairs whose bound leaves them a place are scored, each pair of keys once.
     """
     s = supplier_keys(suppliers).filter("s_key != ''").withColumn("s_block", F.get("s_tokens", F.lit(0))).withColumn("s_sig", T.initials(F.col("s_tokens")))
-    near = s.join(reg, F.col("s_block") == F.col("block_key")).withColumn("score", score("weighted_ratio", F.col("s_key"), F.col("norm_name"))).filter(F.col("score") >= cutoff)
-    near = near.withColumn("_n", F.row_number().over(W.partitionBy("supplier_clean").orderBy(F.desc("score"), "ch_row"))).filter(F.col("_n") <= max(k, 5)).drop("_n").withColumn("basis", F.lit("fuzzy"))
+    pairs = materialize(block_candidates(s, reg, max(k, 5), cutoff))
+    scored = pairs.select("s_key", "norm_name").distinct().withColumn("score", score("weighted_ratio", F.col("s_key"), F.col("norm_name"))).filter(F.col("score") >= cutoff)
+    best = pairs.join(scored, ["s_key", "norm_name"]).withColumn("_n", F.row_number().over(W.partitionBy("supplier_clean").orderBy(F.desc("score"), "ch_row"))).filter(F.col("_n") <= max(k, 5)).select("supplier_clean", "ch_row", "score")
+    near = best.join(s, "supplier_clean").join(reg, "ch_row").withColumn("basis", F.lit("fuzzy"))
     long = F.filter("s_tokens", lambda t: F.length(t) > 3)
     longest = F.reduce(long, F.lit(""), lambda a, t: F.when(F.length(t) > F.length(a), t).otherwise(a))
     same = s.filter("s_sig != ''").withColumn("_long", longest).join(reg, F.col("s_sig") == F.col("initials_sig"))
