@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .functions import dates as D, money as M, text as T, values as V
 from .functions.fuzzy import score
 from .operators import classify as C, conform as O, coverage as L, diagnostics as G, facts as A, matching as R, reports as P, requests as Q, suppliers as S, taxonomy as X
+from .plans.scratch import scratch_dir
 from .plans.substrate import BASE, CODED, COMPANIES, MESSY, NAMES, SPEND, select, views
+from .sources import delimited, snapshots
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _sql: dict[str, str] = {}
@@ -144,6 +147,17 @@ def incremental_replace(spark, d):
     return out.withColumn("amount", F.col("amount").cast("double"))
 
 
+@register()
+def snapshot_replace(spark, d):
+    """The same replacement through a stored table of snapshots, read back."""
+    root = f"{scratch_dir(spark)}/spend-{uuid.uuid4().hex}"
+    files = lambda df: df.select("borough", "orderkey", "linenumber", F.col("amount").cast("double").alias("amount"), F.concat(F.lit("f"), F.col("orderkey") % 4, F.lit(".csv")).alias("source_file"))
+    before, fresh = files(spend(spark, d)), files(select(spark, d, "fresh", SPEND, FRESH))
+    snapshots.publish(before, root)
+    snapshots.publish(fresh, root)
+    return snapshots.read(spark, root, before.schema)
+
+
 @register(f"""WITH {SPEND}, {FRESH}, a AS (SELECT borough FROM spend WHERE borough NOT IN (SELECT borough FROM fresh) UNION ALL SELECT borough FROM fresh), x AS (SELECT borough, count(*) AS n FROM spend GROUP BY 1), y AS (SELECT borough, count(*) AS n FROM a GROUP BY 1)
  SELECT borough, coalesce(x.n, 0) AS n_before, coalesce(y.n, 0) AS n_after, coalesce(y.n, 0) - coalesce(x.n, 0) AS diff, CASE WHEN borough IN (SELECT borough FROM fresh) THEN 'REPLACED' WHEN x.n = y.n THEN 'PASS' ELSE 'FAIL' END AS status FROM x FULL JOIN y USING (borough)""")
 def reconcile(spark, d):
@@ -200,6 +214,16 @@ def standard_dates(spark, d):
     return raw.select("raw_date", date.alias("date"), D.year_of(date).alias("year"), D.month_of(date).alias("month_number"))
 
 
+@register()
+def delimited_scan(spark, d):
+    """Documents written as quoted CSV, whose texts have newlines and quotes, and read back by byte ranges."""
+    views(spark, d)
+    folder = f"{scratch_dir(spark)}/csv-{uuid.uuid4().hex}"
+    spark.table("documents").select("doc_id", "lang", "source", "text").write.options(header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
+    cell = lambda i: F.get("cells", F.lit(i))
+    return delimited.scan(spark, folder).filter("row_idx > 0").select(cell(0).cast("long").alias("doc_id"), cell(1).alias("lang"), cell(2).alias("source"), F.length(cell(3)).alias("n_chars"), F.crc32(cell(3).cast("binary")).alias("text_crc"), F.size("cells").alias("n_cells"))
+
+
 FILED = """filed AS (SELECT 'spend-' || c_nationkey || '.csv' AS file, c_custkey AS n, '0' || (1 + c_custkey % 9) || '/0' || (1 + c_nationkey % 9) || '/2024' AS paid,
  CASE WHEN c_acctbal < 0 THEN 'n/a' ELSE '' || CAST(round(c_acctbal * 100) AS BIGINT) END AS amount, 'Firm ' || c_mktsegment AS firm, 'Unit ' || (c_custkey % 5) AS unit FROM customer)"""
 HEADED = [(0, ["Spend report"]), (1, ["", ""]), (2, ["Payment Date", "Amount £", "Published Supplier Name", "Organisation"])]

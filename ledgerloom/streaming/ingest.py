@@ -1,4 +1,4 @@
-"""Incremental ingestion: each landed file once, its publisher replaced; event counts by window."""
+"""Incremental ingestion: each landed file once, its rows beside its publisher's other files; event counts by window."""
 
 from __future__ import annotations
 
@@ -7,14 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.files import replace_partitions
+from ..sources import snapshots
 
 
-def ingest_facts(spark: SparkSession, landing: str, table: str, checkpoint: str, schema: str, clean: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
-    """Files of landing, once each, cleaned and written over their publishers' partitions of table. The checkpoint is the
-    manifest: a restart goes on where the last run ended."""
+def ingest_facts(spark: SparkSession, landing: str, table: str, checkpoint: str, schema: str, clean: Callable[[DataFrame], DataFrame] = lambda df: df, part: str = "source_file") -> StreamingQuery:
+    """Files of landing, once each, cleaned and committed to the snapshots of table under their own names. The checkpoint is the
+    manifest: a restart goes on where the last run ended. A batch that is run again replaces the same files, so it adds nothing."""
     stream = spark.readStream.schema(schema).option("header", True).csv(landing)
-    return stream.writeStream.foreachBatch(lambda df, _: replace_partitions(clean(df), table)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    named = stream.withColumn(part, stream.metadataColumn("_metadata")["file_name"])
+
+    def land(df: DataFrame, _: int) -> None:
+        rows = clean(df)
+        if rows.head(1):
+            snapshots.publish(rows, table, part=part, whole=False)
+
+    return named.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def windowed_counts(events: DataFrame, late: str = "10 minutes", window: str = "1 hour") -> DataFrame:

@@ -77,3 +77,13 @@ def test_quoted_after():
         for quoted in (False, True):
             rows = list(csv.reader(io.StringIO(('"' if quoted else "") + line + "Z", newline="")))
             assert D.quoted_after(line.encode(), b",", quoted) == (len(rows) == 1)
+
+
+def test_delimited_scan_query(spark):
+    import zlib
+
+    from ledgerloom import catalog
+
+    sf = "/root/testdata/sf0.001"
+    want = sorted((r.doc_id, r.lang, r.source, len(r.text), zlib.crc32(r.text.encode()), 4) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
+    assert sorted(tuple(r) for r in catalog.queries()["delimited_scan"](spark, sf).collect()) == want

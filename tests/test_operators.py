@@ -127,7 +127,14 @@ def test_ingest(spark, tmp_path):
     (landing / "2.csv").write_text("borough,amount\nB,9\n")
     run()
     run()
-    assert sorted((r.borough, r.amount) for r in spark.read.parquet(table).collect()) == [("A", 1), ("A", 2), ("B", 9)]
+    from pyspark.sql.types import _parse_datatype_string
+
+    from ledgerloom.sources import snapshots
+
+    whole = _parse_datatype_string("borough string, amount int, source_file string")
+    got = sorted(tuple(r) for r in snapshots.read(spark, table, whole).collect())
+    assert got == [("A", 1, "1.csv"), ("A", 2, "1.csv"), ("B", 3, "1.csv"), ("B", 9, "2.csv")]
+    assert sorted(snapshots.versions(spark, table)) == [1, 2]
 
 
 def test_supplier_rules(spark):
