@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import dates as D, money as M, text as T, values as V
 from .functions.fuzzy import score
-from .operators import classify as C, conform as O, coverage as L, diagnostics as G, facts as A, matching as R, reports as P, requests as Q, suppliers as S, taxonomy as X
+from .operators import classify as C, conform as O, coverage as L, diagnostics as G, facts as A, matching as R, reports as P, requests as Q, retrieval as I, suppliers as S, taxonomy as X
 from .plans.scratch import scratch_dir
 from .plans.substrate import BASE, CODED, COMPANIES, MESSY, NAMES, SPEND, select, views
 from .sources import delimited, snapshots
@@ -364,6 +364,18 @@ def candidate_pool(spark, d):
     return R.candidate_pool(R.supplier_keys(select(spark, d, "wanted", NAMES, MATCHED)), postings, R.token_frequency(postings))
 
 
+_all_weights = """ po AS (SELECT DISTINCT ch_row, unnest(toks) AS token FROM rk), n AS (SELECT count(*) AS n FROM rk), df AS (SELECT token, CAST(round(1000.0 * ln(n / count(*))) AS BIGINT) AS w FROM po, n GROUP BY token, n),
+ o AS (SELECT DISTINCT supplier_clean, unnest(toks) AS token FROM sk), sc AS (SELECT supplier_clean, ch_row AS row, CAST(sum(w) AS BIGINT) AS weight FROM o JOIN df USING (token) JOIN po USING (token) GROUP BY 1, 2)
+ SELECT *, CAST(row_number() OVER (PARTITION BY supplier_clean ORDER BY weight DESC, row) AS INT) AS rank FROM sc QUALIFY rank <= 5"""
+
+
+@register(f"WITH {NAMES}, {MATCHED}, {COMPANIES}, {_key_sql('wanted', 'supplier_clean', 'sk', True)}, {_key_sql('companies', 'company_name', 'rk', False)}, {_all_weights}")
+def token_retrieval(spark, d):
+    reg, split = registry(spark, d), F.split("norm_name", " ")
+    postings = R.token_postings(reg, "ch_row", split)
+    return I.top_by_tokens(R.supplier_keys(select(spark, d, "wanted", NAMES, MATCHED)), postings, R.token_frequency(postings), reg.select(F.col("ch_row").alias("row"), split.alias("tokens")))
+
+
 @register("SELECT a.p_partkey AS a, b.p_partkey AS b, CAST(levenshtein(a.p_type, b.p_type) AS INT) AS distance FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE levenshtein(a.p_type, b.p_type) <= 12")
 def blocked_edit_distance(spark, d):
     views(spark, d)

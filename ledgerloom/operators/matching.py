@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions import text as T, values as V
 from ..functions.fuzzy import score
 from ..plans.scratch import materialize
+from .retrieval import top_by_tokens
 
 REGISTRY = ["ch_row", "company_name", "company_number", "status", "town", "sic_raw", "norm_name", "block_key", "initials_sig"]
 
@@ -252,13 +253,17 @@ def candidate_pool(suppliers: DataFrame, postings: DataFrame, frequency: DataFra
     return pairs.withColumn("n", F.row_number().over(W.partitionBy("supplier_clean").orderBy("row"))).filter(F.col("n") <= max_pool).drop("n")
 
 
-def recall_probe(misses: DataFrame, reg: DataFrame, top: int = 5, floor: int = 60, anchor_max_df: int = 25_000, **pool) -> DataFrame:
-    """Scored and tiered pairs of unmatched suppliers with the registry rows of their token pool, the best ``top`` each."""
+def recall_probe(misses: DataFrame, reg: DataFrame, top: int = 5, floor: int = 60, anchor_max_df: int = 25_000, exact: int | None = None, **pool) -> DataFrame:
+    """Scored and tiered pairs of unmatched suppliers with the registry rows of their token pool, the best ``top`` each.
+
+    The pool has bounds on tokens and rows; with ``exact`` it is that many rows of largest shared weight, whichever tokens they share.
+    """
     s = supplier_keys(misses)
     split = F.split("norm_name", " ")
     postings = token_postings(reg, "ch_row", split)
     frequency = token_frequency(postings)
-    pairs = candidate_pool(s, postings, frequency, **pool).join(s, "supplier_clean").join(reg, F.col("row") == F.col("ch_row")).drop("row")
+    found = top_by_tokens(s, postings, frequency, reg.select(F.col("ch_row").alias("row"), split.alias("tokens")), exact).select("supplier_clean", "row") if exact else candidate_pool(s, postings, frequency, **pool)
+    pairs = found.join(s, "supplier_clean").join(reg, F.col("row") == F.col("ch_row")).drop("row")
     scored = pairs.withColumn("token_set", score("token_set_ratio", F.col("s_key"), F.col("norm_name"))).filter(F.col("token_set") >= floor)
     scored = scored.withColumn("weighted", score("weighted_ratio", F.col("s_key"), F.col("norm_name")))
     order = W.partitionBy("supplier_clean").orderBy(F.desc("token_set"), F.desc("weighted"), "ch_row")
