@@ -246,8 +246,13 @@ def scan(spark: SparkSession, paths: str | list[str], ranges_sent: int | None =
 
     met = parts.join(files, "path").withColumn("got", join("parts", "fits", "coded", "delim", "record")).select("path", "record", "line", "got.cells", "got.error")
     rows = parsed.filter("piece is null").select("path", "record", "line", "cells", "error").unionByName(met)
-    bad = rows.filter("error is not null").groupBy("path").agg(F.min_by("error", "record").alias("error"))
-    good = rows.join(bad.select("path"), "path", "left_anti").select("path", F.col("record").alias("row_idx"), F.col("line").alias("line_no"), "cells", F.lit(None).cast("string").alias("error"))
+    bad = materialize(rows.filter("error is not null").groupBy("path").agg(F.min_by("error", "record").alias("error")))
+    failing = bad.count()
+    if 0 < failing <= BROADCAST_RANGES:
+        rows = rows.join(F.broadcast(bad.select("path")), "path", "left_anti")
+    elif failing:
+        rows = rows.join(bad.select("path"), "path", "left_anti")
+    good = rows.select("path", F.col("record").alias("row_idx"), F.col("line").alias("line_no"), "cells", F.lit(None).cast("string").alias("error"))
     failed = bad.select("path", F.lit(-1).cast("long").alias("row_idx"), F.lit(None).cast("long").alias("line_no"), F.lit(None).cast("array<string>").alias("cells"), "error")
     return good.unionByName(failed).unionByName(_workbooks(spark, plan))
 
