@@ -301,6 +301,21 @@ def classify_suppliers(spark, d):
     return C.classify(select(spark, d, "typed", TYPED).withColumnRenamed("n", "supplier_clean"))
 
 
+GAZETTEER = "gazetteer AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN upper(split_part(p_name, ' ', 1)) ELSE split_part(p_name, ' ', 2) END AS name, CASE WHEN p_partkey % 2 = 0 THEN 'given' ELSE 'family' END AS kind, CASE WHEN p_partkey % 3 = 0 THEN 'Atlantis' ELSE 'Ireland' END AS country, p_partkey * 400 AS rank FROM part)"
+_plain = "regexp_matches(n, '^[A-Za-z][A-Za-z''.-]*( +[A-Za-z][A-Za-z''.-]*){1,3}$') AND NOT regexp_matches(n, '(^| )[A-Z.''-]{1,4}( |$)')"
+
+
+@register(f"""WITH {TYPED}, {GAZETTEER}, k AS (SELECT DISTINCT lower(name) AS token, kind FROM gazetteer WHERE country = 'Ireland' AND rank <= 45000), t AS (SELECT *, string_split(regexp_replace(lower(n), ' +', ' ', 'g'), ' ') AS w FROM typed),
+ v AS (SELECT *, {_sector} AS sector, ({_word(C.REDACTED, 'lower(n)', '')} OR contains(lower(n), 'redact')) AS red, {_entity} AS entity, {_word(C.HOUSE_NUMBER, 'n', '')} AND {_word(C.STREET)} AND NOT {_word(C.CORPORATE)} AS address,
+  {_plain} AND NOT {_entity} AND NOT {_word(C.NOT_PERSON)} AND EXISTS (SELECT 1 FROM k WHERE kind = 'given' AND token IN (w[1], w[2])) AND EXISTS (SELECT 1 FROM k WHERE kind = 'family' AND token = w[-1]) AS person FROM t)
+ SELECT id, n AS supplier_clean, CASE WHEN lower(n) IN ('nan','none','null','n/a','na','') THEN 'Nan' WHEN red AND entity THEN 'Business' WHEN red THEN 'Redacted' WHEN {_word(C.DEPARTMENT, 'lower(n)', '')} THEN 'Department' WHEN {_word(C.AGENCY, 'lower(n)', '')} THEN 'Gov Agency'
+  WHEN address AND {_word(C.LAW)} THEN 'Business' WHEN address THEN 'Personal Address' WHEN {_word(C.TITLE)} OR person THEN 'Persons Name' ELSE 'Business' END AS type FROM v""")
+def classify_people(spark, d):
+    """Persons told by a gazetteer that is a table."""
+    names = C.gazetteer(select(spark, d, "gazetteer", GAZETTEER))
+    return C.classify(select(spark, d, "typed", TYPED).withColumnRenamed("n", "supplier_clean"), names=names).select("id", "supplier_clean", "type")
+
+
 # ---- matching ------------------------------------------------------------------------------------------------------
 
 MATCHED = "wanted AS (SELECT DISTINCT name AS supplier_clean FROM names)"
@@ -315,6 +330,22 @@ def registry_build(spark, d):
     return registry(spark, d).select("ch_row", "norm_name", "block_key", "initials_sig", "sic_raw")
 
 
+@register()
+def registry_load(spark, d):
+    """Companies written as registry files with records too long, too short and blank lines between, and loaded back."""
+    folder = f"{scratch_dir(spark)}/registry-{uuid.uuid4().hex}"
+    c = select(spark, d, "companies", COMPANIES)
+    fields = ["company_name", "company_number", "status", "town", "sic_1", "sic_2", "former_1"]
+    quoted = [F.concat(F.lit('"'), F.replace(F.col(x), F.lit('"'), F.lit('""')), F.lit('"')) for x in fields]
+    cut = F.when(F.col("ch_row") % 10 == 3, F.concat_ws(",", *quoted[:4])).when(F.col("ch_row") % 10 == 7, F.concat_ws(",", *quoted, F.lit("x"), F.lit("y"))).otherwise(F.concat_ws(",", *quoted))
+    head = ' CompanyName , CompanyNumber,CompanyStatus,RegAddress.PostTown,SICCode.SicText_1,SICCode.SicText_2 ,PreviousName_1.CompanyName,"URI\n"'
+    body = c.groupBy((F.col("ch_row") % 3).alias("file")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ch_row", cut.alias("line")))), lambda x: x["line"]), "\n\n").alias("text"))
+    body.select("file", F.concat(F.lit(head + "\n"), "text").alias("value")).write.partitionBy("file").text(folder)
+    columns = {k: v for k, v in R.COMPANY_COLUMNS.items() if v in fields}
+    good, aside = R.load_companies(delimited.scan(spark, folder), columns)
+    return good.select(*fields, F.lit(None).cast("string").alias("reason")).unionByName(aside.select(*[F.get("cells", F.lit(i)).alias(x) for i, x in enumerate(fields)], "reason"))
+
+
 _pref = f"""
  s AS (SELECT supplier_clean, array_to_string(toks, ' ') AS s_key, toks AS s_toks FROM sk), r AS (SELECT *, array_to_string(toks, ' ') AS norm_name, contains(lower(status), 'active') AS active, contains(company_name, '(') OR list_has_any(regexp_split_to_array(lower(company_name), '\\s+'), ['{"','".join(w.replace(chr(39), chr(39) * 2) for w in V.ADORNMENTS)}']) AS adorned FROM rk),
  al AS (SELECT DISTINCT array_to_string(f.toks, ' ') AS alias, f.ch_row FROM fk f JOIN r USING (ch_row) WHERE array_to_string(f.toks, ' ') NOT IN ('', r.norm_name)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from . import values as V
@@ -87,10 +89,33 @@ def gateway_clean(supplier: Column) -> Column:
     return F.when(supplier.isNull() | (supplier == ""), supplier).otherwise(F.coalesce(F.nullif(s, F.lit("")), supplier))
 
 
-def repair_encoding(c: Column) -> Column:
-    """UTF-8 that was read as Latin-1 once: common sequences put right. Rarer damage is left as it is."""
-    for bad, good in (("â\u0080\u0093", "–"), ("â\u0080\u0094", "—"), ("â\u0080\u0099", "’"), ("â\u0080\u0098", "‘"), ("â\u0080\u009c", "“"), ("â\u0080\u009d", "”"), ("Ã©", "é"), ("Ã\u0089", "É")):
-        c = F.replace(c, F.lit(bad), F.lit(good))
+#: Bytes 0x80-0x9F as a Windows code page shows them, and as Latin-1 does; made from the codec's own table.
+_SHOWN = {b: bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+_WINDOWS, _LATIN = "".join(c for c in _SHOWN.values() if c), "".join(chr(b) for b, c in _SHOWN.items() if c)
+_TAIL = "[\u0080-\u00BF" + re.escape(_WINDOWS) + "]"
+#: A character's UTF-8 bytes, each shown as a character of its own.
+DAMAGED = f"[\u00C2-\u00DF]{_TAIL}|[\u00E0-\u00EF]{_TAIL}{{2}}|[\u00F0-\u00F4]{_TAIL}{{3}}"
+#: What such bytes may stand for: letters and signs of European text, and bytes of a deeper layer.
+PLAUSIBLE = "^[\u0080-\u024F\u1E00-\u1EFF\u2010-\u2027\u2030-\u203A\u20AC\u2116\u2122\u2212\uFB00-\uFB04]$"
+
+
+def _mend_once(c: Column) -> Column:
+    """Each damaged character decoded from its bytes, if these are UTF-8 of something plausible; the rest as it is."""
+
+    def decoded(x: Column) -> Column:
+        plain = F.try_validate_utf8(F.encode(F.translate(x, _WINDOWS, _LATIN), "ISO-8859-1").cast("string"))
+        return F.when(plain.rlike(PLAUSIBLE), plain).otherwise(x)
+
+    between = F.split(c, DAMAGED, -1)
+    found = F.transform(F.regexp_extract_all(c, F.lit(DAMAGED), F.lit(0)), decoded)
+    both = F.flatten(F.zip_with(between, found, lambda a, b: F.array(a, F.coalesce(b, F.lit("")))))
+    return F.when(c.rlike(DAMAGED), F.array_join(both, "")).otherwise(c)
+
+
+def repair_encoding(c: Column, layers: int = 4) -> Column:
+    """UTF-8 that was read as Latin-1 or Windows-1252, up to ``layers`` times, put right layer by layer; sound text stays."""
+    for _ in range(layers):
+        c = let(c, _mend_once)
     return c
 
 

@@ -411,5 +411,11 @@ AS_IS_FILES = [
 TAB_FILES = ["pcard-aug-2025.xlsx"]
 EXPORT_WORDS = ("export", "download all", "csv")
 HEADERLESS = {True: "<< unreadable or empty >>", False: "<< no header detected >>"}
+NAME_COUNTRIES = [
+    "United Kingdom", "United States", "Ireland", "Canada", "Australia", "Nigeria", "Ghana", "Kenya", "South Africa", "Somalia", "India", "Pakistan", "Bangladesh", "Sri Lanka",
+    "Jamaica", "Trinidad and Tobago", "Poland", "Romania", "Portugal", "Spain", "France", "Italy", "Germany", "Greece", "Lithuania", "Bulgaria", "China", "Hong Kong",
+    "Philippines", "Malaysia", "Singapore", "Turkey", "Iran, Islamic Republic of", "Iraq", "Afghanistan", "Brazil", "Colombia", "Mexico",
+]
+NAME_RANK_MAX = 45000
 SKIPPED_FOLDERS = [".git", "node_modules", "__pycache__", ".venv", "venv", ".mypy_cache", ".pytest_cache", ".ipynb_checkpoints"]
 # --- end of fixed values ------------------------------------------------------------------------------------------

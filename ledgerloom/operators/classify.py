@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import values as V
 from ..functions.text import strip
 
 # --- fixed values -------------------------------------------------------------------------------------------------
@@ -128,15 +129,37 @@ def _person(name: Column, given: Column, family: Column) -> Column:
     return F.coalesce(shape & ~org & known, F.lit(False))
 
 
-def classify(df: DataFrame, name: str = "supplier_clean", given: list[str] | None = None, family: list[str] | None = None) -> DataFrame:
+def gazetteer(ranks: DataFrame, countries: list[str] | None = None, most: int = V.NAME_RANK_MAX) -> DataFrame:
+    """ranks(name, kind given or family, country, rank) -> (token, kind): lower-case names of rank up to ``most`` in any of the countries."""
+    near = F.col("country").isin(V.NAME_COUNTRIES if countries is None else countries) & (F.col("rank") <= most)
+    return ranks.filter(near).select(F.lower("name").alias("token"), "kind").distinct()
+
+
+def known_tokens(df: DataFrame, name: str, names: DataFrame) -> DataFrame:
+    """(_name, _given, _family): which tokens of each distinct name a gazetteer knows. Distinct tokens alone meet the gazetteer."""
+    each = df.select(F.col(name).alias("_name")).distinct().withColumn("token", F.explode(F.array_distinct(F.split(F.lower(strip(F.col("_name"))), r"\s+"))))
+    tokens = each.select("token").distinct()
+    found = tokens.join(names, "token")
+    told = each.join(found, "token").groupBy("_name").agg(F.collect_set(F.when(F.col("kind") == "given", F.col("token"))).alias("_given"), F.collect_set(F.when(F.col("kind") == "family", F.col("token"))).alias("_family"))
+    return told
+
+
+def classify(df: DataFrame, name: str = "supplier_clean", given: list[str] | None = None, family: list[str] | None = None, names: DataFrame | None = None) -> DataFrame:
     """+ type and business_type by the cascade: missing, redacted, department, agency, address, person, else business.
 
-    given and family name lists stand for a gazetteer; without them a person is told by title only.
+    names is a gazetteer as a table (token, kind); given and family are short lists in its place. Without any a person is told by title only.
     """
+    if names is not None:
+        known = known_tokens(df, name, names)
+        joined = df.join(known, df[name] == known["_name"], "left").drop("_name")
+        return _classified(joined, name, F.coalesce("_given", F.array().cast("array<string>")), F.coalesce("_family", F.array().cast("array<string>"))).drop("_given", "_family")
+    text = lambda xs: F.array(*[F.lit(x.lower()) for x in xs]) if xs else F.lit(None).cast("array<string>")
+    return _classified(df, name, text(given), text(family))
+
+
+def _classified(df: DataFrame, name: str, g: Column, f: Column) -> DataFrame:
     n = strip(F.coalesce(F.col(name), F.lit("")))
     low = F.lower(n)
-    text = lambda xs: F.array(*[F.lit(x.lower()) for x in xs]) if xs else F.lit(None).cast("array<string>")
-    g, f = text(given), text(family)
     entity = n.rlike(f"(?i){CORPORATE}") | n.rlike(f"(?i){ORGANISATION}") | n.rlike(f"(?i){LAW}")
     redacted = low.rlike(REDACTED) | F.contains(low, F.lit("redact"))
     address = n.rlike(HOUSE_NUMBER) & n.rlike(f"(?i){STREET}") & ~n.rlike(f"(?i){CORPORATE}")

@@ -11,6 +11,10 @@ from ..functions.fuzzy import score
 from ..plans.scratch import materialize
 from .retrieval import top_by_tokens
 
+COMPANY_COLUMNS = {
+    "CompanyName": "company_name", "CompanyNumber": "company_number", "CompanyStatus": "status", "RegAddress.PostTown": "town",
+    **{f"SICCode.SicText_{i}": f"sic_{i}" for i in range(1, 5)}, **{f"PreviousName_{i}.CompanyName": f"former_{i}" for i in range(1, 11)},
+}
 REGISTRY = ["ch_row", "company_name", "company_number", "status", "town", "sic_raw", "norm_name", "block_key", "initials_sig"]
 
 
@@ -22,6 +26,26 @@ def registry(companies: DataFrame) -> DataFrame:
     return out.select("ch_row", "company_name", "company_number", "status", "town", "sic_raw", F.array_join("_t", " ").alias("norm_name"), F.coalesce(F.get("_t", F.lit(0)), F.lit("")).alias("block_key"), T.initials(F.col("_t")).alias("initials_sig"))
 
 
+def load_companies(rows: DataFrame, columns: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records of registry files (delimited.scan) -> companies and the records set aside.
+
+    Columns are found by their trimmed names in each file's first record; ch_row is the record's place. Records of more cells than the header
+    are set aside with their line and cells, shorter ones are filled with nulls, blank lines count for nothing; an unreadable file is
+    set aside whole. A name that no file has raises.
+    """
+    columns = COMPANY_COLUMNS if columns is None else columns
+    heads = rows.filter("row_idx = 0").select("path", F.transform("cells", lambda c: F.trim(F.regexp_replace(c, "^\\uFEFF", ""))).alias("header"))
+    lacking = [c for c in columns if not heads.filter(F.array_contains("header", c)).head(1)]
+    if lacking:
+        raise ValueError(f"missing columns: {', '.join(lacking)}")
+    body = rows.filter("row_idx > 0 and error is null and size(cells) > 0").join(F.broadcast(heads) if heads.count() <= 10_000 else heads, "path")
+    fits = F.size("cells") <= F.size("header")
+    cell = lambda name: F.when(F.array_position("header", name) > 0, F.get("cells", (F.array_position("header", name) - 1).cast("int")))
+    good = body.filter(fits).select(F.col("row_idx").alias("ch_row"), *[F.nullif(cell(c), F.lit("")).alias(o) for c, o in columns.items()])
+    aside = body.filter(~fits).select("path", "line_no", F.concat(F.size("cells"), F.lit(" cells of "), F.size("header")).alias("reason"), "cells")
+    return good, aside.unionByName(rows.filter("error is not null").select("path", "line_no", F.col("error").alias("reason"), "cells"))
+
+
 def aliases(companies: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct (alias key, ch_row) of former names that differ from the current one. Keys are made once a distinct name."""
     long = companies.select("ch_row", "company_name", F.explode(F.array(*[F.nullif(F.trim(F.col(c)), F.lit("")) for c in columns])).alias("former")).filter("former is not null")

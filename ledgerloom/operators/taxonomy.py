@@ -42,6 +42,12 @@ def drop_blank_rows(df: DataFrame) -> DataFrame:
     return df.filter(reduce(lambda a, b: a | b, [blank_to_null(F.col(c).cast("string")).isNotNull() for c in df.columns]))
 
 
+def blank_lines(df: DataFrame, line: str = "line_no") -> tuple[DataFrame, DataFrame]:
+    """Rows with any text in a column other than ``line``, and the lines of those without: a row of a table dropped later is traced to its file."""
+    text = reduce(lambda a, b: a | b, [blank_to_null(F.col(c).cast("string")).isNotNull() for c in df.columns if c not in (line, "path", "row_idx")])
+    return df.filter(text), df.filter(~text).select(*[c for c in ("path", line) if c in df.columns])
+
+
 def scope(df: DataFrame) -> Column:
     """Statutory transfer before ledger movement before in scope. Before enrichment there is no Level 1 and terms alone do not decide."""
     expense, l1 = _low(df, "expense_type"), _level1(df)

@@ -12,15 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 ENCODINGS = ("utf-8-sig", "utf-8", "latin-1", "cp1252")
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
+def list_files(spark: SparkSession, root: str, canonical: bool = False) -> DataFrame:
     """(path, content, borough, district, file) under root/<borough>/[<district>/]…; log, json and files that begin with
-    ``AMOD_``, a point or an underscore are left out."""
+    a point or an underscore are left out, and so are those that begin with ``AMOD_`` unless ``canonical`` asks for them."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     name = F.element_at(F.split("path", "/"), -1)
     clean = root.rstrip("/").split("://")[-1].split(":")[-1]
     inner = F.split(F.regexp_replace(F.regexp_extract("path", f"{clean}/(.*)$", 1), "%20", " "), "/")
     out = files.withColumn("file", F.regexp_replace(name, "%20", " ")).withColumn("borough", F.replace(F.get(inner, F.lit(0)), F.lit("_"), F.lit(" "))).withColumn("district", F.when(F.size(inner) > 2, F.get(inner, F.lit(1))))
-    return out.filter(~F.col("file").rlike(r"^(AMOD_|\.|_)") & ~F.lower("file").rlike(r"\.(json|log)$"))
+    return out.filter(~F.col("file").rlike(r"^(\.|_)" if canonical else r"^(AMOD_|\.|_)") & ~F.lower("file").rlike(r"\.(json|log)$"))
 
 
 def sniff_format(content: Column, path: Column) -> Column:
