@@ -67,6 +67,21 @@ def scope_flow_summary(spark, d):
     return flagged.groupBy("procurement_scope", "flow").agg(F.count(F.lit(1)).alias("keys"), F.sum(F.col("total_amount").cast("decimal(28,2)")).cast("double").alias("amount"))
 
 
+#: Keys whose terms decide with their level alone, or do not.
+LEVELLED = """levelled AS (SELECT supplier_clean, service_area, total_amount, CASE length(service_area) % 5 WHEN 0 THEN 'Pension ' || expense_type WHEN 1 THEN 'Concessionary precept' WHEN 2 THEN 'Freedom Pass Council tax' ELSE expense_type END AS expense_type,
+  CASE length(coalesce(expense_type, '')) % 3 WHEN 0 THEN 'Financial Services' WHEN 1 THEN 'Passenger Transport' END AS "Level 1" FROM base)"""
+_low = "lower(coalesce(expense_type, ''))"
+
+
+@register(f"""WITH {SPEND}, {BASE}, {LEVELLED}, s AS (SELECT *, CASE WHEN (regexp_matches(lower(supplier_clean), '{V.STATUTORY_PAYEE}') OR (regexp_matches({_low}, '{V.STATUTORY_TERM}') AND coalesce("Level 1", '') = 'Financial Services')) AND NOT (regexp_matches({_low}, '{V.CONCESSION_TERM}') AND coalesce("Level 1", '') = 'Passenger Transport') THEN 'STATUTORY_TRANSFER'
+  WHEN regexp_matches({_low}, '{V.LEDGER_TERM}') THEN 'LEDGER_CONTROL' ELSE 'IN_SCOPE' END AS procurement_scope FROM levelled)
+ SELECT supplier_clean, expense_type, "Level 1" AS level_1, procurement_scope, {_flow} AS flow, count(*) AS keys FROM s GROUP BY ALL""")
+def scope_flow_levels(spark, d):
+    """Scope and flow where Level 1 is known: terms that need it, and concessions that it exempts."""
+    flagged = X.flag_scope_flow(select(spark, d, "levelled", SPEND, BASE, LEVELLED))
+    return flagged.groupBy("supplier_clean", "expense_type", F.col("Level 1").alias("level_1"), "procurement_scope", F.col("flow_type_taxonomy_key_aggregate").alias("flow")).agg(F.count(F.lit(1)).alias("keys"))
+
+
 def coded(spark, d):
     return select(spark, d, "coded", SPEND, BASE, CODED)
 
@@ -287,6 +302,20 @@ def supplier_context(spark, d):
     return S.supplier_context(base(spark, d)).select("supplier_clean", "no_of_transactions", "total_spend", "top_service_area", "top_department", "top_supplier_category")
 
 
+_cut = lambda f: f"CASE WHEN length({f}) > 120 THEN regexp_replace(substr({f}, 1, 120), '; [^;]*$', '') ELSE {f} END"
+_names = {"service_area": "Service areas", "expense_type": "Expense types", "department": "Departments", "supplier_category": "Supplier categories"}
+
+
+@register(f"""WITH {SPEND}, {BASE}, l AS ({_ranks}), g AS (SELECT supplier_clean, field, value, row_number() OVER (PARTITION BY supplier_clean, field ORDER BY sum(amount) DESC, value) AS n FROM l GROUP BY 1, 2, 3),
+ t AS (SELECT supplier_clean, field, string_agg(value, '; ' ORDER BY n) AS v FROM g WHERE n <= 3 GROUP BY 1, 2), c AS (SELECT supplier_clean, field, {_cut('v')} AS v FROM t),
+ w AS (SELECT supplier_clean, {", ".join(f"max(v) FILTER (WHERE field = '{f}') AS {f}" for f in S.TOP_FIELDS)} FROM c GROUP BY 1),
+ s AS (SELECT supplier_clean, CAST(sum(row_count) AS BIGINT) AS n, sum(CAST(total_amount AS DECIMAL(28,2))) AS total FROM base GROUP BY 1)
+ SELECT supplier_clean, CAST(round(CAST(total / n AS DECIMAL(28,8)), 2) AS DOUBLE) AS avg_amount, expense_type AS top_expense_type,
+  concat_ws(' | ', {", ".join(f"'{_names[f]}: ' || {f}" for f in S.TOP_FIELDS)}, 'Scale: ' || format('{{:,}}', n) || ' no_of_transactions, £' || format('{{:,.0f}}', CAST(total AS DOUBLE))) AS context_descriptor FROM s LEFT JOIN w USING (supplier_clean)""")
+def supplier_descriptors(spark, d):
+    return S.supplier_context(base(spark, d)).select("supplier_clean", "avg_amount", "top_expense_type", "context_descriptor")
+
+
 _sector = "CASE " + " ".join(f"WHEN regexp_matches(n, '(?i)\\b({p.replace(chr(39), chr(39) * 2)})\\b') THEN '{label.replace(chr(39), chr(39) * 2)}'" for label, p in C.SECTORS) + f" ELSE '{C.OTHER_SECTOR}' END"
 _word = lambda p, c="n", f="(?i)": f"regexp_matches({c}, '{f}{p.replace(chr(39), chr(39) * 2)}')"
 _entity = f"({_word(C.CORPORATE)} OR {_word(C.ORGANISATION)} OR {_word(C.LAW)})"
@@ -686,6 +715,12 @@ def match_report(spark, d):
     return R.match_report(exact_matches(spark, d))
 
 
+@register()
+def cascade_report(spark, d):
+    """Suppliers by outcome and basis of the whole cascade: exact, former names, fuzzy, initials and none."""
+    return R.match_report(match_suppliers(spark, d))
+
+
 @register("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total FROM events GROUP BY 1, 2")
 def event_windows(spark, d):
     from .streaming.ingest import windowed_counts
