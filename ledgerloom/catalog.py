@@ -13,6 +13,7 @@ from .operators import classify as C, conform as O, coverage as L, diagnostics a
 from .plans.scratch import scratch_dir
 from .plans.substrate import BASE, CODED, COMPANIES, MESSY, NAMES, SPEND, select, views
 from .sources import delimited, snapshots
+from .streaming import jobs as J
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _sql: dict[str, str] = {}
@@ -715,6 +716,34 @@ def match_report(spark, d):
     return R.match_report(exact_matches(spark, d))
 
 
+#: A log of jobs, one an order: some polled to an end, some open, some polled after it, some never submitted.
+JOB_EVENTS = """job_events AS (SELECT 'job-' || CAST(o_orderkey AS VARCHAR(12)) AS job_name, CAST(n AS BIGINT) AS seq, o_orderdate + n * INTERVAL '5' MINUTE AS told_at, CASE n WHEN 1 THEN CASE WHEN o_orderkey % 13 = 0 THEN 'polled' ELSE 'submitted' END WHEN 5 THEN 'downloaded' ELSE 'polled' END AS kind,
+  CAST(o_orderkey AS BIGINT) AS index, 'batch_' || CAST(o_orderkey AS VARCHAR(12)) || '.jsonl' AS input_file,
+  CASE WHEN n = 3 AND o_orderkey % 4 = 1 THEN 'JOB_STATE_FAILED' WHEN n = 3 AND o_orderkey % 4 = 2 THEN 'JobState.JOB_STATE_SUCCEEDED' WHEN n = 4 AND o_orderkey % 4 > 0 THEN 'JOB_STATE_PARTIALLY_SUCCEEDED' WHEN n IN (2, 3, 4) THEN 'JOB_STATE_RUNNING' END AS state,
+  CASE WHEN n = 5 THEN 'r' || CAST(o_orderkey AS VARCHAR(12)) END AS result_file FROM orders, (SELECT 1 AS n UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5) k)"""
+
+
+@register(f"""WITH {JOB_EVENTS}, e AS (SELECT *, replace(replace(state, 'JobState.', ''), 'JOB_STATE_', '') AS s FROM job_events), b AS (SELECT job_name, min(seq) AS n0, arg_min(index, seq) AS index, arg_min(input_file, seq) AS input_file, arg_min(told_at, seq) AS submitted_at FROM e WHERE kind = 'submitted' GROUP BY 1),
+ f AS (SELECT e.job_name, min(seq) AS n1, arg_min(s, seq) AS s, arg_min(told_at, seq) AS completed_at FROM e JOIN b USING (job_name) WHERE kind = 'polled' AND seq > n0 AND s IN ('SUCCEEDED', 'PARTIALLY_SUCCEEDED', 'FAILED', 'CANCELLED', 'EXPIRED') GROUP BY 1),
+ l AS (SELECT e.job_name, arg_max(s, seq) AS s FROM e JOIN b USING (job_name) WHERE kind = 'polled' AND seq > n0 GROUP BY 1), r AS (SELECT e.job_name, arg_min(result_file, seq) AS result_file FROM e JOIN f USING (job_name) WHERE kind = 'downloaded' AND seq > n1 AND f.s IN ('SUCCEEDED', 'PARTIALLY_SUCCEEDED') GROUP BY 1)
+ SELECT b.job_name, b.index, b.input_file, coalesce(f.s, l.s, 'SUBMITTED') AS state, submitted_at, completed_at, result_file FROM b LEFT JOIN f USING (job_name) LEFT JOIN l USING (job_name) LEFT JOIN r USING (job_name)""")
+def job_manifest(spark, d):
+    return J.job_manifest(select(spark, d, "job_events", JOB_EVENTS).withColumn("told_at", F.col("told_at").cast("timestamp")))
+
+
+@register()
+def job_stream(spark, d):
+    """The same log landed in three lots and followed as a stream, started twice on one checkpoint."""
+    top = f"{scratch_dir(spark)}/jobs-{uuid.uuid4().hex}"
+    events = select(spark, d, "job_events", JOB_EVENTS).withColumn("told_at", F.col("told_at").cast("timestamp"))
+    for lots in (((1, 2), (3, 3)), ((4, 5),)):
+        for low, high in lots:
+            events.filter(F.col("seq").between(low, high)).write.mode("append").parquet(f"{top}/events")
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 64).parquet(f"{top}/events")
+        J.follow_jobs(stream, f"{top}/manifest", f"{top}/checkpoint").awaitTermination()
+    return J.current_jobs(spark.read.option("recursiveFileLookup", "true").schema(J.MANIFEST + ", batch long").parquet(f"{top}/manifest"))
+
+
 @register()
 def cascade_report(spark, d):
     """Suppliers by outcome and basis of the whole cascade: exact, former names, fuzzy, initials and none."""

@@ -417,5 +417,7 @@ NAME_COUNTRIES = [
     "Philippines", "Malaysia", "Singapore", "Turkey", "Iran, Islamic Republic of", "Iraq", "Afghanistan", "Brazil", "Colombia", "Mexico",
 ]
 NAME_RANK_MAX = 45000
+FINAL_STATES = ["SUCCEEDED", "PARTIALLY_SUCCEEDED", "FAILED", "CANCELLED", "EXPIRED"]
+RESULT_STATES = ["SUCCEEDED", "PARTIALLY_SUCCEEDED"]
 SKIPPED_FOLDERS = [".git", "node_modules", "__pycache__", ".venv", "venv", ".mypy_cache", ".pytest_cache", ".ipynb_checkpoints"]
 # --- end of fixed values ------------------------------------------------------------------------------------------
