@@ -137,43 +137,52 @@ def score_bound(la: Column, lb: Column, common: Column, a: Column, b: Column) ->
     return F.when(long < 1.5 * short, F.greatest(plain, 0.95 * F.greatest(plain, sets))).when(long < 8 * short, F.greatest(plain, stretch)).otherwise(60.0)
 
 
+def _lowest(df: DataFrame, keys: list[str], top: int) -> DataFrame:
+    """The rows of lowest ch_row of each key, over parts of a hash first, so that no key's rows meet in one task."""
+    part = df.withColumn("_p", F.pmod(F.xxhash64("ch_row"), F.lit(64)))
+    few = part.withColumn("_r", F.row_number().over(W.partitionBy(*keys, "_p").orderBy("ch_row"))).filter(F.col("_r") <= top).drop("_p", "_r")
+    return few.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy("ch_row"))).filter(F.col("_r") <= top).drop("_r")
+
+
 def block_candidates(s: DataFrame, reg: DataFrame, top: int, cutoff: int = 82) -> DataFrame:
-    """(supplier_clean, s_key, ch_row, norm_name): registry rows of a supplier's first token that its best ``top`` by score, then ch_row, can be among.
+    """(s_key, norm_name): registry names of a key's first token that its best ``top`` rows by score, then ch_row, can have.
 
-    Three kinds are left: rows of near length whose bound reaches the cutoff; rows of other length whose bound exceeds 85, which shared
-    tokens alone give; and of those that may have just this, the first ``top`` by ch_row, from lists of each block and length.
-    Blocks of many rows are dealt to salts, so no task meets a popular token's rows and suppliers all at once.
+    Scores follow keys, so distinct keys meet distinct names. Three kinds are left: names of near length whose bound reaches the cutoff; names of other length whose
+    bound exceeds 85, which shared tokens alone give; and of those that may have just this, the names of the first ``top`` rows by
+    ch_row, from lists of each block and length. Blocks of many names are dealt to salts, so no task meets a popular token's names and keys all at once.
     """
-    keyed = reg.select("block_key", "ch_row", "norm_name").filter("block_key != ''").withColumn("n_len", F.length("norm_name"))
+    rows = reg.select("block_key", "ch_row", "norm_name").filter("block_key != ''")
+    keyed = rows.select("block_key", "norm_name").distinct().withColumn("n_len", F.length("norm_name"))
     sizes = keyed.groupBy("block_key").agg(F.count(F.lit(1)).alias("_size")).withColumn("_salts", F.ceil(F.col("_size") / BLOCK_ROWS).cast("int")).select("block_key", "_salts")
-    right = keyed.join(sizes, "block_key").withColumn("_salt", F.pmod(F.xxhash64("ch_row"), F.col("_salts")).cast("int")).withColumn("n_tokens", F.array_distinct(F.split("norm_name", " "))).withColumn("n_letters", letter_counts(F.col("norm_name")))
-    own = s.select("supplier_clean", "s_key", F.array_distinct("s_tokens").alias("s_set"), F.col("s_block").alias("block_key")).withColumns({"s_len": F.length("s_key"), "s_letters": letter_counts(F.col("s_key"))})
+    right = keyed.join(sizes, "block_key").withColumn("_salt", F.pmod(F.xxhash64("norm_name"), F.col("_salts")).cast("int")).drop("_salts")
+    right = right.withColumns({"n_tokens": F.array_distinct(F.split("norm_name", " ")), "n_letters": letter_counts(F.col("norm_name"))})
+    own = s.groupBy("s_key").agg(F.first(F.array_distinct("s_tokens")).alias("s_set"), F.first("s_block").alias("block_key")).withColumns({"s_len": F.length("s_key"), "s_letters": letter_counts(F.col("s_key"))})
     dealt = own.join(sizes, "block_key").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
     short, long = F.least("s_len", "n_len"), F.greatest("s_len", "n_len")
     base = (long >= 1.5 * short) & (long < 8 * short)
     bound = score_bound(F.col("s_len"), F.col("n_len"), common_letters(F.col("s_letters"), F.col("n_letters")), F.col("s_set"), F.col("n_tokens"))
     able = (long < 8 * short) & (bound >= F.when(base, F.lit(86)).otherwise(F.lit(cutoff)))
-    pairs = dealt.join(right.drop("_salts"), ["block_key", "_salt"]).filter(able).select("supplier_clean", "s_key", "ch_row", "norm_name")
+    pairs = dealt.join(right, ["block_key", "_salt"]).filter(able).select("s_key", "norm_name")
     if cutoff > 85:
         return pairs
-    part = F.pmod(F.xxhash64("ch_row"), F.lit(64))
-    lists = keyed.withColumn("_p", part).withColumn("_r", F.row_number().over(W.partitionBy("block_key", "n_len", "_p").orderBy("ch_row"))).filter(F.col("_r") <= top)
-    lists = lists.withColumn("_r", F.row_number().over(W.partitionBy("block_key", "n_len").orderBy("ch_row"))).filter(F.col("_r") <= top).drop("_p", "_r")
-    plain = own.join(lists, "block_key").filter(base).withColumn("_r", F.row_number().over(W.partitionBy("supplier_clean").orderBy("ch_row"))).filter(F.col("_r") <= top)
-    return pairs.unionByName(plain.select("supplier_clean", "s_key", "ch_row", "norm_name")).distinct()
+    lists = _lowest(rows.withColumn("n_len", F.length("norm_name")), ["block_key", "n_len"], top)
+    plain = own.join(lists, "block_key").filter(base).withColumn("_r", F.row_number().over(W.partitionBy("s_key").orderBy("ch_row"))).filter(F.col("_r") <= top)
+    return pairs.unionByName(plain.select("s_key", "norm_name")).distinct()
 
 
 def fuzzy_matches(suppliers: DataFrame, reg: DataFrame, k: int = 5, cutoff: int = 82, auto: int = 95) -> DataFrame:
     """For suppliers without exact match: names of the same first token that score, and names of the same initials that
     hold the supplier's longest long token; resolved where exactly one active row scores ``auto``, else k candidates.
 
-    Only pairs whose bound leaves them a place are scored, each pair of keys once.
+    Only pairs of keys whose bound leaves them a place are scored, each once; of a name's rows the first by ch_row alone can be chosen.
     """
     s = supplier_keys(suppliers).filter("s_key != ''").withColumn("s_block", F.get("s_tokens", F.lit(0))).withColumn("s_sig", T.initials(F.col("s_tokens")))
     pairs = materialize(block_candidates(s, reg, max(k, 5), cutoff))
-    scored = pairs.select("s_key", "norm_name").distinct().withColumn("score", score("weighted_ratio", F.col("s_key"), F.col("norm_name"))).filter(F.col("score") >= cutoff)
-    best = pairs.join(scored, ["s_key", "norm_name"]).withColumn("_n", F.row_number().over(W.partitionBy("supplier_clean").orderBy(F.desc("score"), "ch_row"))).filter(F.col("_n") <= max(k, 5)).select("supplier_clean", "ch_row", "score")
-    near = best.join(s, "supplier_clean").join(reg, "ch_row").withColumn("basis", F.lit("fuzzy"))
+    scored = materialize(pairs.withColumn("score", score("weighted_ratio", F.col("s_key"), F.col("norm_name"))).filter(F.col("score") >= cutoff))
+    named = reg.select("block_key", "ch_row", "norm_name").join(scored.select("norm_name").distinct(), "norm_name", "left_semi")
+    firsts = _lowest(named, ["norm_name"], max(k, 5)).select("norm_name", "ch_row")
+    best = scored.join(firsts, "norm_name").withColumn("_n", F.row_number().over(W.partitionBy("s_key").orderBy(F.desc("score"), "ch_row"))).filter(F.col("_n") <= max(k, 5)).select("s_key", "ch_row", "score")
+    near = best.join(s, "s_key").join(reg, "ch_row").withColumn("basis", F.lit("fuzzy"))
     long = F.filter("s_tokens", lambda t: F.length(t) > 3)
     longest = F.reduce(long, F.lit(""), lambda a, t: F.when(F.length(t) > F.length(a), t).otherwise(a))
     same = s.filter("s_sig != ''").withColumn("_long", longest).join(reg, F.col("s_sig") == F.col("initials_sig"))
