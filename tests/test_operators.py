@@ -181,3 +181,18 @@ def test_headers_without_sheet(spark):
     good, bad = A.build_fact(spark.createDataFrame(rows, "borough string, file string, row_idx int, cells array<string>"), A.mapping_rows(sheet), "2024-01-01")
     assert sorted((r.source_file, r.supplier) for r in good.collect()) == [("a.csv", ""), ("b.csv", "Firm")]
     assert [r.source_file for r in bad.collect()] == ["b.csv"]
+
+
+def test_first_cell_and_blank_column_rules(spark):
+    """Southwark: a sign in the first cell of eight becomes Date, a file without header gets one. Merton: a blank first column and what is above the header go."""
+    damaged = [["`", *O.SOUTHWARK[1:]], ["1/1/2024", *"abcdefg"]]
+    assert cells(O.PUBLISHER_RULES["southwark"](rows(spark, "Southwark", damaged))) == [["Date", *O.SOUTHWARK[1:]], damaged[1]]
+    bare = [["1/1/2024", *"abcdefg"], ["2/1/2024", *"hijklmn"]]
+    assert cells(O.PUBLISHER_RULES["southwark"](rows(spark, "Southwark", bare))) == [O.SOUTHWARK, *bare]
+    narrow = [["`", "b"], ["1", "2"]]
+    assert cells(O.PUBLISHER_RULES["southwark"](rows(spark, "Southwark", narrow))) == narrow
+    body = [str(i) for i in range(len(O.MERTON))]
+    shifted = [["Report", "x"], [" ", *(f" {h.upper()} " for h in O.MERTON)], ["", *body]]
+    assert cells(O.PUBLISHER_RULES["merton"](rows(spark, "Merton", shifted))) == [[f" {h.upper()} " for h in O.MERTON], body]
+    plain = [O.MERTON, body]
+    assert cells(O.PUBLISHER_RULES["merton"](rows(spark, "Merton", plain))) == plain
