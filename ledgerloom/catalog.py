@@ -458,12 +458,17 @@ _stem = "CASE WHEN t LIKE '%ies' AND length(t) > 4 THEN t[1:length(t)-3] || 'y'
 _dist = lambda c: f"list_distinct(list_transform(list_filter(string_split({c}, ' '), lambda t: NOT list_contains({_dull}, t) AND NOT regexp_matches(t, '^[0-9]+$') AND length(t) > 1), lambda t: {_stem}))"
 
 
-@register(f"""WITH {TOKENS}, t AS (SELECT *, {_dist('x')} AS s, {_dist('y')} AS c, (SELECT {_stem} FROM (SELECT string_split(x, ' ')[1] AS t)) AS hx, (SELECT {_stem} FROM (SELECT string_split(y, ' ')[1] AS t)) AS hy FROM pairs),
+#: How many registry rows have the token that a pair's names share, here the pairs that have the first word of x.
+_anchors = "anchors AS (SELECT string_split(x, ' ')[1] AS token, count(*) * 100 AS df FROM pairs GROUP BY 1)"
+
+
+@register(f"""WITH {TOKENS}, {_anchors}, t AS (SELECT pairs.*, df, {_dist('x')} AS s, {_dist('y')} AS c, (SELECT {_stem} FROM (SELECT string_split(x, ' ')[1] AS t)) AS hx, (SELECT {_stem} FROM (SELECT string_split(y, ' ')[1] AS t)) AS hy FROM pairs JOIN anchors ON token = string_split(x, ' ')[1]),
  u AS (SELECT *, len(list_intersect(s, c)) AS shared, len(list_filter(s, lambda t: NOT list_contains(c, t))) AS ls, len(list_filter(c, lambda t: NOT list_contains(s, t))) AS lc FROM t)
- SELECT id, x, y, CASE WHEN shared = 0 THEN 'weak' WHEN ls = 0 AND lc = 0 THEN 'clean' WHEN hx = hy AND list_contains(s, hx) AND list_contains(c, hx) AND ls = 0 THEN 'head_modifier' ELSE 'loose' END AS match_tier FROM u""")
+ SELECT id, x, y, CASE WHEN shared = 0 THEN 'weak' WHEN df > 25000 THEN 'loose' WHEN ls = 0 AND lc = 0 THEN 'clean' WHEN hx = hy AND list_contains(s, hx) AND list_contains(c, hx) AND ls = 0 THEN 'head_modifier' ELSE 'loose' END AS match_tier FROM u""")
 def match_tiers(spark, d):
-    p = select(spark, d, "pairs", TOKENS)
-    return p.select("id", "x", "y", T.match_tier(F.split("x", " "), F.split("y", " "), F.lit(1)).alias("match_tier"))
+    p = select(spark, d, "pairs", TOKENS).withColumn("token", F.get(F.split("x", " "), F.lit(0)))
+    p = p.join(p.groupBy("token").agg((F.count(F.lit(1)) * 100).alias("df")), "token")
+    return p.select("id", "x", "y", T.match_tier(F.split("x", " "), F.split("y", " "), F.col("df")).alias("match_tier"))
 
 
 @register()
