@@ -744,7 +744,7 @@ def job_stream(spark, d):
     for lots in (((1, 2), (3, 3)), ((4, 5),)):
         for low, high in lots:
             events.filter(F.col("seq").between(low, high)).write.mode("append").parquet(f"{top}/events")
-        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 64).parquet(f"{top}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{top}/events")
         J.follow_jobs(stream, f"{top}/manifest", f"{top}/checkpoint").awaitTermination()
     return J.current_jobs(spark.read.option("recursiveFileLookup", "true").schema(J.MANIFEST + ", batch long").parquet(f"{top}/manifest"))
 

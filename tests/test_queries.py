@@ -11,7 +11,8 @@ import pytest
 from ledgerloom import catalog
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"match_suppliers", "recall_probe"}
+#: Tested by themselves, against Python or other queries' SQL (recall_probe: its function on a small registry).
+SLOW = {"match_suppliers", "recall_probe", "delimited_scan", "snapshot_replace", "registry_load", "job_stream", "cascade_report"}
 
 
 @pytest.fixture(scope="module")
