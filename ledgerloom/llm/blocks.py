@@ -92,7 +92,7 @@ def n_buckets(blocks: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
 SENT = "bucket int, block long, data binary"
 
 
-def _dealt(to: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def dealt(to: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of items by bucket, and where each bucket starts in it."""
     order = np.argsort(to, kind="stable")
     return order, np.searchsorted(to[order], np.arange(buckets + 1))
@@ -101,7 +101,7 @@ def _dealt(to: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 def send(block: int, to: np.ndarray, rows: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Rows for the exchange: ``rows`` (a structured or plain array) dealt to the buckets ``to``, in order within a bucket."""
     if len(to):
-        order, ends = _dealt(to, buckets)
+        order, ends = dealt(to, buckets)
         used = np.flatnonzero(np.diff(ends))
         sorted_rows = rows[order]
         yield pa.RecordBatch.from_arrays(
@@ -118,7 +118,7 @@ def hashed(keys: np.ndarray, buckets: int) -> np.ndarray:
 def answers(to: np.ndarray, buckets: int, got: list[tuple[int, bytes]], width: int = 1) -> np.ndarray:
     """The bits of each item (width a row), from the replies (bucket, packed bits) of its block."""
     out = np.zeros((len(to), width), dtype=bool)
-    order, ends = _dealt(to, buckets)
+    order, ends = dealt(to, buckets)
     for b, bits in got:
         n = int(ends[b + 1] - ends[b])
         out[order[ends[b] : ends[b + 1]]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n * width).reshape(n, width)

@@ -124,6 +124,97 @@ def test_scoring(spark, docs, rows):
     assert np.allclose(net.flat(), again.flat())
 
 
+def test_scoring_does_not_follow_partitions(docs):
+    """The same table in other partitions and another order of rows gives the same network and scores, over several shards, too."""
+    other = docs.repartition(7, F.rand(1))
+    for size in (scoring.SHARD_WORDS, 900):
+        (words, net), (again, same) = (scoring.learn(d, shard_words=size) for d in (docs, other))
+        assert np.array_equal(net.flat(), same.flat())
+    a, b = (sorted((str(r.doc_id), r.n_tokens, r.log_likelihood) for r in scoring.score(d, words, net).collect()) for d in (docs, other))
+    assert [x[:2] for x in a] == [x[:2] for x in b] and np.allclose([x[2] for x in a], [x[2] for x in b], atol=1e-2)
+
+
+def test_every_drawn_position_trains_once(docs, rows):
+    """Rounds have positions of their own, about a tenth of all each, and shards hold each of them once."""
+    words = scoring.learn(docs, rounds=0)[0]
+    got = scoring.draw_examples(docs, words, 5, 2).collect()
+    keys = {r: np.concatenate([np.frombuffer(x.data, scoring.EXAMPLE)["key"] for x in got if x["round"] == r]) for r in (0, 1)}
+    distinct = len({(i, t) for i, t, *_ in rows})
+    total = sum(len((t or "").split()) for _, t in {(i, t) for i, t, *_ in rows})
+    assert distinct < len(rows) and not set(keys[0]) & set(keys[1])
+    for k in keys.values():
+        assert abs(len(set(k.tolist())) - 0.1 * total) < 5 * (0.09 * total) ** 0.5
+
+
+def exact(net, around, token):
+    """log p(token | around) by the definition, in double precision."""
+    h = np.tanh(net.bias.astype(float) + sum(net.embed[around[k]].astype(float) * net.place[k] for k in range(2 * scoring.WINDOW)))
+    g, i = divmod(int(token), scoring.GROUP)
+    over = lambda x, at: x[at] - np.log(np.exp(x - x.max()).sum()) - x.max()
+    return over(h @ net.group + net.group_bias, g) + over(h @ net.word[g] + net.word_bias[g], i)
+
+
+def test_step_follows_finite_differences():
+    rng, rate, eps = np.random.default_rng(8), 1e-7, 1e-5
+    net = scoring.Network(seed=2)
+    for name, shape in net.SHAPES.items():
+        setattr(net, name, rng.normal(0, 0.3, shape))
+    n = 40
+    around, token = rng.integers(0, 12, (n, 2 * scoring.WINDOW)), rng.integers(0, 200, n)
+    mean = lambda: np.mean([exact(net, a, t) for a, t in zip(around, token)])
+    before = {name: getattr(net, name).copy() for name in net.SHAPES}
+    net.step(around, token, rate)
+    moved = {name: (getattr(net, name) - before[name]) / rate for name in net.SHAPES}
+    for name, value in before.items():
+        setattr(net, name, value)
+    used = {"word": lambda: (rng.integers(0, 4), rng.integers(scoring.WIDTH), rng.integers(scoring.GROUP)), "word_bias": lambda: (rng.integers(0, 4), rng.integers(scoring.GROUP))}
+    for name, shape in net.SHAPES.items():
+        for _ in range(4 if name != "embed" else 0):
+            at = used.get(name, lambda shape=shape: tuple(rng.integers(0, k) for k in shape))()
+            value = getattr(net, name)
+            start = value[at]
+            value[at] = start + eps
+            up = mean()
+            value[at] = start - eps
+            slope = (up - mean()) / (2 * eps)
+            value[at] = start
+            if name.startswith("word"):  # steps of a group are by its own rows
+                slope *= n / max((token // scoring.GROUP == at[0]).sum(), n / scoring.GROUPS)
+            assert moved[name][at] == pytest.approx(slope, rel=1e-3, abs=1e-6), name
+    want = np.zeros_like(before["embed"])  # steps of a token are by its uses in a place; it reaches the network like the bias does, times its place
+    for r in range(n):
+        slope = np.empty(scoring.WIDTH)
+        for i in range(scoring.WIDTH):
+            start, ends = net.bias[i], []
+            for net.bias[i] in (start + eps, start - eps):
+                ends.append(exact(net, around[r], token[r]))
+            net.bias[i] = start
+            slope[i] = (ends[0] - ends[1]) / (2 * eps)
+        for k in range(2 * scoring.WINDOW):
+            want[around[r, k]] += slope * net.place[k] / max((around[:, k] == around[r, k]).sum(), 8)
+    assert np.allclose(moved["embed"], want, atol=1e-5)
+
+
+def test_scores_against_a_loop(docs, rows):
+    """Summed log-probabilities of whole documents, word by word, in plain Python."""
+    words, net = scoring.learn(docs)
+    got = Counter()
+    for r in scoring.score(docs, words, net).collect():
+        got[(r.doc_id, r.n_tokens, round(r.log_likelihood, 1))] += 1
+    token = {}
+    for t in {w for _, text, *_ in rows for w in (text or "").split()}:
+        h = scoring.Words(*scoring.texts(scoring.pa.RecordBatch.from_pydict({"text": [t]}), "text")).hash
+        token[t] = int(words.tokens(h)[0])
+    assert max(token.values()) < scoring.WORDS_KEPT
+    for doc_id, text, *_ in [r for r in rows if len(r[1] or "") < 700]:
+        ids = [token[w] for w in (text or "").split()]
+        edge = [scoring.TOKENS] * scoring.WINDOW
+        wide = [*edge, *ids, *edge]
+        total = sum(exact(net, [wide[i - 1 + 2], wide[i - 2 + 2], wide[i + 1 + 2], wide[i + 2 + 2]], ids[i]) for i in range(len(ids)))
+        near = [k for k in got if k[:2] == (doc_id, len(ids)) and abs(k[2] - total) < 0.11]
+        assert near, (doc_id, total)
+
+
 def test_scoring_is_a_distribution():
     net, rng = scoring.Network(seed=3), np.random.default_rng(0)
     around = np.repeat(rng.integers(0, scoring.TOKENS, (1, 2 * scoring.WINDOW)), scoring.TOKENS, axis=0)
