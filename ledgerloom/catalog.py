@@ -561,6 +561,32 @@ def scan_schemas(spark, d):
     return O.scan_schemas(heads).select("borough", F.array_join("header", ", ").alias("header"), "file_count", "example_file", "column_count")
 
 
+SHEETS = """cells_in AS (SELECT n_name AS borough, CASE WHEN l_suppkey % 3 = 0 THEN '' ELSE concat('D', l_suppkey % 3) END AS district, concat('spend_', year(l_shipdate), CASE WHEN l_linenumber = 1 THEN '_card' ELSE '' END, '.csv') AS file, year(l_shipdate) % 2 AS odd, l_orderkey * 8 + l_linenumber AS row_idx, l_returnflag AS a, CASE WHEN l_linestatus = 'O' THEN ' ' ELSE l_linestatus END AS b FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
+ heads AS (SELECT DISTINCT borough, district, file, odd FROM cells_in UNION ALL SELECT DISTINCT borough, district, 'a_empty.csv', 0 FROM cells_in)"""
+
+
+def _sheets(spark, d):
+    heads = select(spark, d, "heads", SHEETS).withColumn("header", F.when(F.col("odd") == 0, F.array(F.lit("Cost Type"), F.lit("Service Category"), F.lit(""))).otherwise(F.array(F.lit("Area"), F.lit("Purpose"))))
+    return heads, select(spark, d, "cells_in", SHEETS).withColumn("cells", F.array("a", "b"))
+
+
+@register(f"""WITH {SHEETS}, t AS (SELECT *, row_number() OVER (PARTITION BY borough, district, file ORDER BY row_idx, a, b) AS n FROM cells_in),
+ e AS (SELECT borough, district, file, string_agg(a || '|' || b, '; ' ORDER BY n) AS examples FROM t WHERE n <= 10 GROUP BY 1, 2, 3),
+ f AS (SELECT h.*, CASE WHEN h.file LIKE '%card%' THEN 'Card' ELSE 'Main' END AS label, CASE WHEN odd = 0 THEN 'Cost Type, Service Category' ELSE 'Area, Purpose' END AS header, e.examples FROM heads h LEFT JOIN e ON h.borough = e.borough AND h.district = e.district AND h.file = e.file)
+ SELECT borough, district, label, header, count(*) AS file_count, string_agg(file, ', ' ORDER BY file) AS files, arg_min(file, CASE WHEN examples IS NULL THEN '1' ELSE '0' END || file) AS example_file, coalesce(arg_min(examples, CASE WHEN examples IS NULL THEN '1' ELSE '0' END || file), '') AS examples,
+ CASE WHEN header LIKE 'Area%' THEN 'Purpose' ELSE header END AS category_candidates FROM f GROUP BY borough, district, label, header""")
+def schema_groups(spark, d):
+    text = F.array_join(F.transform("examples", lambda r: F.array_join(r, "|")), "; ").alias("examples")
+    lists = {"header": ", ", "files": ", ", "category_candidates": ", "}
+    return O.schema_groups(*_sheets(spark, d)).select("borough", "district", "label", "file_count", "example_file", text, *[F.array_join(c, by).alias(c) for c, by in lists.items()])
+
+
+@register(f"""WITH {SHEETS}, x AS (SELECT borough, district, CASE WHEN file LIKE '%card%' THEN 'Card' ELSE 'Main' END AS label, odd, a, CASE WHEN b = ' ' THEN '(blank)' ELSE b END AS b FROM cells_in)
+ SELECT borough, district, label, "column", "value", count(*) AS n FROM (SELECT borough, district, label, 'Cost Type' AS "column", a AS "value" FROM x WHERE odd = 0 UNION ALL SELECT borough, district, label, CASE WHEN odd = 0 THEN 'Service Category' ELSE 'Purpose' END, b FROM x) GROUP BY ALL""")
+def category_values(spark, d):
+    return O.category_values(*_sheets(spark, d)).drop("header")
+
+
 @register(f"WITH {ROWS} SELECT borough, field, value, count(*) AS n FROM (SELECT borough, 'segment' AS field, b AS value FROM rows_in UNION ALL SELECT borough, 'odd', CASE WHEN k % 2 = 0 THEN '(blank)' ELSE 'odd' END FROM rows_in) GROUP BY ALL")
 def value_distribution(spark, d):
     r = select(spark, d, "rows_in", ROWS).withColumn("cells", F.array("b", F.when(F.col("k") % 2 == 0, " ").otherwise("odd")))

@@ -313,3 +313,36 @@ def value_distribution(rows: DataFrame, fields: dict[str, int]) -> DataFrame:
     """Counts of the values of some columns, a row for each field and value; blanks as (blank)."""
     pick = F.array(*[F.struct(F.lit(f).alias("field"), F.coalesce(T.blank_to_null(F.get("cells", F.lit(i))), F.lit("(blank)")).alias("value")) for f, i in fields.items()])
     return rows.select("borough", F.explode(pick).alias("x")).select("borough", "x.*").groupBy("borough", "field", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+PLACE = ["borough", "district", "file"]
+
+
+def schema_groups(headers: DataFrame, rows: DataFrame, examples: int = 10) -> DataFrame:
+    """headers(borough, district, file, header) and rows(.., row_idx, cells) of data -> a row for each publisher, district,
+    header and label: its files, and the first rows of the first file that has any. Files without a header are left out.
+
+    The first rows of a file are told before rows are exchanged by file, so a file of any size sends a few from each task."""
+    first = W.partitionBy(*PLACE).orderBy("row_idx", "cells")
+    top = rows.select(*PLACE, "row_idx", "cells").withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= examples)
+    tops = top.groupBy(*PLACE).agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", "cells"))), lambda x: x["cells"]).alias("examples"))
+    files = _with_label(headers).join(tops, PLACE, "left")
+    pick = F.min_by(F.struct("file", "examples"), F.struct(F.col("examples").isNull(), F.col("file")))
+    out = files.groupBy("borough", "district", "label", "header").agg(F.count(F.lit(1)).alias("file_count"), F.array_sort(F.collect_list("file")).alias("files"), pick.alias("_x"))
+    out = out.withColumns({"column_count": F.size("header"), "example_file": F.col("_x.file"), "examples": F.coalesce("_x.examples", F.array().cast("array<array<string>>"))}).drop("_x")
+    return out.withColumns({f"{k}_candidates": candidates(F.col("header"), k) for k in KEYWORDS})
+
+
+def category_values(headers: DataFrame, rows: DataFrame) -> DataFrame:
+    """Values and their counts in each column that may hold a category, by publisher, district, label and header. A name that
+    stands twice in a header is read at its first place; rows too short for it do not count, blanks count as (blank)."""
+    plain = lambda h: F.lower(T.strip(h))
+    at = F.transform(candidates(F.col("header"), "category"), lambda c: F.struct(c.alias("column"), (F.array_position(F.transform("header", plain), plain(c)) - 1).cast("int").alias("at")))
+    wanted = _with_label(headers).withColumn("_at", at).filter(F.size("_at") > 0)
+    met = rows.select(*PLACE, "cells").join(wanted, PLACE).select("borough", "district", "label", "header", "cells", F.explode("_at").alias("_c")).filter(F.size("cells") > F.col("_c.at"))
+    value = F.coalesce(T.blank_to_null(F.get("cells", F.col("_c.at"))), F.lit("(blank)"))
+    return met.groupBy("borough", "district", "label", "header", F.col("_c.column").alias("column"), value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _with_label(headers: DataFrame) -> DataFrame:
+    return headers.select(*PLACE, trim_cells(F.col("header")).alias("header"), T.payment_label(F.col("file")).alias("label")).filter(F.size("header") > 0)

@@ -196,3 +196,20 @@ def test_first_cell_and_blank_column_rules(spark):
     assert cells(O.PUBLISHER_RULES["merton"](rows(spark, "Merton", shifted))) == [[f" {h.upper()} " for h in O.MERTON], body]
     plain = [O.MERTON, body]
     assert cells(O.PUBLISHER_RULES["merton"](rows(spark, "Merton", plain))) == plain
+
+
+def test_schema_groups(spark):
+    """Districts and labels part groups; examples are of the first file that has rows, ten at most, a file without a header goes."""
+    heads = [("Kent", "", "b.csv", ["Type", "type", "X"]), ("Kent", "", "a.csv", ["Type", "type", "X", " "]), ("Kent", "Dover", "a.csv", ["Type", "type", "X"]), ("Kent", "", "c card.csv", ["Type", "type", "X"]), ("Kent", "", "none.csv", ["", None]), ("Kent", "", "z.csv", ["Category Code", "Y"])]
+    data = [("Kent", "", "b.csv", i, [f" v{i % 2} ", "w", "x"][: 3 if i else 0]) for i in range(30)] + [("Kent", "Dover", "a.csv", 5, ["", "q"]), ("Kent", "", "none.csv", 0, ["lost"]), ("Kent", "", "z.csv", 1, ["1", "2"])]
+    headers = spark.createDataFrame(heads, "borough string, district string, file string, header array<string>")
+    rows = spark.createDataFrame(data, "borough string, district string, file string, row_idx long, cells array<string>").repartition(4)
+    got = {(r.district, r.label, r.column_count): r for r in O.schema_groups(headers, rows).collect()}
+    assert set(got) == {("", "Main", 3), ("Dover", "Main", 3), ("", "Card", 3), ("", "Main", 2)}
+    main = got["", "Main", 3]
+    assert (main.files, main.example_file, main.file_count) == (["a.csv", "b.csv"], "b.csv", 2) and main.examples == [r[4] for r in data[:10]]
+    assert (got["", "Card", 3].examples, got["", "Card", 3].example_file) == ([], "c card.csv") and got["Dover", "Main", 3].examples == [["", "q"]]
+    assert main.category_candidates == ["Type", "type"] and got["", "Main", 2].category_candidates == []
+    values = {(r.district, r.label, r.column, r.value): r.n for r in O.category_values(headers, rows).collect()}
+    assert values == {**{("", "Main", c, v): n for c in ("Type", "type") for v, n in (("v0", 14), ("v1", 15))}, **{("Dover", "Main", c, "(blank)"): 1 for c in ("Type", "type")}}
+    assert O.schema_groups(headers.limit(0), rows).count() == 0 and O.category_values(headers, rows.limit(0)).count() == 0
