@@ -134,16 +134,19 @@ def test_scoring_does_not_follow_partitions(docs):
     assert [x[:2] for x in a] == [x[:2] for x in b] and np.allclose([x[2] for x in a], [x[2] for x in b], atol=1e-2)
 
 
-def test_every_drawn_position_trains_once(docs, rows):
-    """Rounds have positions of their own, about a tenth of all each, and shards hold each of them once."""
+def test_drawn_positions(docs, rows):
+    """Each round has about a tenth of all positions, in any number of shards the same examples; a document's copies of other ids draw their own."""
     words = scoring.learn(docs, rounds=0)[0]
-    got = scoring.draw_examples(docs, words, 5, 2).collect()
-    keys = {r: np.concatenate([np.frombuffer(x.data, scoring.EXAMPLE)["key"] for x in got if x["round"] == r]) for r in (0, 1)}
-    distinct = len({(i, t) for i, t, *_ in rows})
-    total = sum(len((t or "").split()) for _, t in {(i, t) for i, t, *_ in rows})
-    assert distinct < len(rows) and not set(keys[0]) & set(keys[1])
-    for k in keys.values():
-        assert abs(len(set(k.tolist())) - 0.1 * total) < 5 * (0.09 * total) ** 0.5
+    total, seen = sum(len((t or "").split()) for _, t, *_ in rows), []
+    for shards in (1, 5):
+        got = scoring.draw_examples(docs, words, shards, 2).collect()
+        seen.append([sorted(np.concatenate([np.frombuffer(x.data, scoring.EXAMPLE) for x in got if x["round"] == r]).tolist(), key=str) for r in (0, 1)])
+        assert sorted((x.shard, x["round"]) for x in got) == [(s, r) for s in sorted({x.shard for x in got}) for r in (0, 1)]
+    for one, more in zip(*seen):
+        assert str(one) == str(more) and abs(len(one) - 0.1 * total) < 0.02 * total
+    copies = docs.sparkSession.createDataFrame([(i, " ".join(f"w{k}" for k in range(50))) for i in range(200)], "doc_id long, text string")
+    got = scoring.draw_examples(copies, words, 1, 1).first().data
+    assert len({x for x in np.frombuffer(got, scoring.EXAMPLE)["around"][:, 0].tolist()}) > 1
 
 
 def exact(net, around, token):
