@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import dates as D, money as M, text as T, values as V
 from .functions.fuzzy import score
-from .operators import classify as C, conform as O, coverage as L, diagnostics as G, facts as A, matching as R, reports as P, requests as Q, retrieval as I, suppliers as S, taxonomy as X
+from .operators import classify as C, conform as O, coverage as L, diagnostics as G, facts as A, matching as R, pairs as B, reports as P, requests as Q, retrieval as I, suppliers as S, taxonomy as X
 from .plans.scratch import scratch_dir
 from .plans.substrate import BASE, CODED, COMPANIES, MESSY, NAMES, SPEND, select, views
 from .sources import delimited, snapshots
@@ -440,16 +440,18 @@ def token_retrieval(spark, d):
 @register("SELECT a.p_partkey AS a, b.p_partkey AS b, CAST(levenshtein(a.p_type, b.p_type) AS INT) AS distance FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE levenshtein(a.p_type, b.p_type) <= 12")
 def blocked_edit_distance(spark, d):
     views(spark, d)
-    a, b = spark.table("part").alias("a"), spark.table("part").alias("b")
-    dist = F.levenshtein(F.col("a.p_type"), F.col("b.p_type"))
-    return a.join(b, (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.p_size") == F.col("b.p_size")) & (F.col("a.p_partkey") < F.col("b.p_partkey"))).filter(dist <= 12).select(F.col("a.p_partkey").alias("a"), F.col("b.p_partkey").alias("b"), dist.alias("distance"))
+    pairs = B.kind_pairs(spark.table("part"), ["p_brand", "p_size"], "p_type", "p_partkey")
+    near = pairs.withColumn("distance", F.levenshtein("x", "y")).filter("distance <= 12")
+    return B.expand(near).select("a", "b", "distance")
 
 
 @register()
 def fuzzy_scores(spark, d):
+    """Names of one nation, each pair of distinct names scored once."""
     views(spark, d)
-    pairs = spark.sql("SELECT a.s_name AS x, b.s_name AS y FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey")
-    return pairs.select("x", "y", *[score(k, F.col("x"), F.col("y")).alias(k) for k in ("ratio", "partial_ratio", "token_sort_ratio", "token_set_ratio", "weighted_ratio")])
+    pairs = B.kind_pairs(spark.table("supplier"), ["s_nationkey"], "s_name", "s_suppkey")
+    kinds = ("ratio", "partial_ratio", "token_sort_ratio", "token_set_ratio", "weighted_ratio")
+    return B.expand(pairs.select("*", *[score(k, F.col("x"), F.col("y")).alias(k) for k in kinds])).select("x", "y", *kinds)
 
 
 TOKENS = "pairs AS (SELECT a.p_partkey AS id, a.p_name || ' services' AS x, b.p_name || CASE WHEN b.p_partkey % 3 = 0 THEN ' public' WHEN b.p_partkey % 3 = 1 THEN ' energies' ELSE ' group' END AS y FROM part a JOIN part b ON b.p_partkey = a.p_partkey + a.p_size % 3)"
