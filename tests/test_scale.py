@@ -71,3 +71,22 @@ def test_retrieval_meets_kinds_of_rows(spark):
     got = I.top_by_tokens(s, postings, R.token_frequency(postings), table).select("supplier_clean", "row", "weight", "rank").collect()
     assert sorted(tuple(r) for r in got) == sorted(want)
     assert I._kinds(table, 5).count() < table.count()
+
+
+def test_stream_folds_late_events_without_python(spark, tmp_path):
+    """An event that lands after a later one counts at its place, as in the table; no Python worker holds the state."""
+    from ledgerloom.streaming import jobs as J
+
+    schema = "job_name string, seq long, told_at timestamp, kind string, index long, input_file string, state string, result_file string"
+    one = "select 'a' job_name, cast({} as bigint) seq, timestamp'2024-01-01' + make_interval(0,0,0,0,0,{}) told_at, '{}' kind, 7L index, 'f' input_file, {} state, cast(null as string) result_file"
+    lots = [[(1, "submitted", "null"), (3, "polled", "'JOB_STATE_SUCCEEDED'")], [(2, "polled", "'JobState.JOB_STATE_FAILED'")]]
+    store = spark.conf.get(J.STORE, None)
+    for lot in lots:
+        spark.sql(" union all ".join(one.format(n, n, kind, state) for n, kind, state in lot)).select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", ")]).write.mode("append").parquet(f"{tmp_path}/events")
+        query = J.follow_jobs(spark.readStream.schema(schema).parquet(f"{tmp_path}/events"), f"{tmp_path}/manifest", f"{tmp_path}/checkpoint")
+        query.awaitTermination()
+        assert query.lastProgress is None or "Python" not in query.lastProgress.stateOperators[0].operatorName
+    assert spark.conf.get(J.STORE, None) == store
+    got = J.current_jobs(spark.read.option("recursiveFileLookup", "true").schema(J.MANIFEST + ", batch long").parquet(f"{tmp_path}/manifest")).collect()
+    want = J.job_manifest(spark.read.parquet(f"{tmp_path}/events")).collect()
+    assert got == want and want[0].state == "FAILED"
