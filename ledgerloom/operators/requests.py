@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as T
 from ..plans.ranking import global_rank
@@ -15,7 +17,7 @@ def record_block(df: DataFrame, skip: tuple[str, ...] = ("rq_id",), strip_codes:
         if f.name not in skip:
             v = T.blank_to_null(F.col(f.name).cast("string"))
             v = T.strip_code_prefix(v) if strip_codes and f.dataType.simpleString() == "string" else v
-            lines.append(F.when(v.isNotNull(), F.concat(F.lit(f"{f.name}: "), v)))
+            lines.append(F.concat(F.lit(f"{f.name}: "), v))  # null where v is: v is worked out once
     return F.concat_ws("\n", *lines)
 
 
@@ -46,9 +48,11 @@ def taxonomy_requests(base: DataFrame, system: str | None = None, size: int = 10
     """Rows with any key text -> (line_no, file_no, file_name, key, line)."""
     df = base.filter("procurement_scope = 'IN_SCOPE'") if in_scope_only else base
     keyed = df.select("rq_id", *[c for c in ("department", "expense_type", "service_area", "supplier_category", "supplier_clean") if c in df.columns])
-    block = keyed.withColumn("_block", record_block(keyed)).filter("_block != ''")
-    lines = block.select(F.col("rq_id").alias("key"), request(F.col("rq_id"), F.col("_block"), None, system).alias("line"), F.regexp_extract("rq_id", r"(\d+)$", 1).cast("long").alias("_n"))
-    return number_files(lines, [F.col("_n"), F.col("key")], size).drop("_n")
+    block = record_block(keyed)
+    told = reduce(lambda a, b: a | b, [T.blank_to_null(F.col(c).cast("string")).isNotNull() for c in keyed.columns[1:]])  # so the block is not empty
+    numbered = number_files(keyed.filter(told).withColumn("_n", F.regexp_extract("rq_id", r"(\d+)$", 1).cast("long")), [F.col("_n"), F.col("rq_id")], size)
+    # lines are written after the numbering, which so moves keys alone
+    return numbered.select(F.col("rq_id").alias("key"), request(F.col("rq_id"), block, None, system).alias("line"), "line_no", "file_no", "file_name")
 
 
 def surrogate_ids(df: DataFrame, prefix: str, order: list[Column], name: str = "supplier_id") -> DataFrame:
