@@ -1,7 +1,7 @@
 """Statistics of groups with an exact median that no group's size can break.
 
-Count, sum, least and largest value come from one hash aggregate. They decide the median of most groups; groups of a bounded number
-of rows are aggregated with their median. In larger ones the median is selected: values are counted in slices between
+Rows are written once with a hash of their keys and counted by it; groups of a bounded number of rows are aggregated with their median,
+in one exchange. In larger ones count, sum, least and largest value come from a hash aggregate and the median is selected: values are counted in slices between
 the group's bounds, map-side first, the slice that holds the middle rank becomes the next bounds, until
 it is one value or two slices meet at the middle. A round moves counts only, however many rows one key has.
 """
@@ -68,18 +68,21 @@ def select_median(rows: DataFrame, keys: list[str], groups: DataFrame, held: int
 
 def group_stats(fact: DataFrame, keys: list[str], amount: str, held: int | None = None) -> DataFrame:
     """keys, _n, _total, _min, _max, _avg, _median of the amount; null is a value of a key, null amounts are not counted."""
-    hashed = fact.select(*keys, amount, F.xxhash64(*keys).alias("_h"), F.col(amount).cast("double").alias("_x"))
-    plain = [F.count(amount).alias("_n"), F.sum(amount).alias("_total"), F.min(amount).alias("_min"), F.max(amount).alias("_max"), F.avg(amount).alias("_avg"), F.min("_x").alias("_low"), F.max("_x").alias("_high")]
-    stats = materialize(hashed.groupBy("_h", *keys).agg(*plain))
+    double = F.col(amount).cast("double")
+    hashed = materialize(fact.select(*keys, amount, F.xxhash64(*keys).alias("_h")))  # joined once, read twice
+    plain = [F.count(amount).alias("_n"), F.sum(amount).alias("_total"), F.min(amount).alias("_min"), F.max(amount).alias("_max"), F.avg(amount).alias("_avg"), F.min(double).alias("_low"), F.max(double).alias("_high")]
+    # sizes by hash alone; the few that exceed what a task may hold go another way than all others, which meet once
+    most = HELD if held is None else held
+    large = materialize(hashed.groupBy("_h").agg(F.count(amount).alias("_n")).filter(F.col("_n") > most).select("_h"))
+    if not large.head(1):
+        return hashed.repartition("_h").groupBy("_h", *keys).agg(*plain, F.median(double).alias("_median")).drop("_h", "_low", "_high")
+    mine = hashed.join(large, "_h", "left_anti").repartition("_h").groupBy("_h", *keys).agg(*plain, F.median(double).alias("_median"))
+    rest = hashed.join(large, "_h", "left_semi")
+    stats = materialize(rest.groupBy("_h", *keys).agg(*plain))
     closed = (F.col("_n") <= 2) | (F.col("_low") == F.col("_high"))
-    small = ~closed & (F.col("_n") <= (HELD if held is None else held))
-    out = [stats.filter(closed).withColumn("_median", F.col("_low") / 2 + F.col("_high") / 2)]
-    sizes = stats.agg(F.count_if(small).alias("small"), F.count_if(~closed & ~small).alias("large")).first()
-    if sizes["small"]:
-        mine = _meet(hashed, stats.filter(small), keys, [], "left_semi")
-        out.append(mine.groupBy("_h", *keys).agg(*plain, F.median("_x").alias("_median")))
-    if sizes["large"]:
-        groups = stats.filter(~closed & ~small)
-        found = select_median(hashed.filter("_x is not null").select("_h", *keys, "_x"), keys, groups, held)
+    out = [mine.select(*stats.columns, "_median"), stats.filter(closed).withColumn("_median", F.col("_low") / 2 + F.col("_high") / 2)]
+    groups = stats.filter(~closed)
+    if groups.head(1):
+        found = select_median(rest.withColumn("_x", double).filter("_x is not null").select("_h", *keys, "_x"), keys, groups, held)
         out.append(_meet(groups, found, keys, ["_median"]))
     return reduce(DataFrame.unionByName, out).drop("_h", "_low", "_high")

@@ -10,16 +10,16 @@ from .scratch import materialize
 def global_rank(df: DataFrame, order: list[Column], rank: str, partitions: int | None = None) -> DataFrame:
     """Rank from 1 in ``order``, over ranges that are sorted and numbered in parallel.
 
-    Rows are dealt to ranges of the first sort key set, counted a range, and numbered within it; only one count a range
-    meets in one task. ``order`` should be total, else ties are numbered arbitrarily.
+    Rows are dealt to ranges in that order, sorted and numbered within each, and counted; only one count a range
+    meets in one task, and is sent to all. ``order`` should be total, else ties are numbered arbitrarily.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the ranges are drawn from a sample, so they are settled once before they are counted and numbered
-    dealt = materialize(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
-    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # the ranges are drawn from a sample, so they are settled once, sorted and numbered within, before they are counted
+    dealt = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    counts = dealt.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     upto = W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select(F.col("_part").alias("_p"), "_n").select("_p", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"))
-    within = W.partitionBy("_part").orderBy(*order)
-    numbered = dealt.withColumn("_at", F.row_number().over(within))
-    return numbered.join(starts, numbered["_part"] == starts["_p"]).withColumn(rank, (F.col("_start") + F.col("_at")).cast("long")).drop("_part", "_p", "_start", "_at")
+    starts = counts.select("_p", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"))
+    at = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return dealt.join(F.broadcast(starts), part == starts["_p"]).withColumn(rank, (F.col("_start") + at).cast("long")).drop("_p", "_start", "_id")

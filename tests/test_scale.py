@@ -1,5 +1,7 @@
 """Work that must not grow with copies of rows or with the size of one key, against plain Python."""
 
+from statistics import median
+
 from pyspark.sql import functions as F
 
 from ledgerloom import catalog
@@ -90,3 +92,20 @@ def test_stream_folds_late_events_without_python(spark, tmp_path):
     got = J.current_jobs(spark.read.option("recursiveFileLookup", "true").schema(J.MANIFEST + ", batch long").parquet(f"{tmp_path}/manifest")).collect()
     want = J.job_manifest(spark.read.parquet(f"{tmp_path}/events")).collect()
     assert got == want and want[0].state == "FAILED"
+
+
+def test_statistics_read_the_fact_once(spark, tmp_path):
+    from ledgerloom.operators import requests as Q, selection
+    from ledgerloom.plans.ranking import global_rank
+
+    spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").cast("double").alias("amount")).write.parquet(f"{tmp_path}/fact")
+    fact = spark.read.parquet(f"{tmp_path}/fact")
+    for held in (2, 10_000):
+        got = selection.group_stats(fact, ["k"], "amount", held)
+        assert not set(got.inputFiles()) & set(fact.inputFiles()), held
+        assert {r.k: r._median for r in got.collect()} == {k: float(median(range(k, 100, 7))) for k in range(7)}
+    ranked = global_rank(fact, [F.desc("amount")], "n", 3)
+    assert ranked._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1  # of counts; rows stay where they are
+    base = spark.createDataFrame([("RQ_1", " ", None), ("RQ_2", None, "0012 Acme"), ("RQ_3", "x", "")], "rq_id string, department string, supplier_clean string")
+    lines = Q.taxonomy_requests(base)
+    assert [(r.key, r.line_no) for r in lines.orderBy("line_no").collect()] == [("RQ_2", 1), ("RQ_3", 2)]
