@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import values as V
 from ..functions.text import blank_to_null, comparison_key, initial_caps, strip, supplier_clean
+from ..plans.scratch import materialize
 
 
 def clean_suppliers(fact: DataFrame, overrides: DataFrame | None = None, acronyms: list[str] | None = None, column: str = "supplier", exact: dict[str, str] | None = None, patterns: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -54,6 +55,7 @@ def supplier_context(base: DataFrame, top: int = 3, cap: int = 120) -> DataFrame
 
     Field values are summed a supplier and value first, then ranked; a list longer than cap ends at its last whole value.
     """
+    base = materialize(base.select("supplier_clean", "row_count", "total_amount", *TOP_FIELDS))  # read for the scale and for the lists
     scale = base.groupBy("supplier_clean").agg(F.sum("row_count").alias("no_of_transactions"), F.sum(F.col("total_amount").cast("decimal(28,2)")).alias("total_spend")).filter("supplier_clean is not null")
     out = scale.withColumn("avg_amount", F.round(F.try_divide("total_spend", "no_of_transactions"), 2).cast("double"))
     long = base.select("supplier_clean", F.col("total_amount").cast("decimal(28,2)").alias("amount"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), _present(F.col(f)).alias("value")) for f in TOP_FIELDS])).alias("x"))

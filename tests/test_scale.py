@@ -109,3 +109,14 @@ def test_statistics_read_the_fact_once(spark, tmp_path):
     base = spark.createDataFrame([("RQ_1", " ", None), ("RQ_2", None, "0012 Acme"), ("RQ_3", "x", "")], "rq_id string, department string, supplier_clean string")
     lines = Q.taxonomy_requests(base)
     assert [(r.key, r.line_no) for r in lines.orderBy("line_no").collect()] == [("RQ_2", 1), ("RQ_3", 2)]
+
+
+def test_context_reads_the_base_once(spark, tmp_path):
+    from ledgerloom.operators import suppliers as S
+
+    row = spark.createDataFrame([("s", 2, 10.0, "a", "b", None, "c")], "supplier_clean string, row_count long, total_amount double, service_area string, expense_type string, department string, supplier_category string")
+    row.write.parquet(f"{tmp_path}/base")
+    base = spark.read.parquet(f"{tmp_path}/base")
+    got = S.supplier_context(base)
+    assert not set(got.inputFiles()) & set(base.inputFiles())
+    assert got.first().context_descriptor == "Service areas: a | Expense types: b | Supplier categories: c | Scale: 2 no_of_transactions, £10"
