@@ -352,7 +352,7 @@ MATCHED = "wanted AS (SELECT DISTINCT name AS supplier_clean FROM names)"
 
 
 def registry(spark, d):
-    return R.registry(select(spark, d, "companies", COMPANIES))
+    return R.registry(R.spread(select(spark, d, "companies", COMPANIES), "ch_row"))
 
 
 @register(f"WITH {COMPANIES}, {_key_sql('companies', 'company_name', 'k', False)} SELECT ch_row, array_to_string(toks, ' ') AS norm_name, coalesce(toks[1], '') AS block_key, {_sig} AS initials_sig, sic_1 || CASE WHEN sic_2 <> '' THEN '; ' || sic_2 ELSE '' END AS sic_raw FROM k")
@@ -396,8 +396,8 @@ def exact_matches(spark, d):
 
 @register()
 def match_suppliers(spark, d):
-    wanted, companies = select(spark, d, "wanted", NAMES, MATCHED), select(spark, d, "companies", COMPANIES)
-    return R.match_suppliers(wanted, R.registry(companies), R.aliases(companies, ["former_1"]))
+    wanted, companies = select(spark, d, "wanted", NAMES, MATCHED), R.spread(select(spark, d, "companies", COMPANIES), "ch_row")
+    return R.match_suppliers(R.spread(wanted, "supplier_clean"), R.registry(companies), R.aliases(companies, ["former_1"]))
 
 
 @register()
