@@ -335,13 +335,18 @@ def schema_groups(headers: DataFrame, rows: DataFrame, examples: int = 10) -> Da
 
 def category_values(headers: DataFrame, rows: DataFrame) -> DataFrame:
     """Values and their counts in each column that may hold a category, by publisher, district, label and header. A name that
-    stands twice in a header is read at its first place; rows too short for it do not count, blanks count as (blank)."""
+    stands twice in a header is read at its first place; rows too short for it do not count, blanks count as (blank).
+
+    Headers, a row for each file, are written once, so that their size is known where they meet the rows; cells are counted by file and place
+    as they are, and only the different ones are cleaned and get their header."""
     plain = lambda h: F.lower(T.strip(h))
     at = F.transform(candidates(F.col("header"), "category"), lambda c: F.struct(c.alias("column"), (F.array_position(F.transform("header", plain), plain(c)) - 1).cast("int").alias("at")))
-    wanted = _with_label(headers).withColumn("_at", at).filter(F.size("_at") > 0)
-    met = rows.select(*PLACE, "cells").join(wanted, PLACE).select("borough", "district", "label", "header", "cells", F.explode("_at").alias("_c")).filter(F.size("cells") > F.col("_c.at"))
-    value = F.coalesce(T.blank_to_null(F.get("cells", F.col("_c.at"))), F.lit("(blank)"))
-    return met.groupBy("borough", "district", "label", "header", F.col("_c.column").alias("column"), value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    wanted = materialize(_with_label(headers).select("*", F.explode(at).alias("_c")).select(*PLACE, "label", "header", "_c.column", "_c.at"))
+    places = wanted.groupBy(*PLACE).agg(F.collect_set("at").alias("_at"))
+    met = rows.select(*PLACE, "cells").join(places, PLACE).select(*PLACE, "cells", F.explode("_at").alias("at")).filter(F.size("cells") > F.col("at"))
+    counts = met.groupBy(*PLACE, "at", F.get("cells", F.col("at")).alias("cell")).agg(F.count(F.lit(1)).alias("_n"))
+    value = F.coalesce(T.blank_to_null(F.col("cell")), F.lit("(blank)"))
+    return counts.join(wanted, [*PLACE, "at"]).groupBy("borough", "district", "label", "header", "column", value.alias("value")).agg(F.sum("_n").alias("n"))
 
 
 def _with_label(headers: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from statistics import median
 from pyspark.sql import functions as F
 
 from ledgerloom import catalog
-from ledgerloom.operators import pairs as B
+from ledgerloom.operators import conform as O, pairs as B
 
 
 def test_pairs_by_kinds_equal_all_pairs(spark):
@@ -120,3 +120,13 @@ def test_context_reads_the_base_once(spark, tmp_path):
     got = S.supplier_context(base)
     assert not set(got.inputFiles()) & set(base.inputFiles())
     assert got.first().context_descriptor == "Service areas: a | Expense types: b | Supplier categories: c | Scale: 2 no_of_transactions, £10"
+
+
+def test_category_values_rows_stay(spark):
+    """Headers worked out from the rows themselves, of unknown size, meet the rows where they are."""
+    rows = spark.range(2_000_000).select((F.col("id") % 3).cast("string").alias("borough"), F.lit("").alias("district"), F.lit("spend.csv").alias("file"), F.array((F.col("id") % 5).cast("string"), F.lit(" ")).alias("cells"))
+    heads = rows.select("borough", "district", "file").distinct().withColumn("header", F.array(F.lit("Cost Type"), F.lit("Service")))
+    out = O.category_values(heads, rows)
+    assert "SortMergeJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+    got = out.filter("borough = '1'").collect()
+    assert {(r.column, r.value) for r in got} == {("Cost Type", str(i)) for i in range(5)} | {("Service", "(blank)")} and sum(r.n for r in got) == 2 * 666_667
