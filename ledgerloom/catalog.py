@@ -8,7 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import dates as D, money as M, text as T, values as V
-from .functions.fuzzy import score
 from .operators import classify as C, conform as O, coverage as L, diagnostics as G, facts as A, matching as R, pairs as B, reports as P, requests as Q, retrieval as I, suppliers as S, taxonomy as X
 from .plans.scratch import materialize, scratch_dir
 from .plans.substrate import BASE, CODED, COMPANIES, MESSY, NAMES, SPEND, select, views
@@ -447,11 +446,9 @@ def blocked_edit_distance(spark, d):
 
 @register()
 def fuzzy_scores(spark, d):
-    """Names of one nation, each pair of distinct names scored once."""
+    """Names of one nation, every two of its suppliers."""
     views(spark, d)
-    pairs = B.kind_pairs(spark.table("supplier"), ["s_nationkey"], "s_name", "s_suppkey")
-    kinds = ("ratio", "partial_ratio", "token_sort_ratio", "token_set_ratio", "weighted_ratio")
-    return B.expand(pairs.select("*", *[score(k, F.col("x"), F.col("y")).alias(k) for k in kinds])).select("x", "y", *kinds)
+    return B.scored_pairs(B.tiles(spark.table("supplier"), ["s_nationkey"], "s_suppkey", "s_name"))
 
 
 TOKENS = "pairs AS (SELECT a.p_partkey AS id, a.p_name || ' services' AS x, b.p_name || CASE WHEN b.p_partkey % 3 = 0 THEN ' public' WHEN b.p_partkey % 3 = 1 THEN ' energies' ELSE ' group' END AS y FROM part a JOIN part b ON b.p_partkey = a.p_partkey + a.p_size % 3)"

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.fuzzy import SCORERS, many_scores
 from ..plans.scratch import materialize
 
 #: Keys of a kind in one list; tasks that a block's lists are dealt to, at most.
 LISTED, SALTS = 2048, 64
+#: Rows of a block, on average, that lie in one tile and meet another tile's in one step; pairs sent at once.
+TILE, SENT_PAIRS = 512, 1 << 16
 
 
 def kind_pairs(rows: DataFrame, block: list[str], kind: str, key: str, listed: int | None = None) -> DataFrame:
@@ -38,3 +44,50 @@ def expand(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Pairs of kinds with what was worked out for them -> the rows' pairs, a < b."""
     out = pairs.withColumn(a, F.explode("_a")).drop("_a").withColumn(b, F.explode("_b")).drop("_b")
     return out.filter(F.col(a) < F.col(b))
+
+
+def tiles(rows: DataFrame, block: list[str], key: str, name: str, tile: int | None = None) -> DataFrame:
+    """rows(block, key, name) -> (_a, _b): lists of (_key, _name), such that every two rows of a block, in either order, are in one pair of lists.
+
+    Rows of a block are dealt to tiles by their keys' hash, however many share a name, and every two tiles meet on their own, in as many tasks as
+    the session's shuffles have. Rows with a null in block or key are left out.
+    """
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*block, key)])
+    own = rows.filter(known).select(*block, F.col(key).alias("_key"), F.col(name).alias("_name"))
+    sizes = own.groupBy(*block).agg(F.ceil(F.count(F.lit(1)) / (tile or TILE)).cast("int").alias("_tiles"))
+    dealt = own.join(sizes, block).withColumn("_tile", F.pmod(F.xxhash64("_key", "_name"), "_tiles").cast("int"))
+    lists = materialize(dealt.groupBy(*block, "_tiles", "_tile").agg(F.collect_list(F.struct("_key", "_name")).alias("_rows")))
+    n, each = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))
+    met = [*block, "_left", "_right"]  # given by number: the lists are small, their pairs are not
+    left = lists.select(*block, F.col("_tile").alias("_left"), each.alias("_right"), F.col("_rows").alias("_a")).repartition(n, *met)
+    right = lists.select(*block, F.col("_tile").alias("_right"), each.alias("_left"), F.col("_rows").alias("_b")).repartition(n, *met)
+    return left.join(right, met).select("_a", "_b")
+
+
+def scored_pairs(met: DataFrame, kinds: tuple[str, ...] = tuple(SCORERS)) -> DataFrame:
+    """Pairs of lists (tiles) -> (x, y, scores): names of each two rows with key a < key b, null where a name is. Two names of a pair of lists are
+    scored once, whatever rows have them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in zip(batch.column(0), batch.column(1)):
+                (left, x), (right, y) = ((s.values.field(0).to_numpy(zero_copy_only=False), s.values.field(1).to_pylist()) for s in (a, b))
+                names = sorted({n for n in (*x, *y) if n is not None})
+                number = {n: k for k, n in enumerate(names)} | {None: len(names)}
+                own, other, wide = np.array([number[n] for n in x]), np.array([number[n] for n in y]), len(names) + 1
+                i, j = np.nonzero(left[:, None] < right[None, :])
+                pair = own[i] * wide + other[j]
+                used = np.zeros(wide * wide, bool)
+                used[pair] = True
+                used = used.reshape(wide, wide)
+                used[-1], used[:, -1] = False, False
+                score, told = many_scores(names, *np.nonzero(used), kinds), np.full(wide * wide, -1)
+                told[used.ravel()] = np.arange(int(used.sum()))
+                words = pa.array([*names, None], pa.string())
+                for at in range(0, len(pair), SENT_PAIRS):
+                    some = pair[at : at + SENT_PAIRS]
+                    place, null = told[some], told[some] < 0
+                    values = [pa.array(np.append(score[k], 0)[place], pa.int32(), mask=null) for k in kinds]
+                    yield pa.RecordBatch.from_arrays([words.take(pa.array(some // wide)), words.take(pa.array(some % wide)), *values], ["x", "y", *kinds])
+
+    return met.mapInArrow(run, "x string, y string, " + ", ".join(f"{k} int" for k in kinds))
