@@ -149,6 +149,19 @@ def test_drawn_positions(docs, rows):
     assert len({x for x in np.frombuffer(got, scoring.EXAMPLE)["around"][:, 0].tolist()}) > 1
 
 
+def test_every_position_is_trained_once(docs, rows):
+    """The rounds of training together have each position of all documents once, with the tokens around it, runs of long documents, too."""
+    words = scoring.learn(docs, rounds=0)[0]
+    rows = [*rows, (1000, " ".join(f"w{k % 90}" for k in range(2 * scoring.RUN + 5)), None, None, 0)]
+    more = docs.sparkSession.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = np.concatenate([np.frombuffer(x.data, scoring.EXAMPLE) for x in scoring.draw_examples(more, words, 3, scoring.ROUNDS).collect()])
+    want = Counter()
+    for _, t, *_ in rows:
+        _, token, around = scoring.examples(*scoring.texts(scoring.pa.RecordBatch.from_pydict({"text": [t or ""]}), "text"), words)
+        want.update(zip(token.tolist(), map(tuple, around.tolist())))
+    assert Counter(zip(got["token"].tolist(), map(tuple, got["around"].tolist()))) == want and len(got) > 2 * scoring.RUN
+
+
 def exact(net, around, token):
     """log p(token | around) by the definition, in double precision."""
     h = np.tanh(net.bias.astype(float) + sum(net.embed[around[k]].astype(float) * net.place[k] for k in range(2 * scoring.WINDOW)))
