@@ -91,3 +91,19 @@ def scored_pairs(met: DataFrame, kinds: tuple[str, ...] = tuple(SCORERS)) -> Dat
                     yield pa.RecordBatch.from_arrays([words.take(pa.array(some // wide)), words.take(pa.array(some % wide)), *values], ["x", "y", *kinds])
 
     return met.mapInArrow(run, "x string, y string, " + ", ".join(f"{k} int" for k in kinds))
+
+
+def scored_names(pairs: DataFrame, x: str, y: str, kinds: dict[str, str], least: tuple[str, int] | None = None) -> DataFrame:
+    """pairs(x, y), no null, with the scores ``kinds`` (column: scorer) of both; of them those whose score in the column least[0] is least[1] or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [batch.column(k).to_pylist() for k in (0, 1)]
+            names = sorted({*sides[0], *sides[1]})
+            number = {n: k for k, n in enumerate(names)}
+            i, j = (np.array([number[n] for n in side], np.int64) for side in sides)
+            score = many_scores(names, i, j, tuple(kinds.values()))
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(score[k], pa.int32()) for k in kinds.values()]], [x, y, *kinds])
+            yield out.filter(pa.array(score[kinds[least[0]]] >= least[1])) if least else out
+
+    return pairs.select(x, y).mapInArrow(run, f"{x} string, {y} string, " + ", ".join(f"{k} int" for k in kinds))
