@@ -99,7 +99,7 @@ def scored_names(pairs: DataFrame, x: str, y: str, kinds: dict[str, str], least:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = [batch.column(k).to_pylist() for k in (0, 1)]
-            names = sorted({*sides[0], *sides[1]})
+            names = list(dict.fromkeys([*sides[0], *sides[1]]))
             number = {n: k for k, n in enumerate(names)}
             i, j = (np.array([number[n] for n in side], np.int64) for side in sides)
             score = many_scores(names, i, j, tuple(kinds.values()))
